@@ -1,0 +1,135 @@
+"""The whole daily run: campaign frame -> candidates -> arbitration -> phases -> ledger.
+
+Plan shape (see README): the only large inputs are today's clicks and the
+click-to-batch links. They are reduced in one aggregation (``click_facts``) and
+joined to the eligible campaigns. Everything after that is a projection of one
+row per campaign, so the stages add no exchange. The ledger is exploded once at
+the end and written with a dynamic partition overwrite of the target date.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from typing import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from adspend.functions.spend import let, next_day
+from adspend.operators import feeds, ledger
+from adspend.operators.arbitration import arbitrate_entries
+from adspend.operators.candidates import campaign_frame, candidate_array
+from adspend.params import PARTNER_PUBLISHER, SCENARIO_ORDER, AllocParams
+from adspend.schemas import LEDGER
+from adspend.sources.tables import AdInputs
+
+
+@dataclass(frozen=True)
+class Phase:
+    name: str
+    apply: Callable[[Column], Column]
+    # entries this phase wrote or changed, tested right after it ran
+    touched: Callable[[Column], Column]
+
+
+def _step(n: int):
+    return lambda x: x.step_num == n
+
+
+PHASES: tuple[Phase, ...] = (
+    Phase("stage_12", ledger.premium_rollup, _step(12)),
+    Phase("stage_13", ledger.premium_zero, _step(13)),
+    Phase("stage_14", ledger.premium_uncapped, _step(14)),
+    Phase("stage_15", ledger.premium_capped, _step(15)),
+    Phase("stage_16", ledger.premium_boost, _step(16)),
+    Phase("stage_10", ledger.exclusions, _step(10)),
+    Phase("stage_11", ledger.inclusions, _step(11)),
+    Phase("feed_ids", feeds.feed_ids, lambda x: x.job_export_feed_id.isNotNull()),
+    Phase("active_flags", feeds.active_flags, lambda x: x.active_flag == 1),
+    Phase("stage_601", feeds.partner_rollup, _step(601)),
+    Phase("partner_feed_ids", feeds.partner_feed_ids,
+          lambda x: (x.publisher_id == PARTNER_PUBLISHER) & x.job_export_feed_id.isNotNull()),
+    Phase("partner_active_flags", feeds.partner_active_flags,
+          lambda x: (x.publisher_id == PARTNER_PUBLISHER) & (x.active_flag == 1)),
+)
+PHASE_NAMES = tuple(p.name for p in PHASES)
+
+# Columns of the campaign frame the phases read.
+_PHASE_INPUTS = ("camp_id", "user_id", "system_daily_budget", "cost_today", "cost_per_click")
+
+
+def scenario_frame(inputs: AdInputs, params: AllocParams, frame: DataFrame | None = None) -> DataFrame:
+    """Campaign rows with ``cands`` (all stage 0-9 candidates) and ``entries``
+    (the arbitrated ledger of stages 0-9)."""
+    frame = frame if frame is not None else campaign_frame(inputs, params)
+    flags = [c for c in frame.columns if c.startswith(("user_premium", "user_exclude", "user_include",
+                                                       "camp_exclude", "camp_include"))]
+    return (frame.select(*_PHASE_INPUTS, *flags, candidate_array(SCENARIO_ORDER).alias("cands"))
+            .withColumn("entries", let(F.col("cands"), arbitrate_entries)))
+
+
+def run_phases(scenarios: DataFrame, upto: str | None = None, snapshot: str | None = None) -> DataFrame:
+    """Apply phases in run order up to and including ``upto`` (all if None).
+
+    Each phase is its own projection. Catalyst keeps them apart (they are not
+    cheap to duplicate), and whole-stage codegen still fuses them into one stage.
+    With ``snapshot`` the entries that phase touched are kept as ``touched``.
+    """
+    df = scenarios
+    for phase in PHASES:
+        df = df.withColumn("entries", let(F.col("entries"), phase.apply))
+        if phase.name == snapshot:
+            df = df.withColumn("touched", F.filter(F.col("entries"), phase.touched))
+        if phase.name == upto:
+            break
+    return df
+
+
+def entries_to_rows(df: DataFrame, column: str, params: AllocParams) -> DataFrame:
+    """Explode an entry array into ledger rows of the target date."""
+    e = F.col("e")
+    return (df.select("camp_id", F.explode(column).alias("e"))
+            .select(next_day(params.run_date).alias("date_date"),
+                    e.publisher_id.alias("publisher_id"), e.publisher_cpc.alias("publisher_cpc"),
+                    F.col("camp_id"), F.coalesce(e.target_spend, F.lit(0.0)).alias("target_spend"),
+                    e.step_num.alias("step_num"), e.job_export_feed_id.alias("job_export_feed_id"),
+                    e.active_flag.alias("active_flag")))
+
+
+def allocate(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """The final ledger of the target date (schema ``LEDGER``)."""
+    ledger_rows = entries_to_rows(run_phases(scenario_frame(inputs, params)), "entries", params)
+    return ledger_rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
+
+
+def scenario_ledger(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """Ledger after stages 0-9 and key exclusion (before the premium phases)."""
+    return entries_to_rows(scenario_frame(inputs, params), "entries", params)
+
+
+def scenario_candidates(inputs: AdInputs, params: AllocParams, step: int) -> DataFrame:
+    """Rows one scenario proposes, before key exclusion."""
+    frame = campaign_frame(inputs, params)
+    rows = frame.select("camp_id", candidate_array((step,)).alias("cands"))
+    return entries_to_rows(rows, "cands", params).select(
+        "date_date", "publisher_id", "publisher_cpc", "camp_id", "target_spend", "step_num")
+
+
+def phase_rows(inputs: AdInputs, params: AllocParams, name: str) -> DataFrame:
+    """Rows a later phase inserted or updated, with their values right after it."""
+    df = run_phases(scenario_frame(inputs, params), upto=name, snapshot=name)
+    return entries_to_rows(df, "touched", params)
+
+
+def stage_row_counts(ledger_rows: DataFrame) -> DataFrame:
+    """Rows per final step number (the run report)."""
+    return ledger_rows.groupBy("step_num").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+
+
+def write_ledger(ledger_rows: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace the target date's partition; other dates stay (dynamic overwrite).
+
+    A re-run of the same day therefore gives the same partition, not duplicates.
+    """
+    (ledger_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date_date").format(fmt).save(path))
