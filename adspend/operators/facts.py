@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspend.functions.spend import dec, feed_price, if_, is_billable, is_main_billable, run_date
+from adspend.functions.spend import dec, feed_price, if_, is_billable, is_main_billable, ratio, run_date
 from adspend.operators.eligibility import running_campaign
 from adspend.params import (
     MAIN_PUBLISHER, POLICY_EXCLUDE, POLICY_INCLUDE, POLICY_PREMIUM_BOOST, POLICY_PREMIUM_FEED,
@@ -41,6 +41,15 @@ def batch_feed_counts(inputs: AdInputs) -> DataFrame:
         F.sum(if_(F.col("price") == dec(p), 1, 0)).alias(f"n_{price_tag(p)}") for p in FEED_PRICES])
 
 
+def campaign_click_totals(clicks: DataFrame) -> DataFrame:
+    """Per campaign: billable main-publisher clicks and revenue, average billable cost."""
+    return clicks.groupBy("camp_id").agg(
+        F.sum(if_(is_main_billable(), 1, 0)).cast("long").alias("paid_clicks"),
+        F.sum(if_(is_main_billable(), F.col("click_cost"), 0)).alias("rev"),
+        ratio(F.sum(if_(is_billable(), F.col("click_cost"), 0)),
+              F.sum(if_(is_billable(), 1, 0))).alias("avg_click_cost"))
+
+
 def click_facts(inputs: AdInputs, params: AllocParams, camps: DataFrame | None = None) -> DataFrame:
     """One row per campaign with clicks on the run date.
 

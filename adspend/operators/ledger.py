@@ -120,3 +120,24 @@ def inclusions(entries: Column) -> Column:
                 & (spend > KEEP_ABOVE))
         new.append(F.when(cond, ledger_entry(MAIN_PUBLISHER, price, spend, 11)))
     return F.concat(entries, F.filter(F.array(*new), lambda x: x.isNotNull()))
+
+
+# --- long-form ledger updates (a ledger as rows, e.g. read back from storage) ---
+
+def update_rows(ledger_rows, cond: Column, **changes):
+    """``UPDATE ledger SET col = value WHERE cond`` as a projection of the rows."""
+    out = ledger_rows
+    for name, value in changes.items():
+        value = value if isinstance(value, Column) else F.lit(value)
+        out = out.withColumn(name, F.when(cond, value).otherwise(F.col(name)).cast(
+            ledger_rows.schema[name].dataType))
+    return out
+
+
+def keyed_update(ledger_rows, keys, on: list[str], **changes):
+    """``UPDATE ... WHERE (k1, k2) IN keys``: a left join to the distinct keys, then a
+    conditional projection. The key set is not collected, and each row is updated once."""
+    flagged = keys.select(*on).distinct().withColumn("_hit", F.lit(True))
+    joined = ledger_rows.join(flagged, on, "left")
+    hit = F.coalesce(F.col("_hit"), F.lit(False))
+    return update_rows(joined, hit, **changes).drop("_hit").select(*ledger_rows.columns)
