@@ -31,9 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adspend.functions.spend import capped, dbl, dec, near_exhausted, ratio, underspent
-from adspend.operators.eligibility import eligible_campaigns
+from adspend.operators import eligibility as elig
 from adspend.operators.facts import (
-    FEED_PRICES, account_facts, campaign_policy_flags, click_facts, exported_today, price_tag,
+    FEED_PRICES, account_rollups, campaign_policy_flags, click_facts, exported_today, price_tag,
     user_policy_flags,
 )
 from adspend.params import (
@@ -75,22 +75,26 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
                    eligible: DataFrame | None = None) -> DataFrame:
     """One row per eligible campaign with every fact a stage can test.
 
-    Joins keyed by user id come first (one exchange of the campaign side by
-    ``user_id``), then the joins keyed by ``camp_id``. The click rollup and the
-    export set are aggregated by ``camp_id``, so they arrive already partitioned.
+    Starts from the E1 join (campaign and user columns), adds the account
+    rollups and user policies (keyed by ``user_id``), then the click rollup, the
+    export set and campaign policies (keyed by ``camp_id``; the click rollup
+    is aggregated by ``camp_id``, so it arrives partitioned). ``eligible``
+    optionally narrows the campaigns further.
     """
-    e1 = eligible if eligible is not None else eligible_campaigns(inputs, params)
-    ic = inputs.campaigns.join(e1, "camp_id", "left_semi").select(
-        "camp_id", "user_id", "camp_name", "system_daily_budget", "cost_today", "cost_per_click")
-    user_side = account_facts(inputs, params).join(user_policy_flags(inputs), "id", "left")
+    rows = elig.eligible_campaign_rows(inputs, params)
+    if eligible is not None:
+        rows = rows.join(eligible.select("camp_id"), "camp_id", "left_semi")
+    user_policy = user_policy_flags(inputs).withColumnRenamed("id", "user_id")
     exported = exported_today(inputs, params)
     exported_has_null = exported.filter(F.col("camp_id").isNull()).exists()
-    frame = (ic.join(user_side, ic.user_id == user_side.id).drop("id")
-             .join(click_facts(inputs, params, e1), "camp_id", "left")
+    frame = (rows.join(account_rollups(inputs, params), "user_id")
+             .join(user_policy, "user_id", "left")
+             .join(click_facts(inputs, params, rows), "camp_id", "left")
              .join(exported.filter(F.col("camp_id").isNotNull())
                    .select("camp_id", F.lit(True).alias("exported")), "camp_id", "left")
              .join(campaign_policy_flags(inputs).withColumnRenamed("id", "camp_id"), "camp_id", "left"))
-    flag_cols = [c for c in frame.columns if c.startswith(("user_", "camp_")) and c not in ("user_id", "camp_id", "camp_name")]
+    flag_cols = [c for c in frame.columns
+                 if c.startswith(("user_", "camp_")) and c not in ("user_id", "camp_id", "camp_name")]
     return frame.select(
         *[c for c in frame.columns if c not in flag_cols and c != "exported"],
         *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in flag_cols],

@@ -43,14 +43,25 @@ def funded_user(params: AllocParams) -> F.Column:
             & (F.col("total_credits") - F.col("total_debits") > 0))
 
 
-def eligible_campaigns(inputs: AdInputs, params: AllocParams) -> DataFrame:
-    """E1: distinct ``camp_id`` of running campaigns of funded users in E0.
+def eligible_campaign_rows(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """E1 before the DISTINCT: campaign columns plus the user's account budget.
 
-    The id set is never collected: later stages semi-join against this frame.
+    ``camp_id`` is the campaigns' primary key and ``id`` the users', so the rows
+    are already distinct. The scenario frame starts from this join, so campaigns
+    and users are not read again to recover the columns.
     """
-    ic = inputs.campaigns.filter(running_campaign(params)).select("camp_id", "user_id")
-    iu = inputs.users.filter(funded_user(params)).select("id")
+    ic = inputs.campaigns.filter(running_campaign(params)).select(
+        "camp_id", "user_id", "camp_name", "system_daily_budget", "cost_today", "cost_per_click")
+    iu = inputs.users.filter(funded_user(params)).select("id", "account_system_daily_budget")
     e0 = eligible_advertisers(inputs, params)
     return (ic.join(iu, ic.user_id == iu.id)
             .join(e0, ic.user_id == e0.advertiser_id, "left_semi")
-            .select("camp_id").distinct())
+            .drop("id"))
+
+
+def eligible_campaigns(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """E1: distinct ``camp_id`` of running campaigns of funded users in E0.
+
+    The id set is never collected: later stages semi-join against this frame.
+    """
+    return eligible_campaign_rows(inputs, params).select("camp_id").distinct()

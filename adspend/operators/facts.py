@@ -79,17 +79,18 @@ def click_facts(inputs: AdInputs, params: AllocParams, camps: DataFrame | None =
     return joined.groupBy("camp_id").agg(*aggs)
 
 
-def account_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
-    """Per user (``id``): account budget and two spend rollups.
+def account_rollups(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """Per ``user_id``: spend rollups over the user's campaigns.
 
-    * over all the user's campaigns: ``spent_all``, ``null_budget_all``;
+    * over all campaigns: ``spent_all``, ``null_budget_all``;
     * over running 'pjl' campaigns only: ``spent_run``, ``nb_run`` (sum of set
       budgets), ``nn_run`` (campaigns without budget), ``n_run``.
-    A rollup over no campaign is NULL, like a missing group in SQL.
+    A rollup over no campaign is NULL, like a missing group in SQL. Partial
+    aggregation bounds what an account with very many campaigns sends to the shuffle.
     """
     run = running_campaign(params)
     budget, cost = F.col("system_daily_budget"), F.col("cost_today")
-    per_user = inputs.campaigns.groupBy(F.col("user_id").alias("id")).agg(
+    return inputs.campaigns.groupBy("user_id").agg(
         F.sum(cost).alias("spent_all"),
         F.sum(if_(budget.isNull(), 1, 0)).alias("null_budget_all"),
         F.sum(if_(run, cost, None)).alias("spent_run"),
@@ -97,6 +98,11 @@ def account_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
         F.sum(if_(run & budget.isNull(), 1, 0)).alias("nn_run"),
         F.sum(if_(run, 1, 0)).alias("n_run"),
     )
+
+
+def account_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """Per user (``id``): account budget and the rollups of ``account_rollups``."""
+    per_user = account_rollups(inputs, params).withColumnRenamed("user_id", "id")
     return inputs.users.select("id", "account_system_daily_budget").join(per_user, "id")
 
 

@@ -33,10 +33,24 @@ class AdInputs:
         return self.ad_clicks.filter(F.col("date_date") == F.lit(params.run_date))
 
 
+# Stored layout: clicks are partitioned by day, so the run-date filter prunes
+# partitions instead of reading the click history.
+PARTITION_COLUMNS = {"ad_clicks": ["date_date"]}
+
+
+def write_parquet_inputs(inputs: AdInputs, base: str) -> None:
+    """Store the inputs as ``<base>/<relation>`` Parquet datasets."""
+    for f in fields(inputs):
+        writer = getattr(inputs, f.name).write.mode("overwrite")
+        if f.name in PARTITION_COLUMNS:
+            writer = writer.partitionBy(*PARTITION_COLUMNS[f.name])
+        writer.parquet(f"{base}/{f.name}")
+
+
 def read_parquet_inputs(spark: SparkSession, base: str) -> AdInputs:
     """Read ``<base>/<relation>`` Parquet datasets and check them against the schemas."""
     return AdInputs(**{name: conform(spark.read.parquet(f"{base}/{name}"), schema, name)
-                       for name, schema in INPUT_SCHEMAS.items()}).conformed()
+                       for name, schema in INPUT_SCHEMAS.items()})
 
 
 def read_jdbc_inputs(spark: SparkSession, url: str, tables: dict[str, str],
