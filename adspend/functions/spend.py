@@ -97,10 +97,11 @@ def underspent(budget: Column, spent: Column, margin: int) -> Column:
     return budget - margin >= spent
 
 
-def ledger_key(publisher_id: Column, publisher_cpc: Column, camp_id: Column) -> Column:
-    """The ledger's composite key as one struct column (no string concatenation)."""
-    return F.struct(publisher_id.alias("publisher_id"), publisher_cpc.alias("publisher_cpc"),
-                    camp_id.alias("camp_id"))
+def ledger_key_text(publisher_id: Column, publisher_cpc: Column, camp_id: Column) -> Column:
+    """The ledger key as text, ``publisher:price:campaign`` with the price at two
+    decimals. Separators keep distinct keys distinct."""
+    return F.concat_ws(":", publisher_id.cast("string"), publisher_cpc.cast("decimal(4,2)").cast("string"),
+                       camp_id.cast("string"))
 
 
 def let(value: Column, body) -> Column:

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adspend.functions.spend import (
-    capped, dbl, dec, feed_id_of_price, feed_price, if_, is_main_billable, near_exhausted, next_day,
-    ratio, round2, underspent,
+    capped, dbl, dec, feed_id_of_price, feed_price, if_, is_main_billable, ledger_key_text,
+    near_exhausted, next_day, ratio, round2, underspent,
 )
 from adspend.operators import candidates as cand
 from adspend.operators import eligibility as elig
@@ -129,9 +129,6 @@ def _update_ledger(inp, p):
     return ledger_ops.update_rows(rows, priced, job_export_feed_id=feed_id_of_price(F.col("publisher_cpc")))
 
 
-_EXCLUDED_USERS_SQL = "(SELECT id FROM client_policy WHERE policy = 'exclude' AND entity = 'user')"
-
-
 @query("keyed_update", f"""SELECT {O.LEDGER_COLS} FROM (
   SELECT camp_id, pub, zcpc, CASE WHEN hit THEN 0.0 ELSE spend END AS spend,
          CASE WHEN hit THEN 10 ELSE step END AS step, feed_id, active
@@ -592,8 +589,7 @@ def _x_arith(inp, p):
   FROM lca""")
 def _x_key(inp, p):
     rows = pl.allocate(inp, p)
-    key = F.concat_ws(":", F.col("publisher_id").cast("string"),
-                      F.col("publisher_cpc").cast("decimal(4,2)").cast("string"), F.col("camp_id").cast("string"))
+    key = ledger_key_text(F.col("publisher_id"), F.col("publisher_cpc"), F.col("camp_id"))
     return rows.select("publisher_id", "publisher_cpc", "camp_id", key.alias("ledger_key")).distinct()
 
 

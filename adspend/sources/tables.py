@@ -24,10 +24,6 @@ class AdInputs:
     export_campaign_stats: DataFrame
     client_policy: DataFrame
 
-    def conformed(self) -> "AdInputs":
-        return AdInputs(**{f.name: conform(getattr(self, f.name), INPUT_SCHEMAS[f.name], f.name)
-                           for f in fields(self)})
-
     def clicks_of(self, params: AllocParams) -> DataFrame:
         """Click rows of the run date. On a date-partitioned table this prunes partitions."""
         return self.ad_clicks.filter(F.col("date_date") == F.lit(params.run_date))

@@ -1 +1,6 @@
+"""No streaming operators.
 
+The allocation is a once-a-day batch over one day's clicks. The rules it
+reproduces have no stream sources, watermarks, event-time windows or state
+across runs, so this package stays empty on purpose (see README).
+"""
