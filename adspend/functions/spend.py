@@ -112,3 +112,24 @@ def let(value: Column, body) -> Column:
     size and per-row work grow linearly with the number of chained steps.
     """
     return F.transform(F.array(value), lambda v: body(v)).getItem(0)
+
+
+def session_cached(fn):
+    """Cache a Column builder per SparkContext.
+
+    Column expressions only name columns, so one built Column can serve every
+    DataFrame of the session. Building the large stage expressions once saves
+    thousands of driver-to-JVM calls per query.
+    """
+    cache: dict = {}
+
+    def wrapper(*args):
+        from pyspark import SparkContext
+        key = (id(SparkContext._active_spark_context), args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper

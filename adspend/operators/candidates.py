@@ -30,7 +30,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspend.functions.spend import capped, dbl, dec, near_exhausted, ratio, underspent
+from adspend.functions.spend import capped, dbl, dec, near_exhausted, ratio, session_cached, underspent
 from adspend.operators import eligibility as elig
 from adspend.operators.facts import (
     FEED_PRICES, account_rollups, campaign_policy_flags, click_facts, exported_today, price_tag,
@@ -266,6 +266,7 @@ def ledger_entry(publisher_id: int, price, spend: Column, step: int) -> Column:
     )
 
 
+@session_cached
 def candidate_array(steps=SCENARIO_ORDER) -> Column:
     """All candidates of the given stages of one campaign row, in run order."""
     parts = []

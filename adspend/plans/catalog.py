@@ -44,13 +44,22 @@ class Query:
     sql: str | None  # body over the mapped relations; None: no SQL form
 
     def run(self, spark: SparkSession, sf_dir: str, params: AllocParams = DEFAULT_PARAMS) -> DataFrame:
-        return self.build(fixture_inputs(spark, sf_dir, params), params)
+        return self.build(_inputs(spark, sf_dir, params), params)
 
     def oracle(self) -> str | None:
         return O.with_ctes(self.sql) if self.sql is not None else None
 
 
 REGISTRY: dict[str, Query] = {}
+_INPUTS: dict = {}
+
+
+def _inputs(spark: SparkSession, sf_dir: str, params: AllocParams) -> AdInputs:
+    """The mapped inputs of one table folder; the lazy frames are shared by all queries."""
+    key = (id(spark), sf_dir, params)
+    if key not in _INPUTS:
+        _INPUTS[key] = fixture_inputs(spark, sf_dir, params)
+    return _INPUTS[key]
 
 
 def query(name: str, sql: str | None):

@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adspend.functions.spend import let, next_day
+from adspend.functions.spend import let, next_day, session_cached
 from adspend.operators import feeds, ledger
 from adspend.operators.arbitration import arbitrate_entries
 from adspend.operators.candidates import campaign_frame, candidate_array
@@ -58,6 +58,11 @@ PHASE_NAMES = tuple(p.name for p in PHASES)
 _PHASE_INPUTS = ("camp_id", "user_id", "system_daily_budget", "cost_today", "cost_per_click")
 
 
+@session_cached
+def _arbitrated() -> Column:
+    return let(F.col("cands"), arbitrate_entries)
+
+
 def scenario_frame(inputs: AdInputs, params: AllocParams, frame: DataFrame | None = None) -> DataFrame:
     """Campaign rows with ``cands`` (all stage 0-9 candidates) and ``entries``
     (the arbitrated ledger of stages 0-9)."""
@@ -65,24 +70,38 @@ def scenario_frame(inputs: AdInputs, params: AllocParams, frame: DataFrame | Non
     flags = [c for c in frame.columns if c.startswith(("user_premium", "user_exclude", "user_include",
                                                        "camp_exclude", "camp_include"))]
     return (frame.select(*_PHASE_INPUTS, *flags, candidate_array(SCENARIO_ORDER).alias("cands"))
-            .withColumn("entries", let(F.col("cands"), arbitrate_entries)))
+            .withColumn("entries", _arbitrated()))
 
 
-def run_phases(scenarios: DataFrame, upto: str | None = None, snapshot: str | None = None) -> DataFrame:
-    """Apply phases in run order up to and including ``upto`` (all if None).
+@session_cached
+def phased_entries(upto: str | None = None) -> Column:
+    """``entries`` after the phases up to and including ``upto`` (all if None).
 
-    Each phase is its own projection. Catalyst keeps them apart (they are not
-    cheap to duplicate), and whole-stage codegen still fuses them into one stage.
-    With ``snapshot`` the entries that phase touched are kept as ``touched``.
+    Phases nest as ``let`` bindings, so the array each phase reads is computed
+    once per row, and the whole chain is one projection (one codegen stage).
     """
-    df = scenarios
+    expr = F.col("entries")
     for phase in PHASES:
-        df = df.withColumn("entries", let(F.col("entries"), phase.apply))
-        if phase.name == snapshot:
-            df = df.withColumn("touched", F.filter(F.col("entries"), phase.touched))
+        expr = let(expr, phase.apply)
         if phase.name == upto:
             break
-    return df
+    return expr
+
+
+@session_cached
+def _touched(name: str) -> Column:
+    phase = next(p for p in PHASES if p.name == name)
+    return F.filter(phased_entries(name), phase.touched)
+
+
+def run_phases(scenarios: DataFrame, upto: str | None = None, snapshot: str | None = None) -> DataFrame:
+    """Apply the phases in run order up to ``upto``. With ``snapshot`` (= ``upto``),
+    the entries that phase wrote or changed are returned as ``touched``."""
+    if snapshot is not None:
+        if snapshot != upto:
+            raise ValueError("snapshot must name the last phase run")
+        return scenarios.withColumn("touched", _touched(snapshot))
+    return scenarios.withColumn("entries", phased_entries(upto))
 
 
 def entries_to_rows(df: DataFrame, column: str, params: AllocParams) -> DataFrame:
