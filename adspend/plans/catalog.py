@@ -570,7 +570,7 @@ def _x_floor(inp, p):
     return rows.select("camp_id", F.floor((cand.B() - cand.C()) / cand.P()).cast("long").alias("clicks_left"))
 
 
-@query("fn_next_day", "SELECT camp_id, camp_end + INTERVAL 1 DAY AS day_after_end FROM campaigns")
+@query("fn_next_day", "SELECT camp_id, CAST(camp_end + INTERVAL 1 DAY AS DATE) AS day_after_end FROM campaigns")
 def _x_next_day(inp, p):
     return inp.campaigns.select("camp_id", next_day(F.col("camp_end")).alias("day_after_end"))
 

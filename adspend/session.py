@@ -15,6 +15,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a bloom filter built from today's clicks prunes the click-to-batch history
+    # before its shuffle (injected by Spark once that side is large)
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 

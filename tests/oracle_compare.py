@@ -54,6 +54,10 @@ def rows_of(columns, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows], [columns[i] for i in order]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+                 "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+
+
 def compare(spark, con, name: str, sf_dir: str) -> dict:
     from __spark_entry__ import oracle_sql, queries
     t0 = time.time()
@@ -75,6 +79,13 @@ def compare(spark, con, name: str, sf_dir: str) -> dict:
     if scols != dcols:
         out["status"] = f"columns differ: spark={scols} duck={dcols}"
         return out
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    d_types = {c[0]: str(c[1]).upper() for c in res.description}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_types if s_types[c] != d_types.get(c)}
+    if bad_types:
+        out["status"] = f"types differ: {bad_types}"
+        return out
     cs, cd = collections.Counter(srows), collections.Counter(drows)
     if cs == cd:
         out["status"] = "match"

@@ -37,3 +37,27 @@ def test_scenarios_need_no_window_exchange(spark):
     plan = _executed_plan(pl.scenario_ledger(fixture_inputs(spark, SF_SMALL, P), P))
     assert "Window" not in plan
     assert not re.search(r"Exchange hashpartitioning\(publisher_id", plan)
+
+
+def test_batch_history_is_prefiltered_by_todays_clicks(spark):
+    """With the size thresholds lowered to this data size, Spark injects a runtime
+    bloom filter from today's clicks into the click-to-batch scan, through the
+    per-click aggregation, so the batch history is cut before it is shuffled."""
+    from adspend.operators import eligibility as elig
+    from adspend.operators import facts
+
+    base = tempfile.mkdtemp(prefix="adspend-test-inputs-")
+    write_parquet_inputs(fixture_inputs(spark, SF_SMALL, P), base)
+    conf = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        inputs = read_parquet_inputs(spark, base)
+        df = facts.click_facts(inputs, P, elig.eligible_campaign_rows(inputs, P))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"might_contain\(.*xxhash64\(click_id", plan)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
