@@ -152,3 +152,33 @@ def write_ledger(ledger_rows: DataFrame, path: str, fmt: str = "parquet") -> Non
     """
     (ledger_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date_date").format(fmt).save(path))
+
+
+def run_daily(spark, inputs: AdInputs, params: AllocParams, ledger_path: str,
+              checkpoint: bool = True) -> dict[int, int]:
+    """The production run: allocate, write the target date's partition, report counts.
+
+    * Stops without writing when no advertiser has a usable vertical (the ledger
+      of the day is left as it is), like the reference's guard.
+    * With ``checkpoint``, the campaign frame (one row per eligible campaign, the
+      result of the click and account shuffles) is checkpointed into
+      ``spark.checkpoint.dir``. The folder is read from the session, never set
+      here on a cluster. Losing an executor after that point does not re-run the
+      click rollups.
+    * Returns rows per final step number. The report has one row per step, so
+      collecting it is bounded.
+    """
+    from adspend.operators.eligibility import eligible_advertisers
+    from adspend.session import ensure_checkpoint_dir
+
+    if eligible_advertisers(inputs, params).isEmpty():
+        return {}
+    frame = campaign_frame(inputs, params)
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
+        frame = frame.checkpoint(eager=True)
+    ledger_rows = entries_to_rows(run_phases(scenario_frame(inputs, params, frame)), "entries", params)
+    ledger_rows = ledger_rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
+    write_ledger(ledger_rows, ledger_path)
+    written = spark.read.parquet(ledger_path).filter(F.col("date_date") == next_day(params.run_date))
+    return {r["step_num"]: r["rows"] for r in stage_row_counts(written).collect()}

@@ -68,3 +68,25 @@ def test_stage_counts_at_sf001(spark):
                 "stage_601": 1135}
     for name, n in expected.items():
         assert pl.phase_rows(inputs, P, name).count() == n, name
+
+
+def test_run_daily_writes_partition_and_reports(spark):
+    from adspend.params import AllocParams
+    inputs = fixture_inputs(spark, SF_SMALL, P)
+    out = tempfile.mkdtemp(prefix="adspend-test-daily-")
+    report = pl.run_daily(spark, inputs, P, out)
+    expected = _rows(pl.stage_row_counts(pl.allocate(inputs, P)), ["step_num", "rows"])
+    assert sorted(report.items()) == expected and sum(report.values()) > 0
+    # another day's run leaves this day's partition in place
+    other = AllocParams(run_date=P.run_date.replace(day=20))
+    pl.run_daily(spark, fixture_inputs(spark, SF_SMALL, other), other, out, checkpoint=False)
+    days = {r.date_date for r in spark.read.parquet(out).select("date_date").distinct().collect()}
+    assert P.target_date in days
+
+
+def test_run_daily_stops_without_eligible_advertisers(make):
+    b = make()
+    b.rows["users"].append((1, 1, "Acme", "managed", "us", None, None, None))
+    b.vertical(1, "NA")
+    out = tempfile.mkdtemp(prefix="adspend-test-empty-")
+    assert pl.run_daily(b.spark, b.build(), P, out) == {}
