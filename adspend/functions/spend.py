@@ -23,6 +23,24 @@ def dec(value) -> Column:
     return F.lit(Decimal(str(value)))
 
 
+MONEY_SCALE = 4
+MONEY_TOTAL = "decimal(18,4)"
+
+
+def money_units(c: Column) -> Column:
+    """A DECIMAL(12,4) amount as a whole number of 1/10000 units (exact, BIGINT).
+
+    Sums of DECIMAL(12,4) widen past 18 digits, which Spark computes with
+    java.math.BigDecimal. Summing units as BIGINT is exact and runs on longs.
+    """
+    return (c * dec(10 ** MONEY_SCALE)).cast("long")
+
+
+def from_units(c: Column) -> Column:
+    """Inverse of ``money_units`` for a summed total: exact DECIMAL(18,4)."""
+    return (c.cast("decimal(18,0)") / dec(10 ** MONEY_SCALE)).cast(MONEY_TOTAL)
+
+
 def dbl(c: Column) -> Column:
     return c.cast("double")
 

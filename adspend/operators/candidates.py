@@ -77,9 +77,10 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
 
     Starts from the E1 join (campaign and user columns), adds the account
     rollups and user policies (keyed by ``user_id``), then the click rollup, the
-    export set and campaign policies (keyed by ``camp_id``; the click rollup
-    is aggregated by ``camp_id``, so it arrives partitioned). ``eligible``
-    optionally narrows the campaigns further.
+    export set and campaign policies (keyed by ``camp_id``). The click rollup is
+    joined after its aggregation. Raw clicks are never shuffled by ``camp_id``, so
+    a campaign with a third of all clicks is pre-aggregated map-side and no task
+    receives its raw rows. ``eligible`` optionally narrows the campaigns further.
     """
     rows = elig.eligible_campaign_rows(inputs, params)
     if eligible is not None:
@@ -89,7 +90,7 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
     exported_has_null = exported.filter(F.col("camp_id").isNull()).exists()
     frame = (rows.join(account_rollups(inputs, params), "user_id")
              .join(user_policy, "user_id", "left")
-             .join(click_facts(inputs, params, rows), "camp_id", "left")
+             .join(click_facts(inputs, params), "camp_id", "left")
              .join(exported.filter(F.col("camp_id").isNotNull())
                    .select("camp_id", F.lit(True).alias("exported")), "camp_id", "left")
              .join(campaign_policy_flags(inputs).withColumnRenamed("id", "camp_id"), "camp_id", "left"))

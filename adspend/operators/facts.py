@@ -15,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspend.functions.spend import dec, feed_price, if_, is_billable, is_main_billable, ratio, run_date
+from adspend.functions.spend import (
+    dec, feed_price, from_units, if_, is_billable, is_main_billable, money_units, ratio, run_date,
+)
 from adspend.operators.eligibility import running_campaign
 from adspend.params import (
     MAIN_PUBLISHER, POLICY_EXCLUDE, POLICY_INCLUDE, POLICY_PREMIUM_BOOST, POLICY_PREMIUM_FEED,
@@ -43,10 +45,11 @@ def batch_feed_counts(inputs: AdInputs) -> DataFrame:
 
 def campaign_click_totals(clicks: DataFrame) -> DataFrame:
     """Per campaign: billable main-publisher clicks and revenue, average billable cost."""
+    cost_units = money_units(F.col("click_cost"))
     return clicks.groupBy("camp_id").agg(
         F.sum(if_(is_main_billable(), 1, 0)).cast("long").alias("paid_clicks"),
-        F.sum(if_(is_main_billable(), F.col("click_cost"), 0)).alias("rev"),
-        ratio(F.sum(if_(is_billable(), F.col("click_cost"), 0)),
+        from_units(F.sum(if_(is_main_billable(), cost_units, 0))).alias("rev"),
+        ratio(from_units(F.sum(if_(is_billable(), cost_units, 0))),
               F.sum(if_(is_billable(), 1, 0))).alias("avg_click_cost"))
 
 
@@ -63,20 +66,26 @@ def click_facts(inputs: AdInputs, params: AllocParams, camps: DataFrame | None =
     if camps is not None:
         clicks = clicks.join(camps.select("camp_id"), "camp_id", "left_semi")
     joined = clicks.join(batch_feed_counts(inputs), F.col("record_id") == F.col("click_id"), "left")
-    main_cost = if_(is_main_billable(), F.col("click_cost"), 0)
+    # money is summed as exact BIGINT units and turned back into DECIMAL once per campaign
+    cost_units = money_units(F.col("click_cost"))
+    main_units = if_(is_main_billable(), cost_units, 0)
     main_clk = if_(is_main_billable(), 1, 0)
     aggs = [
         F.count(F.lit(1)).alias("click_rows"),
-        F.sum(main_cost).alias("rev"),
-        F.sum(if_(is_billable(), F.col("click_cost"), 0)).alias("paid_cost"),
+        F.sum(main_units).alias("rev"),
+        F.sum(if_(is_billable(), cost_units, 0)).alias("paid_cost"),
         F.sum(if_(is_billable(), 1, 0)).alias("paid_n"),
     ]
+    units = ["rev", "paid_cost"]
     for p in FEED_PRICES:
-        n = F.coalesce(F.col(f"n_{price_tag(p)}"), F.lit(0))
-        aggs += [F.sum(n).alias(f"rows_{price_tag(p)}"),
-                 F.sum(main_clk * n).alias(f"clk_{price_tag(p)}"),
-                 F.sum(main_cost * n).alias(f"rev_{price_tag(p)}")]
-    return joined.groupBy("camp_id").agg(*aggs)
+        t = price_tag(p)
+        n = F.coalesce(F.col(f"n_{t}"), F.lit(0))
+        aggs += [F.sum(n).alias(f"rows_{t}"),
+                 F.sum(main_clk * n).alias(f"clk_{t}"),
+                 F.sum(main_units * n).alias(f"rev_{t}")]
+        units.append(f"rev_{t}")
+    rolled = joined.groupBy("camp_id").agg(*aggs)
+    return rolled.select(*[from_units(F.col(c)).alias(c) if c in units else c for c in rolled.columns])
 
 
 def account_rollups(inputs: AdInputs, params: AllocParams) -> DataFrame:
@@ -89,15 +98,17 @@ def account_rollups(inputs: AdInputs, params: AllocParams) -> DataFrame:
     aggregation bounds what an account with very many campaigns sends to the shuffle.
     """
     run = running_campaign(params)
-    budget, cost = F.col("system_daily_budget"), F.col("cost_today")
-    return inputs.campaigns.groupBy("user_id").agg(
+    budget, cost = F.col("system_daily_budget"), money_units(F.col("cost_today"))
+    rolled = inputs.campaigns.groupBy("user_id").agg(
         F.sum(cost).alias("spent_all"),
         F.sum(if_(budget.isNull(), 1, 0)).alias("null_budget_all"),
         F.sum(if_(run, cost, None)).alias("spent_run"),
-        F.sum(if_(run, F.coalesce(budget, F.lit(0)), None)).alias("nb_run"),
+        F.sum(if_(run, F.coalesce(money_units(budget), F.lit(0)), None)).alias("nb_run"),
         F.sum(if_(run & budget.isNull(), 1, 0)).alias("nn_run"),
         F.sum(if_(run, 1, 0)).alias("n_run"),
     )
+    money = ("spent_all", "spent_run", "nb_run")
+    return rolled.select(*[from_units(F.col(c)).alias(c) if c in money else c for c in rolled.columns])
 
 
 def account_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
