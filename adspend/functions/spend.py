@@ -143,7 +143,8 @@ def session_cached(fn):
 
     def wrapper(*args):
         from pyspark import SparkContext
-        key = (id(SparkContext._active_spark_context), args)
+        sc = SparkContext._active_spark_context
+        key = (sc.applicationId, sc.startTime, args) if sc is not None else (None, None, args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]

@@ -56,7 +56,8 @@ _INPUTS: dict = {}
 
 def _inputs(spark: SparkSession, sf_dir: str, params: AllocParams) -> AdInputs:
     """The mapped inputs of one table folder; the lazy frames are shared by all queries."""
-    key = (id(spark), sf_dir, params)
+    sc = spark.sparkContext
+    key = (sc.applicationId, sc.startTime, sf_dir, params)
     if key not in _INPUTS:
         _INPUTS[key] = fixture_inputs(spark, sf_dir, params)
     return _INPUTS[key]
