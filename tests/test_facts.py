@@ -45,3 +45,17 @@ def test_account_rollups_split_running_and_all(make):
     assert r["spent_all"] == Decimal("36") and r["null_budget_all"] == 2
     assert r["spent_run"] == Decimal("12") and r["nb_run"] == Decimal("20")
     assert r["nn_run"] == 1 and r["n_run"] == 2
+
+
+def test_hot_campaign_totals_are_exact(make):
+    """One campaign with most of the clicks: totals equal a brute-force sum."""
+    b = make().user(1).campaign(1, 1, 50, 10, 0.5).campaign(2, 1, 50, 10, 0.5).batch(21, 2)
+    costs = [Decimal("0.05") + Decimal(i % 11) / 100 for i in range(3000)]
+    for i, c in enumerate(costs):
+        b.click(i, 1, cost=c, batches=(21,) if i % 3 == 0 else ())
+    b.click(99999, 2, cost=0.3)
+    f = _by_camp(facts.click_facts(b.build(), P))
+    assert f[1]["click_rows"] == 3000 and f[2]["click_rows"] == 1
+    assert f[1]["rev"] == sum(costs)
+    assert f[1]["rev_011"] == sum(c for i, c in enumerate(costs) if i % 3 == 0)
+    assert f[1]["clk_011"] == 1000

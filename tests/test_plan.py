@@ -50,7 +50,7 @@ def test_batch_history_is_prefiltered_by_todays_clicks(spark):
     write_parquet_inputs(fixture_inputs(spark, SF_SMALL, P), base)
     conf = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
             "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k) for k in conf}
+    old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
@@ -60,4 +60,35 @@ def test_batch_history_is_prefiltered_by_todays_clicks(spark):
         assert re.search(r"might_contain\(.*xxhash64\(click_id", plan)
     finally:
         for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_raw_clicks_are_pre_aggregated_before_any_campaign_shuffle(spark):
+    """With broadcasts off (large sides), raw clicks move only by record_id; the only
+    camp_id exchange on the click side carries partial aggregates, so a hot campaign
+    sends one row per task."""
+    base = tempfile.mkdtemp(prefix="adspend-test-inputs-")
+    write_parquet_inputs(fixture_inputs(spark, SF_SMALL, P), base)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
             spark.conf.set(k, v)
+        plan = _executed_plan(pl.allocate(read_parquet_inputs(spark, base), P))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan parquet" in line and "/ad_clicks" in line)
+    # walk up from the click scan: the first camp_id exchange must sit above a partial aggregate
+    above = lines[:scan][::-1]
+    first_camp_exchange = next(i for i, line in enumerate(above) if "Exchange hashpartitioning(camp_id" in line)
+    assert any("partial_" in line for line in above[:first_camp_exchange])
+    assert any("Exchange hashpartitioning(record_id" in line for line in above[:first_camp_exchange])
