@@ -71,25 +71,61 @@ class Candidate:
     spend: Column
 
 
+def user_frame(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """One row per funded user in E0 (``id``): account budget, spend rollups, policy flags.
+
+    Everything keyed by user is joined here, among per-user tables, before any
+    campaign row is touched.
+    """
+    e0 = elig.eligible_advertisers(inputs, params)
+    return (inputs.users.filter(elig.funded_user(params)).select("id", "account_system_daily_budget")
+            .join(e0, F.col("id") == e0.advertiser_id, "left_semi")
+            .join(account_rollups(inputs, params).withColumnRenamed("user_id", "id"), "id")
+            .join(user_policy_flags(inputs), "id", "left"))
+
+
+def join_accounts(rows: DataFrame, users: DataFrame, params: AllocParams) -> DataFrame:
+    """Campaign rows joined to their account row, with hot accounts salted.
+
+    An account with more than ``params.hot_account_campaigns`` campaigns is hot.
+    Its campaigns get ``salt = camp_id mod buckets``, its account row is repeated
+    once per salt, and the join runs on (user_id, salt). One account's campaigns
+    are then spread over ``buckets`` tasks instead of landing in one. Other
+    accounts keep salt 0 and are not repeated. The hot-account list is broadcast
+    because its size is bounded: at most (number of campaigns / threshold) ids.
+    """
+    buckets, threshold = params.account_salt_buckets, params.hot_account_campaigns
+    is_hot = F.col("n_all") > threshold
+    hot_ids = users.filter(is_hot).select(F.col("id").alias("_hot_id"))
+    salted_rows = (rows.join(F.broadcast(hot_ids), rows.user_id == F.col("_hot_id"), "left")
+                   .withColumn("_salt", F.when(F.col("_hot_id").isNotNull(),
+                                               F.pmod(F.col("camp_id"), F.lit(buckets)).cast("int")).otherwise(F.lit(0)))
+                   .drop("_hot_id"))
+    salted_users = users.withColumn("_salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
+    joined = salted_rows.join(salted_users, (F.col("user_id") == F.col("id")) & (salted_rows._salt == salted_users._salt))
+    return joined.drop("id", "_salt", "n_all")
+
+
 def campaign_frame(inputs: AdInputs, params: AllocParams,
                    eligible: DataFrame | None = None) -> DataFrame:
     """One row per eligible campaign with every fact a stage can test.
 
-    Starts from the E1 join (campaign and user columns), adds the account
-    rollups and user policies (keyed by ``user_id``), then the click rollup, the
-    export set and campaign policies (keyed by ``camp_id``). The click rollup is
-    joined after its aggregation. Raw clicks are never shuffled by ``camp_id``, so
-    a campaign with a third of all clicks is pre-aggregated map-side and no task
-    receives its raw rows. ``eligible`` optionally narrows the campaigns further.
+    Running campaigns meet the per-user frame in one join on ``user_id``. Its
+    output is re-partitioned by ``camp_id`` for the next joins anyway, so AQE may
+    split an account holding a third of all campaigns across tasks. Then come
+    the click rollup, the export set and the campaign policies, keyed by
+    ``camp_id``. The click rollup is joined after its aggregation: raw clicks are
+    never shuffled by ``camp_id``, so a campaign with a third of all clicks is
+    pre-aggregated map-side. ``eligible`` optionally narrows the campaigns further.
     """
-    rows = elig.eligible_campaign_rows(inputs, params)
+    rows = inputs.campaigns.filter(elig.running_campaign(params)).select(
+        "camp_id", "user_id", "camp_name", "system_daily_budget", "cost_today", "cost_per_click")
     if eligible is not None:
         rows = rows.join(eligible.select("camp_id"), "camp_id", "left_semi")
-    user_policy = user_policy_flags(inputs).withColumnRenamed("id", "user_id")
     exported = exported_today(inputs, params)
     exported_has_null = exported.filter(F.col("camp_id").isNull()).exists()
-    frame = (rows.join(account_rollups(inputs, params), "user_id")
-             .join(user_policy, "user_id", "left")
+    frame = (join_accounts(rows, user_frame(inputs, params), params)
              .join(click_facts(inputs, params), "camp_id", "left")
              .join(exported.filter(F.col("camp_id").isNotNull())
                    .select("camp_id", F.lit(True).alias("exported")), "camp_id", "left")

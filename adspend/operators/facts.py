@@ -106,6 +106,7 @@ def account_rollups(inputs: AdInputs, params: AllocParams) -> DataFrame:
         F.sum(if_(run, F.coalesce(money_units(budget), F.lit(0)), None)).alias("nb_run"),
         F.sum(if_(run & budget.isNull(), 1, 0)).alias("nn_run"),
         F.sum(if_(run, 1, 0)).alias("n_run"),
+        F.count(F.lit(1)).alias("n_all"),
     )
     money = ("spent_all", "spent_run", "nb_run")
     return rolled.select(*[from_units(F.col(c)).alias(c) if c in money else c for c in rolled.columns])

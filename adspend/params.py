@@ -91,6 +91,10 @@ class AllocParams:
     user_active_status: int = 1
     excluded_product: str = "selfserve"
     excluded_country: str = "ca"
+    # Skew: an account with more campaigns than this is spread over
+    # ``account_salt_buckets`` join partitions (see operators.candidates).
+    hot_account_campaigns: int = 100_000
+    account_salt_buckets: int = 64
 
     @property
     def target_date(self) -> _dt.date:

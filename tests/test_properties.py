@@ -90,3 +90,12 @@ def test_run_daily_stops_without_eligible_advertisers(make):
     b.vertical(1, "NA")
     out = tempfile.mkdtemp(prefix="adspend-test-empty-")
     assert pl.run_daily(b.spark, b.build(), P, out) == {}
+
+
+def test_salting_hot_accounts_keeps_results(spark):
+    """Treat almost every account as hot (tiny threshold): the ledger is unchanged."""
+    from dataclasses import replace
+    inputs = fixture_inputs(spark, SF_MID, P)
+    salted = replace(P, hot_account_campaigns=3, account_salt_buckets=5)
+    cols = KEY + ["target_spend", "step_num", "job_export_feed_id", "active_flag"]
+    assert _rows(pl.allocate(inputs, salted), cols) == _rows(pl.allocate(inputs, P), cols)
