@@ -71,20 +71,21 @@ class Candidate:
     spend: Column
 
 
-def user_frame(inputs: AdInputs, params: AllocParams) -> DataFrame:
+def user_frame(inputs: AdInputs, params: AllocParams, rollups: DataFrame | None = None) -> DataFrame:
     """One row per funded user in E0 (``id``): account budget, spend rollups, policy flags.
 
     Everything keyed by user is joined here, among per-user tables, before any
     campaign row is touched.
     """
+    rollups = rollups if rollups is not None else account_rollups(inputs, params)
     e0 = elig.eligible_advertisers(inputs, params)
     return (inputs.users.filter(elig.funded_user(params)).select("id", "account_system_daily_budget")
             .join(e0, F.col("id") == e0.advertiser_id, "left_semi")
-            .join(account_rollups(inputs, params).withColumnRenamed("user_id", "id"), "id")
+            .join(rollups.withColumnRenamed("user_id", "id"), "id")
             .join(user_policy_flags(inputs), "id", "left"))
 
 
-def join_accounts(rows: DataFrame, users: DataFrame, params: AllocParams) -> DataFrame:
+def join_accounts(rows: DataFrame, users: DataFrame, rollups: DataFrame, params: AllocParams) -> DataFrame:
     """Campaign rows joined to their account row, with hot accounts salted.
 
     An account with more than ``params.hot_account_campaigns`` campaigns is hot.
@@ -96,7 +97,8 @@ def join_accounts(rows: DataFrame, users: DataFrame, params: AllocParams) -> Dat
     """
     buckets, threshold = params.account_salt_buckets, params.hot_account_campaigns
     is_hot = F.col("n_all") > threshold
-    hot_ids = users.filter(is_hot).select(F.col("id").alias("_hot_id"))
+    # from the campaigns-per-account rollup itself (its shuffle is shared with ``users``)
+    hot_ids = rollups.filter(is_hot).select(F.col("user_id").alias("_hot_id"))
     salted_rows = (rows.join(F.broadcast(hot_ids), rows.user_id == F.col("_hot_id"), "left")
                    .withColumn("_salt", F.when(F.col("_hot_id").isNotNull(),
                                                F.pmod(F.col("camp_id"), F.lit(buckets)).cast("int")).otherwise(F.lit(0)))
@@ -125,7 +127,8 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
         rows = rows.join(eligible.select("camp_id"), "camp_id", "left_semi")
     exported = exported_today(inputs, params)
     exported_has_null = exported.filter(F.col("camp_id").isNull()).exists()
-    frame = (join_accounts(rows, user_frame(inputs, params), params)
+    rollups = account_rollups(inputs, params)
+    frame = (join_accounts(rows, user_frame(inputs, params, rollups), rollups, params)
              .join(click_facts(inputs, params), "camp_id", "left")
              .join(exported.filter(F.col("camp_id").isNotNull())
                    .select("camp_id", F.lit(True).alias("exported")), "camp_id", "left")
