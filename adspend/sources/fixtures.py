@@ -119,31 +119,36 @@ def _advertiser_vertical(customer: DataFrame) -> DataFrame:
     )
 
 
-def _policy(ids: DataFrame, key: str, predicate: F.Column, policy: str, entity: str,
-            price: Decimal | None) -> DataFrame:
-    return ids.filter(predicate).select(
-        F.lit(policy).alias("policy"), F.lit(entity).alias("entity"), F.col(key).alias("id"),
-        (F.lit(float(price)) if price is not None else F.lit(None)).cast("double").alias("publisher_cpc"))
+def _policy_rows(ids, key: str, entity: str, rules) -> DataFrame:
+    """One scan of ``ids``: each id emits a policy row for every rule it matches."""
+    k = F.col(key)
+    matches = F.array(*[
+        F.when(pred(k), F.struct(F.lit(policy).alias("policy"),
+                                 F.lit(None if price is None else float(price)).cast("double").alias("price")))
+        for pred, policy, price in rules])
+    return (ids.select(k.alias("id"), F.explode(F.filter(matches, lambda x: x.isNotNull())).alias("p"))
+            .select(F.col("p.policy").alias("policy"), F.lit(entity).alias("entity"), "id",
+                    F.col("p.price").alias("publisher_cpc")))
+
+
+# Fixed values of the test mapping: which ids each policy lists.
+USER_RULES = (
+    (lambda c: c % 6 == 1, POLICY_PREMIUM_FEED, None),
+    (lambda c: c % 12 == 1, POLICY_PREMIUM_BOOST, None),
+    (lambda c: c % 31 == 5, POLICY_EXCLUDE, PRICE_011),
+    (lambda c: c % 31 == 5, POLICY_EXCLUDE, PRICE_025),
+    (lambda c: c % 37 == 3, POLICY_INCLUDE, PRICE_011),
+    (lambda c: c % 41 == 3, POLICY_INCLUDE, PRICE_025),
+)
+CAMPAIGN_RULES = (
+    (lambda k: k % 101 == 7, POLICY_INCLUDE, PRICE_025),
+    (lambda k: k % 97 == 5, POLICY_INCLUDE, PRICE_041),
+)
 
 
 def _client_policy(customer: DataFrame, orders: DataFrame) -> DataFrame:
-    c, k = F.col("c_custkey"), F.col("o_orderkey")
-    users = customer.select("c_custkey")
-    camps = orders.select("o_orderkey")
-    parts = [
-        _policy(users, "c_custkey", c % 6 == 1, POLICY_PREMIUM_FEED, "user", None),
-        _policy(users, "c_custkey", c % 12 == 1, POLICY_PREMIUM_BOOST, "user", None),
-        _policy(users, "c_custkey", c % 31 == 5, POLICY_EXCLUDE, "user", PRICE_011),
-        _policy(users, "c_custkey", c % 31 == 5, POLICY_EXCLUDE, "user", PRICE_025),
-        _policy(users, "c_custkey", c % 37 == 3, POLICY_INCLUDE, "user", PRICE_011),
-        _policy(users, "c_custkey", c % 41 == 3, POLICY_INCLUDE, "user", PRICE_025),
-        _policy(camps, "o_orderkey", k % 101 == 7, POLICY_INCLUDE, "camp", PRICE_025),
-        _policy(camps, "o_orderkey", k % 97 == 5, POLICY_INCLUDE, "camp", PRICE_041),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (_policy_rows(customer, "c_custkey", "user", USER_RULES)
+            .unionByName(_policy_rows(orders, "o_orderkey", "camp", CAMPAIGN_RULES)))
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str, params: AllocParams = DEFAULT_PARAMS) -> AdInputs:
