@@ -27,11 +27,15 @@ def eligible_advertisers(inputs: AdInputs, params: AllocParams) -> DataFrame:
     return inputs.advertiser_vertical.filter(usable_vertical(params)).select("advertiser_id")
 
 
+def live_campaign(params: AllocParams) -> F.Column:
+    """Campaign status filter shared by every stage: status 'yes' and type 'pjl'."""
+    return (F.col("camp_type") == params.campaign_type) & (F.col("status") == params.active_status)
+
+
 def running_campaign(params: AllocParams) -> F.Column:
-    """Campaign row filters of E1: running 'pjl' campaigns on the run date."""
+    """Campaign row filters of E1: live campaigns whose date range holds the run date."""
     d = run_date(params)
-    return ((F.col("camp_type") == params.campaign_type) & (F.col("status") == params.active_status)
-            & (F.col("camp_start") <= d) & (F.col("camp_end") >= d))
+    return live_campaign(params) & (F.col("camp_start") <= d) & (F.col("camp_end") >= d)
 
 
 def funded_user(params: AllocParams) -> F.Column:

@@ -211,14 +211,14 @@ def _f_null(inp, p):
 @query("filter_near_exhausted", "SELECT camp_id FROM live WHERE system_daily_budget > 0 "
        "AND cost_today <= system_daily_budget AND system_daily_budget - 3 < cost_today")
 def _f_near(inp, p):
-    return (inp.campaigns.filter((F.col("status") == p.active_status) & (F.col("camp_type") == p.campaign_type))
+    return (inp.campaigns.filter(elig.live_campaign(p))
             .filter(near_exhausted(cand.B(), cand.C(), CAMPAIGN_MARGIN)).select("camp_id"))
 
 
 @query("filter_underspent", "SELECT camp_id, cost_today = 0 AS untouched FROM live "
                             "WHERE system_daily_budget - 3 >= cost_today")
 def _f_under(inp, p):
-    return (inp.campaigns.filter((F.col("status") == p.active_status) & (F.col("camp_type") == p.campaign_type))
+    return (inp.campaigns.filter(elig.live_campaign(p))
             .filter(underspent(cand.B(), cand.C(), CAMPAIGN_MARGIN))
             .select("camp_id", (cand.C() == 0).alias("untouched")))
 
@@ -263,7 +263,7 @@ def _project_constants(inp, p):
   CAST({O.FLOORDIV4('system_daily_budget - cost_today', 'cost_per_click')} AS BIGINT) AS target_clicks
   FROM live WHERE cost_per_click > 0.18 AND system_daily_budget - 3 >= cost_today AND cost_today = 0""")
 def _target_clicks(inp, p):
-    live = inp.campaigns.filter((F.col("status") == p.active_status) & (F.col("camp_type") == p.campaign_type))
+    live = inp.campaigns.filter(elig.live_campaign(p))
     rows = live.filter((cand.P() > MIN_CPC[PRICE_011]) & underspent(cand.B(), cand.C(), CAMPAIGN_MARGIN)
                        & (cand.C() == 0))
     clicks = F.when(cand.P() > 0, F.floor((cand.B() - cand.C()) / cand.P()))
@@ -519,7 +519,7 @@ def _u_incl(inp, p):
        WHEN cost_per_click = 0 THEN CAST((system_daily_budget - cost_today) * 0.40 AS DOUBLE) END AS raw_spend
   FROM live""")
 def _x_case(inp, p):
-    live = inp.campaigns.filter((F.col("status") == p.active_status) & (F.col("camp_type") == p.campaign_type))
+    live = inp.campaigns.filter(elig.live_campaign(p))
     raw = (F.when(cand.P() > 0, ratio(cand.B() - cand.C(), cand.P()) * dec(PRICE_011))
            .when(cand.P() == 0, dbl((cand.B() - cand.C()) * dec("0.40"))))
     return live.select("camp_id", raw.alias("raw_spend"))
@@ -545,7 +545,7 @@ def _x_if(inp, p):
 
 @query("fn_capped_spend", f"SELECT camp_id, {O.CAP('raw')} AS target_spend FROM s0")
 def _x_capped(inp, p):
-    frame = inp.campaigns.filter((F.col("status") == p.active_status) & (F.col("camp_type") == p.campaign_type))
+    frame = inp.campaigns.filter(elig.live_campaign(p))
     frame = frame.join(inp.users.select("id"), F.col("user_id") == F.col("id"))
     rows = frame.filter((cand.P() > MIN_CPC[PRICE_011]) & underspent(cand.B(), cand.C(), CAMPAIGN_MARGIN)
                         & (cand.C() == 0))
@@ -587,7 +587,7 @@ def _x_run_date(inp, p):
   {O.DIV('system_daily_budget - cost_today', 'cost_per_click')} AS clicks_left,
   CAST((system_daily_budget - cost_today) * 0.40 AS DOUBLE) AS share FROM live""")
 def _x_arith(inp, p):
-    live = inp.campaigns.filter((F.col("status") == p.active_status) & (F.col("camp_type") == p.campaign_type))
+    live = inp.campaigns.filter(elig.live_campaign(p))
     left = cand.B() - cand.C()
     return live.select("camp_id", dbl(left).alias("budget_left"), ratio(left, cand.P()).alias("clicks_left"),
                        dbl(left * dec("0.40")).alias("share"))
