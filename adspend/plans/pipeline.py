@@ -53,6 +53,8 @@ PHASES: tuple[Phase, ...] = (
           lambda x: (x.publisher_id == PARTNER_PUBLISHER) & (x.active_flag == 1)),
 )
 PHASE_NAMES = tuple(p.name for p in PHASES)
+# every step number a ledger row can end with
+ALL_STEPS = SCENARIO_ORDER + (12, 13, 14, 15, 16, 10, 11, 601)
 
 # Columns of the campaign frame the phases read.
 _PHASE_INPUTS = ("camp_id", "user_id", "system_daily_budget", "cost_today", "cost_per_click")
@@ -165,9 +167,11 @@ def run_daily(spark, inputs: AdInputs, params: AllocParams, ledger_path: str,
       ``spark.checkpoint.dir``. The folder is read from the session, never set
       here on a cluster. Losing an executor after that point does not re-run the
       click rollups.
-    * Returns rows per final step number. The report has one row per step, so
-      collecting it is bounded.
+    * Returns rows per final step number, counted by an ``Observation`` during
+      the write itself (no second pass over the ledger).
     """
+    from pyspark.sql import Observation
+
     from adspend.operators.eligibility import eligible_advertisers
     from adspend.session import ensure_checkpoint_dir
 
@@ -179,6 +183,9 @@ def run_daily(spark, inputs: AdInputs, params: AllocParams, ledger_path: str,
         frame = frame.checkpoint(eager=True)
     ledger_rows = entries_to_rows(run_phases(scenario_frame(inputs, params, frame)), "entries", params)
     ledger_rows = ledger_rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
-    write_ledger(ledger_rows, ledger_path)
-    written = spark.read.parquet(ledger_path).filter(F.col("date_date") == next_day(params.run_date))
-    return {r["step_num"]: r["rows"] for r in stage_row_counts(written).collect()}
+    report = Observation("allocation_steps")
+    step = F.col("step_num")
+    observed = ledger_rows.observe(report, *[F.sum(F.when(step == s, 1).otherwise(0)).alias(str(s))
+                                             for s in ALL_STEPS])
+    write_ledger(observed, ledger_path)
+    return {int(s): int(n) for s, n in report.get.items() if n}
