@@ -30,7 +30,7 @@ from adspend.params import (
     PRICE_025, PRICE_041, SCENARIO_ORDER, SPEND_CAP, AllocParams,
 )
 from adspend.plans import oracle as O
-from adspend.plans import pipeline as pl
+from adspend.plans import allocation as pl
 from adspend.sources.fixtures import fixture_inputs
 from adspend.sources.tables import AdInputs
 

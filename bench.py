@@ -25,7 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from adspend.operators.facts import click_facts  # noqa: E402
 from adspend.params import DEFAULT_PARAMS  # noqa: E402
-from adspend.plans import pipeline as pl  # noqa: E402
+from adspend.plans import allocation as pl  # noqa: E402
 from adspend.plans.catalog import REGISTRY  # noqa: E402
 from adspend.session import local_session  # noqa: E402
 from adspend.sources.fixtures import fixture_inputs  # noqa: E402

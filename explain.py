@@ -16,7 +16,7 @@ import tempfile
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from adspend.params import DEFAULT_PARAMS  # noqa: E402
-from adspend.plans.pipeline import allocate  # noqa: E402
+from adspend.plans.allocation import allocate  # noqa: E402
 from adspend.session import local_session  # noqa: E402
 from adspend.sources.fixtures import fixture_inputs  # noqa: E402
 from adspend.sources.tables import read_parquet_inputs, write_parquet_inputs  # noqa: E402

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from adspend.operators.eligibility import eligible_advertisers, eligible_campaigns
 from adspend.params import DEFAULT_PARAMS as P
-from adspend.plans import pipeline as pl
+from adspend.plans import allocation as pl
 
 
 def _cands(inputs, step):

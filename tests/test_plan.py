@@ -6,7 +6,7 @@ import re
 import tempfile
 
 from adspend.params import DEFAULT_PARAMS as P
-from adspend.plans import pipeline as pl
+from adspend.plans import allocation as pl
 from adspend.sources.fixtures import fixture_inputs
 from adspend.sources.tables import read_parquet_inputs, write_parquet_inputs
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from adspend.params import DEFAULT_PARAMS as P
 from adspend.params import SCENARIO_ORDER
-from adspend.plans import pipeline as pl
+from adspend.plans import allocation as pl
 from adspend.sources.fixtures import fixture_inputs
 
 from conftest import SF_MID, SF_SMALL
