@@ -56,8 +56,12 @@ _INPUTS: dict = {}
 
 def _inputs(spark: SparkSession, sf_dir: str, params: AllocParams) -> AdInputs:
     """The mapped inputs of one table folder; the lazy frames are shared by all queries."""
-    sc = spark.sparkContext
-    key = (sc.applicationId, sc.startTime, sf_dir, params)
+    try:
+        sc = spark.sparkContext
+        owner = (sc.applicationId, sc.startTime)
+    except Exception:  # a Spark Connect session has no SparkContext on the client
+        owner = (id(spark),)
+    key = (*owner, sf_dir, params)
     if key not in _INPUTS:
         _INPUTS[key] = fixture_inputs(spark, sf_dir, params)
     return _INPUTS[key]
