@@ -43,7 +43,6 @@ from adspend.params import (
 from adspend.sources.tables import AdInputs
 
 
-
 def B() -> Column:
     return F.col("system_daily_budget")
 
@@ -60,7 +59,6 @@ def AB() -> Column:
     return F.col("account_system_daily_budget")
 
 
-
 @dataclass(frozen=True)
 class Candidate:
     """One way a stage proposes a spend: a row condition, a price and a spend."""
@@ -113,11 +111,10 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
                    eligible: DataFrame | None = None) -> DataFrame:
     """One row per eligible campaign with every fact a stage can test.
 
-    Running campaigns meet the per-user frame in one join on ``user_id``. Its
-    output is re-partitioned by ``camp_id`` for the next joins anyway, so AQE may
-    split an account holding a third of all campaigns across tasks. Then come
-    the click rollup, the export set and the campaign policies, keyed by
-    ``camp_id``. The click rollup is joined after its aggregation: raw clicks are
+    Running campaigns meet the per-user frame in one salted join on ``user_id``
+    (``join_accounts``), so an account holding a third of all campaigns is spread
+    over many tasks. Then come the click rollup, the export set and the campaign
+    policies, keyed by ``camp_id``. The click rollup is joined after its aggregation: raw clicks are
     never shuffled by ``camp_id``, so a campaign with a third of all clicks is
     pre-aggregated map-side. ``eligible`` optionally narrows the campaigns further.
     """
