@@ -15,9 +15,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # a bloom filter built from today's clicks prunes the click-to-batch history
-    # before its shuffle (injected by Spark once that side is large)
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
@@ -42,15 +39,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only when unset.
+    """The session's checkpoint folder, which every executor must be able to reach.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is used as is. Only a session without it (a local test) gets a fresh
-    scratch folder.
+    In this order: the folder already given to ``setCheckpointDir``; the folder that
+    ``spark.checkpoint.dir`` names; on a local master, where driver and executors are
+    one process, a fresh scratch folder. Any other master without a folder is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="adspend-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir (or call setCheckpointDir) to a folder that the driver "
+                f"and all executors share; master {sc.master} has none")
+        folder = tempfile.mkdtemp(prefix="adspend-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
