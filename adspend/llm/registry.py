@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adspend.llm import op08_bpe
+from adspend.llm import op01_quality, op08_bpe
+from adspend.llm import op10_mix as op10_mix_
 from adspend.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,23 @@ def query(f):
     return f
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_quality.quality(read(spark, sf_dir, "documents")).select(*op01_quality.OUTPUT)
+
+
+ORACLE["op1_quality"] = op01_quality.oracle()
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return op10_mix_.mix(docs).select("doc_id", "source", "mix.*")
+
+
+ORACLE["op10_mix"] = op10_mix_.oracle()
