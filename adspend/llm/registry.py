@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adspend.llm import op01_quality, op08_bpe
+from adspend.llm import op01_quality, op02_toxicity, op04_lines, op05_minhash, op07_metric, op08_bpe
 from adspend.llm import op10_mix as op10_mix_
 from adspend.llm.common import read
 
@@ -28,6 +29,30 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op1_quality"] = op01_quality.oracle()
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op02_toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return op04_lines.dedup_lines(docs).select("doc_id", "lines.*", F.md5("text").alias("clean_md5"))
+
+
+ORACLE["op4_lines"] = op04_lines.ORACLE
+
+
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05_minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_metric.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

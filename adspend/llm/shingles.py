@@ -88,7 +88,7 @@ def superminhash(elements: np.ndarray, sizes: np.ndarray, m: int, chunk: int = 1
         slots = out[a:b].reshape(-1)
         swaps = None
         for j in range(m):
-            draw = mix64(part + np.uint64(j + 1) * GOLDEN)
+            draw = mix64(part + np.uint64((j + 1) * int(GOLDEN) % 2**64))
             k = j + ((draw >> np.uint64(32)) * np.uint64(m - j) >> np.uint64(32)).astype(np.int64)
             offer = np.uint64(j) << np.uint64(32) | draw & np.uint64(0xFFFFFFFF)
             if j == 0:
