@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspend.llm import op01_quality, op02_toxicity, op04_lines, op05_minhash, op07_metric, op08_bpe
+from adspend.llm import op01_quality, op02_toxicity, op03_token_files, op04_lines, op05_minhash, op06_pii, op07_metric, op08_bpe
 from adspend.llm import op10_mix as op10_mix_
-from adspend.llm.common import read
+from adspend.llm.common import read, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    op03_token_files.write_files(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return op03_token_files.read_files(spark, path)
+
+
 @query
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +55,12 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05_minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op06_pii.personal_data(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op7_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_metric.near_vectors(read(spark, sf_dir, "embeddings"))
