@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspend.llm import op01_quality, op02_toxicity, op03_token_files, op04_lines, op05_minhash, op06_pii, op07_metric, op08_bpe
+from adspend.llm import op01_quality, op02_toxicity, op03_token_files, op04_lines, op05_minhash, op06_pii, op07_metric, op08_bpe, op09_lm
 from adspend.llm import op10_mix as op10_mix_
 from adspend.llm.common import read, scratch
 
@@ -71,6 +71,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op09_lm.score(read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
