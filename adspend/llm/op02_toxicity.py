@@ -233,34 +233,67 @@ def learn_words(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: i
     return {w: float(v) for w, v in zip(names, weights) if v > 1e-3}, float(bias)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+class Scorer:
+    """Scores of texts under a learned model; the words of a task are judged once."""
+
+    def __init__(self, model: np.ndarray, weights: dict[str, float], bias: float):
+        self.reader = Reader(model)
+        names = list(weights)
+        self.value, self.bias = np.array([weights[w] for w in names]), bias
+        self.place = {w: i for i, w in enumerate(names)}
+        self.told: list[list[str]] = []
+        self.tells = np.empty(0, bool)
+        self.resets = self.reader.resets
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        out = np.empty(len(texts))
+        reader, place = self.reader, self.place
+        for k, (mine, spaced) in enumerate(reader.read(texts)):
+            if self.resets != reader.resets:
+                self.told, self.resets = [], reader.resets
+            if len(self.told) < len(reader.restored):
+                self.told += [[w for w in words if any(t in place for t in traits(w))] for words in reader.restored[len(self.told):]]
+                self.tells = np.fromiter(map(bool, self.told), bool, len(self.told))
+            words = {w for i in np.unique(mine[self.tells[mine]]).tolist() for w in self.told[i]} if len(mine) else set()
+            found = sorted(place[t] for t in doc_traits([*words.union(spaced)]) if t in place)
+            out[k] = 1 / (1 + np.exp(-(self.bias + self.value[found].sum())))
+        return out
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES):
+    """A maker of scorers that tasks call, with the learned model in it."""
     model = learn_characters(docs)
     weights, bias = learn_words(docs, labels, model, sample, features)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    return lambda: Scorer(shared.value, weights, bias)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+    scorer = learn(docs, labels, sample, features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
-        names = list(weights)
-        value = np.array([weights[w] for w in names])
-        place = {w: i for i, w in enumerate(names)}
-        hits: list[list[str]] = []
-        resets = 1
+        judge = scorer()
         for batch in batches:
             for a, b in slices(batch, "text"):
                 part = batch.slice(a, b - a)
-                scores = []
-                for mine, spaced in reader.read(part.column("text").to_pylist()):
-                    if resets != reader.resets:
-                        hits, resets = [], reader.resets
-                    if len(hits) < len(reader.restored):
-                        hits += [[w for w in words if any(t in place for t in traits(w))] for words in reader.restored[len(hits):]]
-                        hit = np.fromiter(map(bool, hits), bool, len(hits))
-                    words = {w for k in np.unique(mine[hit[mine]]).tolist() for w in hits[k]} if len(mine) else set()
-                    found = sorted(place[t] for t in doc_traits([*words.union(spaced)]) if t in place)
-                    scores.append(1 / (1 + np.exp(-(bias + value[found].sum()))))
-                yield pa.record_batch([part.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+                scores = judge.scores(part.column("text").to_pylist())
+                yield pa.record_batch([part.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
 
     scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (id_remainder("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score",
                          F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is below the threshold."""
+    scorer = learn(docs, labels, sample, features)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = scorer()
+        for batch in batches:
+            for a, b in slices(batch, "text"):
+                part = batch.slice(a, b - a)
+                yield part.filter(pa.array(judge.scores(part.column("text").to_pylist()) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)

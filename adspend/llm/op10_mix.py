@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adspend.llm.common import unused
+
 BLOCK_CHARS = 65_536
 UNITS = 1000
 BUCKET_DIGITS = 3
@@ -116,9 +118,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, other: int = 1,
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The columns of ``docs``, globally sorted into the mixed order."""
-    name = "mix"
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs, "mix")
     placed = mix(docs, name=name, **options)
     return placed.orderBy(f"{name}.slot", f"{name}.start", "doc_id").drop(name)
 
