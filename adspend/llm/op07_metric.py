@@ -178,12 +178,17 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cell: int
     found = dealt.groupBy("label", "dim", "cell", "i", "j").applyInArrow(_joined(threshold), "node long, h1 long, links long, least long")
     found = written(found, "links")
 
-    named = components(found.select(F.col("node").alias("u"), F.col("least").alias("v")))
+    # rows that share a vec_id but not their vector tie the classes of their vectors
+    ids = rows.where("key is not null").groupBy("vec_id").agg(F.min("key.h1").alias("a"), F.max("key.h1").alias("b")).where("a <> b")
+    ties = rows.join(ids.select("vec_id"), "vec_id", "left_semi").join(classes.select("key", "node"), "key").select(F.col("vec_id").alias("u"), F.col("node").alias("v"))
+    named = components(found.select(F.col("node").alias("u"), F.col("least").alias("v")).unionByName(ties))
     linked = found.groupBy("node", "h1").agg(F.sum("links").alias("links"))
     of_class = (classes.select("key", "node", "h1", "copies").join(linked, ["node", "h1"], "left").join(named, "node", "left")
                 .select("key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("found")))
     out = rows.join(of_class, "key", "left")
-    component = F.least(F.coalesce("found", "vec_id"), "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.when(F.col("vec_id").isNotNull(), component).alias("component_id"),
+    # a row without a class may share its vec_id with rows that have one
+    linked_ids = named.select(F.col("node").alias("vec_id"), F.col("component").alias("by_id"))
+    out = out.join(linked_ids, "vec_id", "left")
+    component = F.coalesce("found", "by_id", "vec_id")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
