@@ -241,18 +241,20 @@ class Scorer:
         names = list(weights)
         self.value, self.bias = np.array([weights[w] for w in names]), bias
         self.place = {w: i for i, w in enumerate(names)}
+        # restored words have letters only: digits at the end of a trait count words
+        self.asked = {w.rstrip("0123456789") for w in names}
         self.told: list[list[str]] = []
         self.tells = np.empty(0, bool)
         self.resets = self.reader.resets
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
-        reader, place = self.reader, self.place
+        reader, place, asked = self.reader, self.place, self.asked
         for k, (mine, spaced) in enumerate(reader.read(texts)):
             if self.resets != reader.resets:
                 self.told, self.resets = [], reader.resets
             if len(self.told) < len(reader.restored):
-                self.told += [[w for w in words if any(t in place for t in traits(w))] for words in reader.restored[len(self.told):]]
+                self.told += [[w for w in words if any(t in asked for t in traits(w))] for words in reader.restored[len(self.told):]]
                 self.tells = np.fromiter(map(bool, self.told), bool, len(self.told))
             words = {w for i in np.unique(mine[self.tells[mine]]).tolist() for w in self.told[i]} if len(mine) else set()
             found = sorted(place[t] for t in doc_traits([*words.union(spaced)]) if t in place)
