@@ -44,7 +44,7 @@ from adspend.llm.op08_bpe import slices
 from adspend.llm.shingles import Words, mix64
 
 FOLDS, HELD_OUT = 5, 1
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 1_500_000
 LEAST_SHARDS = 12
 BLOCK_DOCS = 1 << 15
 START, END = np.uint64(0x5AFE5AFE5AFE5AFE), np.uint64(0xE17DE17DE17DE17D)
