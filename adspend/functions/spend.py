@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from adspend.params import (
@@ -132,8 +132,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), lambda v: body(v)).getItem(0)
 
 
+def _session_key() -> tuple:
+    session = SparkSession.getActiveSession()
+    try:
+        return session.sparkContext.applicationId, session.sparkContext.startTime
+    except Exception:  # no session yet, or a Spark Connect session without a context on the client
+        return (id(session),)
+
+
 def session_cached(fn):
-    """Cache a Column builder per SparkContext.
+    """Cache a Column builder per Spark application.
 
     Column expressions only name columns, so one built Column can serve every
     DataFrame of the session. Building the large stage expressions once saves
@@ -142,9 +150,7 @@ def session_cached(fn):
     cache: dict = {}
 
     def wrapper(*args):
-        from pyspark import SparkContext
-        sc = SparkContext._active_spark_context
-        key = (sc.applicationId, sc.startTime, args) if sc is not None else (None, None, args)
+        key = (_session_key(), args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]

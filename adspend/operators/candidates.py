@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from adspend.functions.spend import capped, dbl, dec, near_exhausted, ratio, session_cached, underspent
 from adspend.operators import eligibility as elig
 from adspend.operators.facts import (
-    FEED_PRICES, account_rollups, campaign_policy_flags, click_facts, exported_today, price_tag,
+    FEED_PRICES, account_rollups, campaign_policy_flags, click_facts, exported_today, holds_null, price_tag,
     user_policy_flags,
 )
 from adspend.params import (
@@ -69,50 +69,23 @@ class Candidate:
     spend: Column
 
 
-def user_frame(inputs: AdInputs, params: AllocParams, rollups: DataFrame | None = None) -> DataFrame:
+def user_frame(inputs: AdInputs, params: AllocParams) -> DataFrame:
     """One row per funded user in E0 (``id``): account budget, spend rollups, policy flags.
 
     Everything keyed by user is joined here, among per-user tables, before any
     campaign row is touched.
     """
-    rollups = rollups if rollups is not None else account_rollups(inputs, params)
-    e0 = elig.eligible_advertisers(inputs, params)
-    return (inputs.users.filter(elig.funded_user(params)).select("id", "account_system_daily_budget")
-            .join(e0, F.col("id") == e0.advertiser_id, "left_semi")
-            .join(rollups.withColumnRenamed("user_id", "id"), "id")
+    return (elig.eligible_users(inputs, params)
+            .join(account_rollups(inputs, params).withColumnRenamed("user_id", "id"), "id")
             .join(user_policy_flags(inputs), "id", "left"))
 
 
-def join_accounts(rows: DataFrame, users: DataFrame, rollups: DataFrame, params: AllocParams) -> DataFrame:
-    """Campaign rows joined to their account row, with hot accounts salted.
-
-    An account with more than ``params.hot_account_campaigns`` campaigns is hot.
-    Its campaigns get ``salt = camp_id mod buckets``, its account row is repeated
-    once per salt, and the join runs on (user_id, salt). One account's campaigns
-    are then spread over ``buckets`` tasks instead of landing in one. Other
-    accounts keep salt 0 and are not repeated. The hot-account list is broadcast
-    because its size is bounded: at most (number of campaigns / threshold) ids.
-    """
-    buckets, threshold = params.account_salt_buckets, params.hot_account_campaigns
-    is_hot = F.col("n_all") > threshold
-    # from the campaigns-per-account rollup itself (its shuffle is shared with ``users``)
-    hot_ids = rollups.filter(is_hot).select(F.col("user_id").alias("_hot_id"))
-    salted_rows = (rows.join(F.broadcast(hot_ids), rows.user_id == F.col("_hot_id"), "left")
-                   .withColumn("_salt", F.when(F.col("_hot_id").isNotNull(),
-                                               F.pmod(F.col("camp_id"), F.lit(buckets)).cast("int")).otherwise(F.lit(0)))
-                   .drop("_hot_id"))
-    salted_users = users.withColumn("_salt", F.explode(
-        F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
-    joined = salted_rows.join(salted_users, (F.col("user_id") == F.col("id")) & (salted_rows._salt == salted_users._salt))
-    return joined.drop("id", "_salt", "n_all")
-
-
 def campaign_frame(inputs: AdInputs, params: AllocParams,
                    eligible: DataFrame | None = None) -> DataFrame:
     """One row per eligible campaign with every fact a stage can test.
 
     Running campaigns meet the per-user frame in one salted join on ``user_id``
-    (``join_accounts``), so an account holding a third of all campaigns is spread
+    (``salted_user_join``), so an account holding a third of all campaigns is spread
     over many tasks. Then come the click rollup, the export set and the campaign
     policies, keyed by ``camp_id``. The click rollup is joined after its aggregation: raw clicks are
     never shuffled by ``camp_id``, so a campaign with a third of all clicks is
@@ -123,20 +96,19 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
     if eligible is not None:
         rows = rows.join(eligible.select("camp_id"), "camp_id", "left_semi")
     exported = exported_today(inputs, params)
-    exported_has_null = exported.filter(F.col("camp_id").isNull()).exists()
-    rollups = account_rollups(inputs, params)
-    frame = (join_accounts(rows, user_frame(inputs, params, rollups), rollups, params)
+    exported_ids = exported.select(F.col("camp_id").alias("exported_id"))
+    frame = (elig.salted_user_join(rows, user_frame(inputs, params), inputs, params)
              .join(click_facts(inputs, params), "camp_id", "left")
-             .join(exported.filter(F.col("camp_id").isNotNull())
-                   .select("camp_id", F.lit(True).alias("exported")), "camp_id", "left")
+             .join(exported_ids, F.col("camp_id").eqNullSafe(F.col("exported_id")), "left")
              .join(campaign_policy_flags(inputs).withColumnRenamed("id", "camp_id"), "camp_id", "left"))
     flag_cols = [c for c in frame.columns
                  if c.startswith(("user_", "camp_")) and c not in ("user_id", "camp_id", "camp_name")]
     return frame.select(
-        *[c for c in frame.columns if c not in flag_cols and c != "exported"],
+        *[c for c in frame.columns if c not in flag_cols and c not in ("exported_id", "n_all")],
         *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in flag_cols],
         # NOT IN (subquery): false when listed, and never true if the list holds a NULL
-        (~F.coalesce(F.col("exported"), F.lit(False)) & ~exported_has_null).alias("not_exported"),
+        (F.col("exported_id").isNull() & ~holds_null(exported)).alias("not_exported"),
+        F.lit(True).alias("eligible"),
     )
 
 
@@ -157,11 +129,33 @@ def _keep(spend: Column) -> Column:
     return spend > KEEP_ABOVE
 
 
+def budget_left() -> Column:
+    return B() - C()
+
+
+def untouched_spend() -> Column:
+    """Spend of an untouched campaign: what is left, in clicks, at the 0.11 price."""
+    return (F.when(P() > 0, ratio(budget_left(), P()) * dec(PRICE_011))
+            .when(P() == 0, dbl(budget_left() * dec("0.40"))))
+
+
+def untouched() -> Column:
+    return (P() > MIN_CPC[PRICE_011]) & underspent(B(), C(), CAMPAIGN_MARGIN) & (C() == 0)
+
+
+def whole_clicks_left() -> Column:
+    """Clicks the campaign can still pay: ``floor((B - C) / P)``, an exact DECIMAL quotient."""
+    return F.floor(F.when(P() != 0, budget_left() / P()))
+
+
+def untouched_clicks() -> Column:
+    """The click estimate that goes with ``untouched_spend``."""
+    return F.when(P() > 0, whole_clicks_left()).cast("long")
+
+
 def stage_0() -> list[Candidate]:
-    raw = (F.when(P() > 0, ratio(B() - C(), P()) * dec(PRICE_011))
-           .when(P() == 0, dbl((B() - C()) * dec("0.40"))))
-    cond = ((P() > MIN_CPC[PRICE_011]) & underspent(B(), C(), CAMPAIGN_MARGIN) & (C() == 0) & _keep(raw))
-    return [Candidate(0, PRICE_011, cond, capped(raw, SPEND_CAP))]
+    raw = untouched_spend()
+    return [Candidate(0, PRICE_011, untouched() & _keep(raw), capped(raw, SPEND_CAP))]
 
 
 def stage_1() -> list[Candidate]:
@@ -181,36 +175,63 @@ def stage_2() -> list[Candidate]:
     return out
 
 
+def no_revenue_spend() -> Column:
+    """Spend of a campaign with clicks and no main revenue: 40% of what is left."""
+    return ratio(budget_left(), _avg_click_cost()) * dec(PRICE_011) * dec("0.40")
+
+
+def no_revenue() -> Column:
+    return (_has_clicks() & (P() > MIN_CPC[PRICE_011]) & underspent(B(), C(), CAMPAIGN_MARGIN) & (C() > 0)
+            & (F.col("rev") == 0))
+
+
 def stage_3() -> list[Candidate]:
-    raw = ratio(B() - C(), _avg_click_cost()) * dec(PRICE_011) * dec("0.40")
-    cond = (_has_clicks() & (P() > MIN_CPC[PRICE_011]) & underspent(B(), C(), CAMPAIGN_MARGIN) & (C() > 0)
-            & (F.col("rev") == 0) & _keep(raw))
-    return [Candidate(3, PRICE_011, cond, capped(raw, SPEND_CAP))]
+    raw = no_revenue_spend()
+    return [Candidate(3, PRICE_011, no_revenue() & _keep(raw), capped(raw, SPEND_CAP))]
 
 
 def _underspent_with_revenue() -> Column:
     return _has_clicks() & underspent(B(), C(), CAMPAIGN_MARGIN) & (C() > 0) & (F.col("rev") > 0)
 
 
+def _uplift(price) -> tuple[Column, Column]:
+    """For one feed price of an underspent campaign with revenue: whether it is priced at all,
+    and the share of the rest it gets on top of its clicks (0.11 only if all revenue is its own)."""
+    _, _, rev = _feed(price)
+    total = F.col("rev")
+    priced = (P() > MIN_CPC[price]) & (rev <= total)
+    if price == PRICE_011:
+        return priced, F.when(rev == total, dec("0.25"))
+    return priced, dec("0.40")
+
+
 def stage_4() -> list[Candidate]:
-    avg, total = _avg_click_cost(), F.col("rev")
     out = []
     for p in FEED_PRICES:
         rows, clk, rev = _feed(p)
         clicks_value = dbl(clk * dec(p))
-        if p == PRICE_011:
-            raw = (F.when((P() > MIN_CPC[p]) & (rev == total),
-                          clicks_value + ratio((B() - C()) * dec("0.25"), avg) * dec(p))
-                   .when((P() > MIN_CPC[p]) & (rev < total), clicks_value))
-        else:
-            raw = F.when((P() > MIN_CPC[p]) & (rev <= total),
-                         clicks_value + ratio((B() - C()) * dec("0.40"), avg) * dec(p))
-        raw = raw.otherwise(F.lit(-1.0))
-        cond = _underspent_with_revenue() & (rows > 0) & (rev > 0) & _keep(raw)
+        priced, share = _uplift(p)
+        raw = F.when(share.isNull(), clicks_value).otherwise(
+            clicks_value + ratio(budget_left() * share, _avg_click_cost()) * dec(p))
+        cond = _underspent_with_revenue() & (rows > 0) & (rev > 0) & priced & _keep(raw)
         out.append(Candidate(4, p, cond, capped(raw, SPEND_CAP)))
     return out
 
 
+def revenue_clicks(price) -> Column:
+    """The click estimate of stage 4: the feed's clicks plus whole clicks of the share; -1
+    where the price does not apply."""
+    _, clk, _ = _feed(price)
+    priced, share = _uplift(price)
+    extra = F.floor(ratio(budget_left() * share, _avg_click_cost()))
+    return F.when(priced, F.when(share.isNull(), clk).otherwise(clk + extra)).otherwise(-1).cast("long")
+
+
+def has_revenue_on(price) -> Column:
+    rows, _, rev = _feed(price)
+    return _underspent_with_revenue() & (rows > 0) & (rev > 0)
+
+
 def stage_41() -> list[Candidate]:
     rows, _, rev = _feed(PRICE_011)
     raw = F.when((P() > MIN_CPC[PRICE_025]) & (rev == F.col("rev")),
@@ -243,16 +264,13 @@ def stage_6() -> list[Candidate]:
 
 
 def _account_share(clicks: Column | None, price) -> Column:
-    """Share of the account's unspent budget; NULL when the account is over its set budgets."""
-    spent, nb, nn = F.col("spent_run"), F.col("nb_run"), F.col("nn_run")
-    per_click = nn * P()
-
-    def share(rest: Column) -> Column:
-        q = ratio(rest * dec("0.40"), per_click)
-        return (q + clicks if clicks is not None else q) * dec(price)
-
-    return (F.when((AB() >= spent) & (spent >= nb), share(AB() - spent))
-            .when((AB() >= nb) & (spent < nb), share(AB() - nb)))
+    """Share of the account budget above the larger of spend and set budgets; NULL when the
+    account is over it."""
+    rest = AB() - F.greatest(F.col("spent_run"), F.col("nb_run"))
+    share = ratio(rest * dec("0.40"), F.col("nn_run") * P())
+    if clicks is not None:
+        share = share + clicks
+    return F.when(rest >= 0, share * dec(price))
 
 
 def _account_run_ok(margin: int) -> Column:
@@ -276,14 +294,24 @@ def stage_8() -> list[Candidate]:
     return [Candidate(8, PRICE_011, cond, capped(raw, SPEND_CAP))]
 
 
+def unlimited(price) -> Column:
+    rows, _, _ = _feed(price)
+    return (rows > 0) & (P() > MIN_CPC[price]) & B().isNull() & AB().isNull()
+
+
+def topup_clicks(price) -> Column:
+    """The click estimate of stage 9: the feed's clicks, with the top-up's below the bound."""
+    _, clk, _ = _feed(price)
+    return F.when(clk * dec(price) < TOPUP_BELOW, F.floor(clk + F.lit(TOPUP) / dec(price))).otherwise(clk).cast("long")
+
+
 def stage_9() -> list[Candidate]:
     out = []
     for p in FEED_PRICES:
-        rows, clk, _ = _feed(p)
+        _, clk, _ = _feed(p)
         value = clk * dec(p)
         raw = F.when(value < TOPUP_BELOW, value + TOPUP).otherwise(value)
-        cond = ((rows > 0) & (P() > MIN_CPC[p]) & B().isNull() & AB().isNull() & _keep(raw))
-        out.append(Candidate(9, p, cond, capped(raw, SPEND_CAP)))
+        out.append(Candidate(9, p, unlimited(p) & _keep(raw), capped(raw, SPEND_CAP)))
     return out
 
 
@@ -291,13 +319,13 @@ STAGES = {0: stage_0, 1: stage_1, 2: stage_2, 3: stage_3, 4: stage_4, 41: stage_
           5: stage_5, 6: stage_6, 7: stage_7, 8: stage_8, 9: stage_9}
 
 
-def ledger_entry(publisher_id: int, price, spend: Column, step: int) -> Column:
-    """A ledger entry struct (feed id unset, inactive)."""
+def ledger_entry(publisher_id: int, price, spend: Column, step) -> Column:
+    """A ledger entry struct (feed id unset, inactive); ``step`` is a number or a column."""
     return F.struct(
         F.lit(publisher_id).cast("long").alias("publisher_id"),
         F.lit(float(price)).alias("publisher_cpc"),
         dbl(spend).alias("target_spend"),
-        F.lit(step).alias("step_num"),
+        (step if isinstance(step, Column) else F.lit(step)).alias("step_num"),
         F.lit(None).cast("int").alias("job_export_feed_id"),
         F.lit(0).alias("active_flag"),
     )
@@ -311,3 +339,35 @@ def candidate_array(steps=SCENARIO_ORDER) -> Column:
         for cand in STAGES[step]():
             parts.append(F.when(cand.when, ledger_entry(MAIN_PUBLISHER, cand.price, cand.spend, step)))
     return F.filter(F.array(*parts), lambda x: x.isNotNull())
+
+
+# Stages that insert their rows without looking at the keys already in the ledger.
+UNCHECKED_STAGES = (0,)
+
+
+@session_cached
+def claimed_step(price: Decimal) -> Column:
+    """The first stage, in run order, that claims this price for the campaign (NULL: none).
+
+    A stage has at most one candidate per price, so key exclusion between the stages is this
+    choice. Prices that a stored ledger row of the campaign already has (``stored_prices``)
+    are closed to all stages but ``UNCHECKED_STAGES``. Plain CASE: generated code, no lambda.
+    """
+    free = ~F.array_contains("stored_prices", float(price))
+    out = None
+    for step in SCENARIO_ORDER:
+        for cand in STAGES[step]():
+            if cand.price == price:
+                cond = cand.when if step in UNCHECKED_STAGES else cand.when & free
+                out = F.when(cond, F.lit(step)) if out is None else out.when(cond, F.lit(step))
+    return F.when(F.col("eligible"), out)
+
+
+@session_cached
+def claimed_spend(price: Decimal, step: str) -> Column:
+    """The spend of the stage that column ``step`` names for this price."""
+    out = None
+    for cand in (c for s in SCENARIO_ORDER for c in STAGES[s]() if c.price == price):
+        cond = F.col(step) == cand.step
+        out = F.when(cond, cand.spend) if out is None else out.when(cond, cand.spend)
+    return out

@@ -47,20 +47,46 @@ def funded_user(params: AllocParams) -> F.Column:
             & (F.col("total_credits") - F.col("total_debits") > 0))
 
 
+def salted_user_join(rows: DataFrame, users: DataFrame, inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """Campaign rows joined to one row per user (``id``), with hot accounts salted.
+
+    An account with more than ``params.hot_account_campaigns`` campaigns is hot and gets one
+    salt for each such number of campaigns (``params.account_salt_buckets`` at least): its
+    campaigns are dealt by ``camp_id`` over the salts, its user row is repeated once per salt,
+    and the join runs on (user_id, salt). Other accounts have salt 0 and are not repeated.
+    The hot accounts come from one count of campaigns by user; Spark decides by their size how
+    they are joined.
+    """
+    threshold, least = params.hot_account_campaigns, params.account_salt_buckets
+    hot = (inputs.campaigns.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
+           .select(F.col("user_id").alias("_hot_id"),
+                   F.greatest(F.lit(least), F.ceil(F.col("_n") / threshold)).cast("int").alias("_salts")))
+    salted_rows = (rows.join(hot, rows.user_id == F.col("_hot_id"), "left")
+                   .withColumn("_salt", F.coalesce(F.pmod(F.col("camp_id"), F.col("_salts")), F.lit(0)).cast("int"))
+                   .drop("_hot_id", "_salts"))
+    salted_users = (users.join(hot, users.id == F.col("_hot_id"), "left")
+                    .withColumn("_user_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+                    .drop("_hot_id", "_salts"))
+    joined = salted_rows.join(salted_users, (F.col("user_id") == F.col("id")) & (F.col("_salt") == F.col("_user_salt")))
+    return joined.drop("id", "_salt", "_user_salt")
+
+
+def eligible_users(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """Funded users in E0: ``id`` and their account budget, one row each."""
+    e0 = eligible_advertisers(inputs, params)
+    return (inputs.users.filter(funded_user(params)).select("id", "account_system_daily_budget")
+            .join(e0, F.col("id") == e0.advertiser_id, "left_semi"))
+
+
 def eligible_campaign_rows(inputs: AdInputs, params: AllocParams) -> DataFrame:
     """E1 before the DISTINCT: campaign columns plus the user's account budget.
 
     ``camp_id`` is the campaigns' primary key and ``id`` the users', so the rows
-    are already distinct. The scenario frame starts from this join, so campaigns
-    and users are not read again to recover the columns.
+    are already distinct.
     """
     ic = inputs.campaigns.filter(running_campaign(params)).select(
         "camp_id", "user_id", "camp_name", "system_daily_budget", "cost_today", "cost_per_click")
-    iu = inputs.users.filter(funded_user(params)).select("id", "account_system_daily_budget")
-    e0 = eligible_advertisers(inputs, params)
-    return (ic.join(iu, ic.user_id == iu.id)
-            .join(e0, ic.user_id == e0.advertiser_id, "left_semi")
-            .drop("id"))
+    return salted_user_join(ic, eligible_users(inputs, params), inputs, params)
 
 
 def eligible_campaigns(inputs: AdInputs, params: AllocParams) -> DataFrame:

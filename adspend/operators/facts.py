@@ -26,6 +26,7 @@ from adspend.params import (
 from adspend.sources.tables import AdInputs
 
 FEED_PRICES = (PRICE_011, PRICE_025)
+PRICES = (PRICE_011, PRICE_025, PRICE_041)
 
 
 def price_tag(price) -> str:
@@ -33,12 +34,25 @@ def price_tag(price) -> str:
     return f"{int(round(float(price) * 100)):03d}"
 
 
-def batch_feed_counts(inputs: AdInputs) -> DataFrame:
-    """Per ``click_id``: number of its export batches on each priced feed."""
+def links_of(inputs: AdInputs, clicks: DataFrame) -> DataFrame:
+    """Click-to-batch links that can belong to ``clicks``, by the range of their record ids.
+
+    Links have no day of their own. Nothing outside the least and the greatest record id
+    can match, and Spark pushes the two values into the Parquet scan once the subquery has
+    run: over links stored by click id (``write_parquet_inputs``) the files and row groups of
+    other days are not read. The range is exact whatever the size of a day.
+    """
+    ends = clicks.agg(F.min("record_id").alias("lo"), F.max("record_id").alias("hi"))
+    click_id = F.col("click_id")
+    return inputs.click_batches.filter((click_id >= ends.select("lo").scalar()) & (click_id <= ends.select("hi").scalar()))
+
+
+def batch_feed_counts(inputs: AdInputs, clicks: DataFrame) -> DataFrame:
+    """Per ``click_id`` of the range of ``clicks``: number of its export batches on each priced feed."""
     batches = (inputs.export_batches
                .select(F.col("id").alias("batch_id"), feed_price(F.col("feed")).alias("price"))
                .filter(F.col("price").isNotNull()))
-    linked = inputs.click_batches.join(batches, "batch_id")
+    linked = links_of(inputs, clicks).join(batches, "batch_id")
     return linked.groupBy("click_id").agg(*[
         F.sum(if_(F.col("price") == dec(p), 1, 0)).alias(f"n_{price_tag(p)}") for p in FEED_PRICES])
 
@@ -53,19 +67,17 @@ def campaign_click_totals(clicks: DataFrame) -> DataFrame:
               F.sum(if_(is_billable(), 1, 0))).alias("avg_click_cost"))
 
 
-def click_facts(inputs: AdInputs, params: AllocParams, camps: DataFrame | None = None) -> DataFrame:
+def click_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
     """One row per campaign with clicks on the run date.
 
     Columns: ``click_rows``, ``rev`` (main-publisher billable revenue),
     ``paid_cost`` / ``paid_n`` (billable cost and count over all publishers) and,
     per feed price ``p``, ``rows_p`` (joined click x batch rows), ``clk_p`` and ``rev_p``.
-    ``camps`` (a frame with ``camp_id``) restricts the clicks before the batch join.
+    Restrict the campaigns after this aggregation: raw clicks are never shuffled by campaign.
     """
     clicks = inputs.clicks_of(params).select(
         "record_id", "camp_id", "partner_source", "reason_code", "click_cost")
-    if camps is not None:
-        clicks = clicks.join(camps.select("camp_id"), "camp_id", "left_semi")
-    joined = clicks.join(batch_feed_counts(inputs), F.col("record_id") == F.col("click_id"), "left")
+    joined = clicks.join(batch_feed_counts(inputs, clicks), F.col("record_id") == F.col("click_id"), "left")
     # money is summed as exact BIGINT units and turned back into DECIMAL once per campaign
     cost_units = money_units(F.col("click_cost"))
     main_units = if_(is_main_billable(), cost_units, 0)
@@ -120,6 +132,7 @@ def account_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
 
 def exported_today(inputs: AdInputs, params: AllocParams) -> DataFrame:
     """Campaigns exported on the run date to the main publisher (``camp_id``, may be NULL)."""
+    # both uses of this set (membership, and whether it holds a NULL) share its one aggregation
     batches = inputs.export_batches.filter(
         (F.to_date("date") == run_date(params)) & (F.col("publisher") == MAIN_PUBLISHER))
     return (inputs.export_campaign_stats
@@ -127,17 +140,39 @@ def exported_today(inputs: AdInputs, params: AllocParams) -> DataFrame:
             .select("camp_id").distinct())
 
 
+def holds_null(exported: DataFrame):
+    """Whether the set of ``exported_today`` holds a NULL, as a scalar subquery."""
+    return F.coalesce(exported.agg(F.max(F.col("camp_id").isNull()).alias("n")).scalar(), F.lit(False))
+
+
+def known_policy() -> F.Column:
+    """Policy rows the run understands: premium lists of users, and excludes and includes of
+    users or campaigns at one of the price points."""
+    policy, entity, price = F.col("policy"), F.col("entity"), F.col("publisher_cpc")
+    at_price = policy.isin(POLICY_EXCLUDE, POLICY_INCLUDE) & entity.isin("user", "camp") & price.isin(*map(float, PRICES))
+    premium = policy.isin(POLICY_PREMIUM_FEED, POLICY_PREMIUM_BOOST) & (entity == "user")
+    return F.coalesce(at_price | premium, F.lit(False))
+
+
+def unknown_policy_rows(inputs: AdInputs) -> DataFrame:
+    """Policy rows that no rule would read, counted by their values."""
+    return inputs.client_policy.filter(~known_policy()).groupBy("policy", "entity", "publisher_cpc").count()
+
+
 def _policy_flags(policy: DataFrame, entity: str) -> DataFrame:
-    """Pivot policy rows of one entity kind into boolean columns per id."""
-    rows = policy.filter(F.col("entity") == entity)
+    """Pivot policy rows of one entity kind into boolean columns per id.
+
+    A row that no rule would read (unknown policy, entity or price) fails the run.
+    """
     price = F.col("publisher_cpc")
+    refused = F.raise_error(F.concat_ws(" ", F.lit("unknown client_policy row:"), "policy", "entity", F.col("id").cast("string"), price.cast("string")))
+    rows = policy.filter(F.when(known_policy(), F.col("entity") == entity).otherwise(refused.cast("boolean")))
     flags = {
         "premium_feed": F.col("policy") == POLICY_PREMIUM_FEED,
         "premium_boost": F.col("policy") == POLICY_PREMIUM_BOOST,
     }
-    for p in (PRICE_011, PRICE_025):
+    for p in PRICES:
         flags[f"exclude_{price_tag(p)}"] = (F.col("policy") == POLICY_EXCLUDE) & (price == float(p))
-    for p in (PRICE_011, PRICE_025, PRICE_041):
         flags[f"include_{price_tag(p)}"] = (F.col("policy") == POLICY_INCLUDE) & (price == float(p))
     return rows.groupBy("id").agg(*[F.max(F.coalesce(c, F.lit(False))).alias(f"{entity}_{name}")
                                     for name, c in flags.items()])

@@ -14,8 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adspend.functions.spend import capped_no_round, dec, round2
-from adspend.operators.candidates import B, C, P, ledger_entry
-from adspend.operators.facts import price_tag
+from adspend.operators.candidates import B, C, P, ledger_entry, whole_clicks_left
+from adspend.operators.facts import PRICES, price_tag
 from adspend.params import (
     BOOST_SPEND, INCLUDE_SPEND, KEEP_ABOVE, MAIN_PUBLISHER, MIN_CPC, PREMIUM_CAP,
     PREMIUM_MAX_COST_TODAY, PREMIUM_MIN_CPC, PREMIUM_UNCAPPED_SPEND, PRICE_011, PRICE_025,
@@ -62,15 +62,17 @@ def premium_rollup(entries: Column) -> Column:
                      ledger_entry(MAIN_PUBLISHER, PRICE_041, spend, 12))
 
 
+def is_premium_zero(x: Column) -> Column:
+    return x.publisher_cpc.isin(float(PRICE_011), float(PRICE_025)) & _premium_gate()
+
+
 def premium_zero(entries: Column) -> Column:
     """Step 13: those campaigns' 0.11 / 0.25 entries are set to spend 0."""
-    gate = _premium_gate()
-    return update_where(entries, lambda x: x.publisher_cpc.isin(float(PRICE_011), float(PRICE_025)) & gate,
-                        target_spend=0.0, step_num=13)
+    return update_where(entries, is_premium_zero, target_spend=0.0, step_num=13)
 
 
 def _premium_new() -> Column:
-    return F.col("user_premium_feed") & (P() >= PREMIUM_MIN_CPC)
+    return F.col("eligible") & F.col("user_premium_feed") & (P() >= PREMIUM_MIN_CPC)
 
 
 def premium_uncapped(entries: Column) -> Column:
@@ -83,17 +85,18 @@ def premium_uncapped(entries: Column) -> Column:
 def premium_capped(entries: Column) -> Column:
     """Step 15: with a budget: floor((B-C)/P)*0.41 capped at 600, no lower bound
     (0 and negative spends are written). Exact DECIMAL quotient before the floor."""
-    clicks_left = F.floor(F.when(P() != 0, (B() - C()) / P()))
-    spend = capped_no_round(clicks_left * dec(PRICE_041), PREMIUM_CAP)
+    spend = capped_no_round(whole_clicks_left() * dec(PRICE_041), PREMIUM_CAP)
     cond = _premium_new() & B().isNotNull() & (F.size(entries) == 0)
     return append_if(entries, cond, ledger_entry(MAIN_PUBLISHER, PRICE_041, spend, 15))
 
 
+def is_boosted(x: Column) -> Column:
+    return (x.publisher_cpc == float(PRICE_041)) & F.col("user_premium_boost")
+
+
 def premium_boost(entries: Column) -> Column:
     """Step 16: every 0.41 entry of a boosted user is set to 1000."""
-    boost = F.col("user_premium_boost")
-    return update_where(entries, lambda x: (x.publisher_cpc == float(PRICE_041)) & boost,
-                        target_spend=float(BOOST_SPEND), step_num=16)
+    return update_where(entries, is_boosted, target_spend=float(BOOST_SPEND), step_num=16)
 
 
 def _flag(kind: str, price) -> Column:
@@ -101,22 +104,24 @@ def _flag(kind: str, price) -> Column:
     return F.col(f"user_{kind}_{t}") | F.col(f"camp_{kind}_{t}")
 
 
+def is_excluded(x: Column) -> Column:
+    at = [(x.publisher_cpc == float(price)) & _flag("exclude", price) for price in PRICES]
+    return at[0] | at[1] | at[2]
+
+
 def exclusions(entries: Column) -> Column:
     """Step 10: excluded users / campaigns: entries at the excluded price get spend 0
     (any publisher)."""
-    def pred(x: Column) -> Column:
-        return (((x.publisher_cpc == float(PRICE_011)) & _flag("exclude", PRICE_011))
-                | ((x.publisher_cpc == float(PRICE_025)) & _flag("exclude", PRICE_025)))
-    return update_where(entries, pred, target_spend=0.0, step_num=10)
+    return update_where(entries, is_excluded, target_spend=0.0, step_num=10)
 
 
 def inclusions(entries: Column) -> Column:
     """Step 11: included users / campaigns get a fixed spend at each listed price
     where the campaign has no entry yet. All arms test the same snapshot."""
     new = []
-    for price in (PRICE_011, PRICE_025, PRICE_041):
+    for price in PRICES:
         spend = F.lit(float(INCLUDE_SPEND[price]))
-        cond = (_flag("include", price) & (P() > MIN_CPC[price]) & ~has_price(entries, price)
+        cond = (F.col("eligible") & _flag("include", price) & (P() > MIN_CPC[price]) & ~has_price(entries, price)
                 & (spend > KEEP_ABOVE))
         new.append(F.when(cond, ledger_entry(MAIN_PUBLISHER, price, spend, 11)))
     return F.concat(entries, F.filter(F.array(*new), lambda x: x.isNotNull()))

@@ -91,8 +91,8 @@ class AllocParams:
     user_active_status: int = 1
     excluded_product: str = "selfserve"
     excluded_country: str = "ca"
-    # Skew: an account with more campaigns than this is spread over
-    # ``account_salt_buckets`` join partitions (see operators.candidates).
+    # Skew: an account with more campaigns than this is spread over at least
+    # ``account_salt_buckets`` join partitions (operators.eligibility.salted_user_join).
     hot_account_campaigns: int = 100_000
     account_salt_buckets: int = 64
 

@@ -2,21 +2,23 @@
 
 Every query reads the driver's tables through the fixture mapping and runs over
 all rows. The operator-level entries show one relational operator of the ladder
-on its real input; the stage entries show what one stage writes; ``allocation``
-is the whole run. Column names and types match the SQL exactly (money leaves as
+on its real input; ``stage_00`` to ``stage_41`` show what a scenario proposes, before key
+exclusion; the later stage entries show the rows a phase inserts or changes; ``allocation``
+is the whole run, and the ``_stored`` entries are runs that start from stored ledger rows. Column names and types match the SQL exactly (money leaves as
 DOUBLE, counts as BIGINT, step numbers as INTEGER).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adspend.functions.spend import (
-    capped, dbl, dec, feed_id_of_price, feed_price, if_, is_main_billable, ledger_key_text,
+    capped, dbl, dec, feed_id_of_price, feed_price, from_units, if_, is_main_billable, ledger_key_text, money_units,
     near_exhausted, next_day, ratio, round2, underspent,
 )
 from adspend.operators import candidates as cand
@@ -26,13 +28,14 @@ from adspend.operators import ledger as ledger_ops
 from adspend.operators.arbitration import arbitrate
 from adspend.params import (
     ACCOUNT_MARGIN_NEAR, ACCOUNT_MARGIN_WIDE, CAMPAIGN_MARGIN, DEFAULT_PARAMS, FEED_ID_BY_PRICE,
-    INCLUDE_SPEND, MAIN_PUBLISHER, MIN_CPC, POLICY_INCLUDE, POLICY_PREMIUM_FEED, PREMIUM_MIN_CPC, PRICE_011,
-    PRICE_025, PRICE_041, SCENARIO_ORDER, SPEND_CAP, AllocParams,
+    INCLUDE_SPEND, MAIN_PUBLISHER, MIN_CPC, POLICY_PREMIUM_FEED, PREMIUM_MIN_CPC, PRICE_011,
+    PRICE_025, SCENARIO_ORDER, SPEND_CAP, AllocParams,
 )
 from adspend.plans import oracle as O
 from adspend.plans import allocation as pl
-from adspend.sources.fixtures import fixture_inputs
-from adspend.sources.tables import AdInputs
+from adspend.session import ensure_checkpoint_dir
+from adspend.sources.fixtures import fixture_inputs, stored_inputs, stored_ledger
+from adspend.sources.tables import AdInputs, read_ledger
 
 Builder = Callable[[AdInputs, AllocParams], DataFrame]
 
@@ -42,12 +45,16 @@ class Query:
     name: str
     build: Builder
     sql: str | None  # body over the mapped relations; None: no SQL form
+    stored: bool = False  # a run that starts from stored ledger rows
 
     def run(self, spark: SparkSession, sf_dir: str, params: AllocParams = DEFAULT_PARAMS) -> DataFrame:
-        return self.build(_inputs(spark, sf_dir, params), params)
+        inputs = _inputs(spark, sf_dir, params)
+        if self.stored:
+            return self.build(stored_inputs(inputs), params, stored_ledger(inputs, params))
+        return self.build(inputs, params)
 
     def oracle(self) -> str | None:
-        return O.with_ctes(self.sql) if self.sql is not None else None
+        return O.with_ctes(self.sql, self.stored) if self.sql is not None else None
 
 
 REGISTRY: dict[str, Query] = {}
@@ -67,9 +74,9 @@ def _inputs(spark: SparkSession, sf_dir: str, params: AllocParams) -> AdInputs:
     return _INPUTS[key]
 
 
-def query(name: str, sql: str | None):
+def query(name: str, sql: str | None, stored: bool = False):
     def wrap(fn: Builder) -> Builder:
-        REGISTRY[name] = Query(name, fn, sql)
+        REGISTRY[name] = Query(name, fn, sql, stored)
         return fn
     return wrap
 
@@ -127,7 +134,11 @@ def _scan_exported(inp, p):
 
 @query("scan_ledger", f"SELECT {O.LEDGER_COLS} FROM lca")
 def _scan_ledger(inp, p):
-    return pl.allocate(inp, p).filter(F.col("date_date") == next_day(p.run_date))
+    """The day's rows read back from a stored ledger, written by a run to the shared folder."""
+    spark = inp.campaigns.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    pl.write_ledger(pl.allocate(inp, p), path, target_date=p.target_date)
+    return read_ledger(spark, path, p.target_date)
 
 
 @query("ledger_rows", f"SELECT {O.LEDGER_COLS} FROM l0")
@@ -136,7 +147,7 @@ def _ledger_rows(inp, p):
 
 
 @query("update_ledger", f"""SELECT {O.LEDGER_COLS.replace('CAST(feed_id AS INTEGER)',
-  'CAST(CASE WHEN zcpc = 0.11 THEN 2 WHEN zcpc = 0.25 THEN 3 WHEN zcpc = 0.41 THEN 4 END AS INTEGER)')} FROM l0""")
+  'CAST(CASE WHEN price = 0.11 THEN 2 WHEN price = 0.25 THEN 3 WHEN price = 0.41 THEN 4 END AS INTEGER)')} FROM l0""")
 def _update_ledger(inp, p):
     rows = pl.scenario_ledger(inp, p)
     priced = F.col("publisher_cpc").isin(*[float(x) for x in FEED_ID_BY_PRICE])
@@ -144,28 +155,23 @@ def _update_ledger(inp, p):
 
 
 @query("keyed_update", f"""SELECT {O.LEDGER_COLS} FROM (
-  SELECT camp_id, pub, zcpc, CASE WHEN hit THEN 0.0 ELSE spend END AS spend,
+  SELECT camp_id, pub, price, CASE WHEN hit THEN 0.0 ELSE spend END AS spend,
          CASE WHEN hit THEN 10 ELSE step END AS step, feed_id, active
   FROM (SELECT l.*, EXISTS (
           SELECT 1 FROM l0 k JOIN campaigns c ON c.camp_id = k.camp_id
           JOIN client_policy cp ON cp.entity = 'user' AND cp.policy = 'exclude' AND cp.id = c.user_id
-               AND cp.publisher_cpc = CAST(k.zcpc AS DOUBLE)
-          WHERE k.camp_id = l.camp_id AND k.zcpc = l.zcpc) AS hit
+               AND cp.publisher_cpc = CAST(k.price AS DOUBLE)
+          WHERE k.camp_id = l.camp_id AND k.price = l.price) AS hit
         FROM l0 l))""")
 def _keyed_update(inp, p):
-    rows = pl.scenario_ledger(inp, p)
     excluded = inp.client_policy.filter((F.col("entity") == "user") & (F.col("policy") == "exclude"))
-    keys = (rows.join(inp.campaigns.select("camp_id", "user_id"), "camp_id")
-            .join(excluded, (F.col("user_id") == excluded.id)
-                  & (rows.publisher_cpc == excluded.publisher_cpc), "left_semi")
-            .select("camp_id", rows.publisher_cpc))
-    return ledger_ops.keyed_update(rows, keys, ["camp_id", "publisher_cpc"], target_spend=0.0, step_num=10)
+    keys = inp.campaigns.join(excluded, F.col("user_id") == excluded.id).select("camp_id", "publisher_cpc")
+    return ledger_ops.keyed_update(pl.scenario_ledger(inp, p), keys, ["camp_id", "publisher_cpc"], target_spend=0.0, step_num=10)
 
 
-@query("stage_row_counts", "SELECT CAST(step AS INTEGER) AS step_num, CAST(COUNT(*) AS BIGINT) AS rows "
-                           "FROM lca GROUP BY step")
+@query("stage_row_counts", O.REPORT)
 def _stage_row_counts(inp, p):
-    return pl.stage_row_counts(pl.allocate(inp, p))
+    return pl.stage_row_counts(inp, p)
 
 
 # ---------------------------------------------------------------- filters / projections
@@ -255,6 +261,13 @@ def _f_policy(inp, p):
     return inp.campaigns.join(premium, F.col("user_id") == premium.id, "left_semi").select("camp_id", "user_id")
 
 
+@query("filter_kept_spend", f"""SELECT camp_id, raw AS raw_spend FROM s0 WHERE raw > 0.5""")
+def _f_kept(inp, p):
+    raw = cand.untouched_spend()
+    live = inp.campaigns.filter(elig.live_campaign(p)).join(inp.users.select("id"), F.col("user_id") == F.col("id"))
+    return live.filter(cand.untouched() & cand._keep(raw)).select("camp_id", raw.alias("raw_spend"))
+
+
 @query("project_constants", f"SELECT {O.TARGET_DATE} AS date_date, CAST(30647 AS BIGINT) AS publisher_id, "
                             "CAST(0.11 AS DOUBLE) AS publisher_cpc, camp_id FROM e1")
 def _project_constants(inp, p):
@@ -267,11 +280,34 @@ def _project_constants(inp, p):
   CAST({O.FLOORDIV4('system_daily_budget - cost_today', 'cost_per_click')} AS BIGINT) AS target_clicks
   FROM live WHERE cost_per_click > 0.18 AND system_daily_budget - 3 >= cost_today AND cost_today = 0""")
 def _target_clicks(inp, p):
-    live = inp.campaigns.filter(elig.live_campaign(p))
-    rows = live.filter((cand.P() > MIN_CPC[PRICE_011]) & underspent(cand.B(), cand.C(), CAMPAIGN_MARGIN)
-                       & (cand.C() == 0))
-    clicks = F.when(cand.P() > 0, F.floor((cand.B() - cand.C()) / cand.P()))
-    return rows.select("camp_id", clicks.cast("long").alias("target_clicks"))
+    rows = inp.campaigns.filter(elig.live_campaign(p)).filter(cand.untouched())
+    return rows.select("camp_id", cand.untouched_clicks().alias("target_clicks"))
+
+
+def _per_price(frame: DataFrame, cond, clicks) -> DataFrame:
+    """One row for each feed price whose condition holds, from one pass over the frame."""
+    rows = F.array(*[F.when(cond(x), F.struct(F.lit(float(x)).alias("publisher_cpc"), clicks(x).alias("target_clicks")))
+                     for x in facts.FEED_PRICES])
+    return (frame.select("camp_id", F.explode_outer(F.array_compact(rows)).alias("x")).filter(F.col("x").isNotNull())
+            .select("camp_id", "x.publisher_cpc", "x.target_clicks"))
+
+
+@query("target_clicks_revenue", f"""SELECT camp_id, CAST(price AS DOUBLE) AS publisher_cpc, CAST(CASE
+    WHEN s.cpc <= r.min_cpc OR f.rev > s.total THEN -1
+    WHEN r.own_only AND f.rev < s.total THEN f.clk
+    ELSE f.clk + floor({O.DIV("s.rest * r.uplift", "s.avg_cost")}) END AS BIGINT) AS target_clicks
+  FROM feed_clicks f JOIN spenders s USING (camp_id) JOIN price_rules r USING (price)
+  WHERE f.rev > 0 AND camp_id IN (SELECT camp_id FROM e1)""")
+def _revenue_clicks(inp, p):
+    return _per_price(cand.campaign_frame(inp, p), cand.has_revenue_on, cand.revenue_clicks)
+
+
+@query("target_clicks_topup", """SELECT camp_id, CAST(price AS DOUBLE) AS publisher_cpc,
+  CAST(CASE WHEN f.clk * price < 50 THEN floor(f.clk + 10 / CAST(price AS DOUBLE)) ELSE f.clk END AS BIGINT) AS target_clicks
+  FROM live c JOIN acct_null a ON a.id = c.user_id JOIN feed_clicks f USING (camp_id) JOIN price_rules r USING (price)
+  WHERE c.cost_per_click > r.min_cpc AND c.system_daily_budget IS NULL AND camp_id IN (SELECT camp_id FROM e1)""")
+def _topup_clicks(inp, p):
+    return _per_price(cand.campaign_frame(inp, p), cand.unlimited, cand.topup_clicks)
 
 
 # ---------------------------------------------------------------- joins
@@ -300,12 +336,12 @@ def _j_cf(inp, p):
   CAST(a.spent AS DOUBLE) AS user_spent, a.camps_num FROM campaigns c JOIN acct_all a ON a.id = c.user_id
   WHERE c.camp_id IN (SELECT camp_id FROM e1)""")
 def _j_acct(inp, p):
-    e1 = elig.eligible_campaigns(inp, p)
-    a = facts.account_facts(inp, p)
-    return (inp.campaigns.join(e1, "camp_id", "left_semi").join(a, F.col("user_id") == a.id)
-            .select("camp_id", "user_id", dbl(cand.AB()).alias("account_budget"),
-                    dbl(F.col("spent_all")).alias("user_spent"),
-                    F.col("null_budget_all").cast("long").alias("camps_num")))
+    running = inp.campaigns.filter(elig.running_campaign(p)).select("camp_id", "user_id")
+    accounts = elig.eligible_users(inp, p).join(
+        facts.account_rollups(inp, p).withColumnRenamed("user_id", "id"), "id")
+    return elig.salted_user_join(running, accounts, inp, p).select(
+        "camp_id", "user_id", dbl(cand.AB()).alias("account_budget"),
+        dbl(F.col("spent_all")).alias("user_spent"), F.col("null_budget_all").cast("long").alias("camps_num"))
 
 
 @query("join_click_rollup", """SELECT cc.camp_id, CAST(cc.rev AS DOUBLE) AS rev, cc.avg_cost AS avg_click_cost
@@ -316,22 +352,20 @@ def _j_click_rollup(inp, p):
         "camp_id", dbl(F.col("rev")).alias("rev"), ratio(F.col("paid_cost"), F.col("paid_n")).alias("avg_click_cost"))
 
 
-def _feed_long(frame: DataFrame) -> DataFrame:
+def _feed_long(frame: DataFrame, *keep: str) -> DataFrame:
     """Wide per-price click facts -> one row per (campaign, price) with clicks on that feed."""
-    parts = []
-    for price in facts.FEED_PRICES:
-        t = facts.price_tag(price)
-        parts.append(frame.filter(F.col(f"rows_{t}") > 0).select(
-            "camp_id", F.lit(float(price)).alias("publisher_cpc"), "rev",
-            F.col(f"rev_{t}").alias("feed_rev"), F.col(f"clk_{t}").cast("long").alias("clk")))
-    return parts[0].unionByName(parts[1])
+    rows = [F.when(F.col(f"rows_{t}") > 0, F.struct(F.lit(float(price)).alias("publisher_cpc"), F.col(f"rev_{t}").alias("feed_rev"),
+                                                    F.col(f"clk_{t}").cast("long").alias("clk")))
+            for price, t in ((x, facts.price_tag(x)) for x in facts.FEED_PRICES)]
+    return (frame.select("camp_id", "rev", *keep, F.explode_outer(F.array_compact(F.array(*rows))).alias("x"))
+            .filter(F.col("x").isNotNull()).select("camp_id", "rev", *keep, "x.publisher_cpc", "x.feed_rev", "x.clk"))
 
 
-@query("join_total_vs_feed", """SELECT d.camp_id, CAST(e.zcpc AS DOUBLE) AS publisher_cpc, CAST(d.rev AS DOUBLE) AS rev,
+@query("join_total_vs_feed", """SELECT d.camp_id, CAST(e.price AS DOUBLE) AS publisher_cpc, CAST(d.rev AS DOUBLE) AS rev,
   CAST(e.rev AS DOUBLE) AS feed_rev, e.clk FROM camp_clicks d JOIN feed_clicks e ON d.camp_id = e.camp_id
-  WHERE e.zcpc IS NOT NULL AND d.camp_id IN (SELECT camp_id FROM e1)""")
+  WHERE e.price IS NOT NULL AND d.camp_id IN (SELECT camp_id FROM e1)""")
 def _j_total_feed(inp, p):
-    f = facts.click_facts(inp, p, elig.eligible_campaigns(inp, p))
+    f = facts.click_facts(inp, p).join(elig.eligible_campaigns(inp, p), "camp_id", "left_semi")
     return _feed_long(f).select("camp_id", "publisher_cpc", dbl(F.col("rev")).alias("rev"),
                                 dbl(F.col("feed_rev")).alias("feed_rev"), "clk")
 
@@ -349,12 +383,21 @@ def _semi_ledger(inp, p):
 @query("anti_join_exported", "SELECT camp_id FROM e1 WHERE camp_id NOT IN (SELECT camp_id FROM exported)")
 def _anti_exported(inp, p):
     exported = facts.exported_today(inp, p)
-    has_null = exported.filter(F.col("camp_id").isNull()).exists()
-    return (elig.eligible_campaigns(inp, p).join(exported, "camp_id", "left_anti")
-            .filter(~has_null).select("camp_id"))
+    ids = exported.select(F.col("camp_id").alias("exported_id"))
+    return (elig.eligible_campaigns(inp, p)
+            .join(ids, F.col("camp_id").eqNullSafe(F.col("exported_id")), "left_anti")
+            .filter(~facts.holds_null(exported)).select("camp_id"))
+
 
+@query("anti_join_exported_null", """SELECT camp_id FROM e1 WHERE camp_id NOT IN (
+  SELECT camp_id FROM exported UNION ALL SELECT NULL FROM export_batches WHERE id % 2 = 0 AND publisher = 30647)""")
+def _anti_exported_null(inp, p):
+    """The same over exports of which some have no campaign: NOT IN is then never true."""
+    lost = inp.export_batches.filter(F.col("id") % 2 == 0).select(F.lit(None).cast("long").alias("camp_id"), F.col("id").alias("batch_id"))
+    return _anti_exported(replace(inp, export_campaign_stats=inp.export_campaign_stats.unionByName(lost)), p)
 
-@query("join_ledger_campaign", """SELECT l.camp_id, CAST(l.zcpc AS DOUBLE) AS publisher_cpc, CAST(l.spend AS DOUBLE) AS target_spend,
+
+@query("join_ledger_campaign", """SELECT l.camp_id, CAST(l.price AS DOUBLE) AS publisher_cpc, CAST(l.spend AS DOUBLE) AS target_spend,
   CAST(c.cost_per_click AS DOUBLE) AS cost_per_click, c.user_id FROM l0 l JOIN campaigns c ON c.camp_id = l.camp_id""")
 def _j_ledger_campaign(inp, p):
     return (pl.scenario_ledger(inp, p).join(inp.campaigns, "camp_id")
@@ -370,9 +413,9 @@ def _anti_keys(inp, p):
 
 
 @query("update_join", f"""SELECT {O.LEDGER_COLS} FROM (
-  SELECT camp_id, pub, zcpc, CASE WHEN hit THEN 0.0 ELSE spend END AS spend,
+  SELECT camp_id, pub, price, CASE WHEN hit THEN 0.0 ELSE spend END AS spend,
          CASE WHEN hit THEN 13 ELSE step END AS step, feed_id, active
-  FROM (SELECT *, zcpc IN (0.11, 0.25) AND camp_id IN (SELECT camp_id FROM premium_gate) AS hit FROM l0))""")
+  FROM (SELECT *, price IN (0.11, 0.25) AND camp_id IN (SELECT camp_id FROM premium_gate) AS hit FROM l0))""")
 def _update_join(inp, p):
     rows = pl.scenario_ledger(inp, p)
     premium = inp.client_policy.filter((F.col("policy") == POLICY_PREMIUM_FEED) & (F.col("entity") == "user"))
@@ -385,23 +428,25 @@ def _update_join(inp, p):
 
 # ---------------------------------------------------------------- aggregations
 
-def _today_known(inp, p):
-    return inp.clicks_of(p).join(inp.campaigns.select("camp_id"), "camp_id")
+def _known(rows, inp):
+    """Rows of campaigns that exist. Filter after aggregating: raw clicks of a campaign are
+    never shuffled to one task."""
+    return rows.join(inp.campaigns.select("camp_id"), "camp_id", "left_semi")
 
 
 @query("agg_paid_clicks", "SELECT camp_id, paid_clicks FROM camp_clicks")
 def _g_paid(inp, p):
-    return facts.campaign_click_totals(_today_known(inp, p)).select("camp_id", "paid_clicks")
+    return _known(facts.campaign_click_totals(inp.clicks_of(p)), inp).select("camp_id", "paid_clicks")
 
 
 @query("agg_revenue", "SELECT camp_id, CAST(rev AS DOUBLE) AS rev FROM camp_clicks")
 def _g_rev(inp, p):
-    return facts.campaign_click_totals(_today_known(inp, p)).select("camp_id", dbl(F.col("rev")).alias("rev"))
+    return _known(facts.campaign_click_totals(inp.clicks_of(p)), inp).select("camp_id", dbl(F.col("rev")).alias("rev"))
 
 
 @query("agg_avg_click_cost", "SELECT camp_id, avg_cost AS avg_click_cost FROM camp_clicks")
 def _g_avg(inp, p):
-    return facts.campaign_click_totals(_today_known(inp, p)).select("camp_id", "avg_click_cost")
+    return _known(facts.campaign_click_totals(inp.clicks_of(p)), inp).select("camp_id", "avg_click_cost")
 
 
 @query("agg_account_spend", "SELECT id, CAST(spent AS DOUBLE) AS user_spent FROM acct_all")
@@ -416,7 +461,7 @@ def _g_budgets(inp, p):
                     F.col("nn_run").cast("long").alias("uncapped_campaigns"))
 
 
-@query("agg_ledger_clicks", "SELECT camp_id, SUM(spend / CAST(zcpc AS DOUBLE)) AS clicks FROM l0 GROUP BY camp_id")
+@query("agg_ledger_clicks", "SELECT camp_id, SUM(spend / CAST(price AS DOUBLE)) AS clicks FROM l0 GROUP BY camp_id")
 def _g_ledger_clicks(inp, p):
     return (pl.scenario_ledger(inp, p).groupBy("camp_id")
             .agg(F.sum(F.col("target_spend") / F.col("publisher_cpc")).alias("clicks")))
@@ -426,25 +471,29 @@ def _g_ledger_clicks(inp, p):
   CAST(SUM(CASE WHEN partner_source = 30647 AND reason_code = 99 THEN click_cost ELSE 0 END) AS DOUBLE) AS rev
   FROM feed_rows GROUP BY camp_id, feed""")
 def _g_multi(inp, p):
-    rows = _today_known(inp, p).join(inp.click_batches, F.col("record_id") == F.col("click_id")).join(
-        inp.export_batches, F.col("batch_id") == F.col("id"))
-    return rows.groupBy("camp_id", "feed").agg(
-        F.count(F.lit(1)).cast("long").alias("rows"),
-        dbl(F.sum(if_(is_main_billable(), F.col("click_cost"), 0))).alias("rev"))
+    units = if_(is_main_billable(), money_units(F.col("click_cost")), 0)
+    rolled = _linked_clicks(inp, p).groupBy("camp_id", "feed").agg(
+        F.count(F.lit(1)).cast("long").alias("rows"), dbl(from_units(F.sum(units))).alias("rev"))
+    return _known(rolled, inp)
+
 
+def _linked_clicks(inp, p):
+    clicks = inp.clicks_of(p)
+    return (clicks.join(facts.links_of(inp, clicks), F.col("record_id") == F.col("click_id"))
+            .join(inp.export_batches, F.col("batch_id") == F.col("id")))
 
-@query("agg_by_alias", "SELECT camp_id, CAST(zcpc AS DOUBLE) AS publisher_cpc, clk FROM feed_clicks")
+
+@query("agg_by_alias", "SELECT camp_id, CAST(price AS DOUBLE) AS publisher_cpc, clk FROM feed_clicks")
 def _g_alias(inp, p):
-    rows = (_today_known(inp, p).join(inp.click_batches, F.col("record_id") == F.col("click_id"))
-            .join(inp.export_batches.filter(F.col("feed") - 1 > 0), F.col("batch_id") == F.col("id"))
+    rows = (_linked_clicks(inp, p).filter(F.col("feed") - 1 > 0)
             .withColumn("publisher_cpc", dbl(feed_price(F.col("feed")))))
-    return rows.groupBy("camp_id", "publisher_cpc").agg(
-        F.sum(if_(is_main_billable(), 1, 0)).cast("long").alias("clk"))
+    return _known(rows.groupBy("camp_id", "publisher_cpc").agg(
+        F.sum(if_(is_main_billable(), 1, 0)).cast("long").alias("clk")), inp)
 
 
 @query("agg_having", "SELECT camp_id FROM camp_clicks WHERE rev = 0")
 def _g_having(inp, p):
-    return facts.campaign_click_totals(_today_known(inp, p)).filter(F.col("rev") == 0).select("camp_id")
+    return _known(facts.campaign_click_totals(inp.clicks_of(p)).filter(F.col("rev") == 0), inp).select("camp_id")
 
 
 @query("distinct_eligible", "SELECT DISTINCT c.user_id FROM campaigns c WHERE c.camp_id IN (SELECT camp_id FROM e1)")
@@ -454,66 +503,52 @@ def _distinct_e(inp, p):
 
 # ---------------------------------------------------------------- set operations
 
-@query("union_price_points", """SELECT f.camp_id, CAST(f.zcpc AS DOUBLE) AS publisher_cpc, f.clk, CAST(f.rev AS DOUBLE) AS rev
+@query("union_price_points", """SELECT f.camp_id, CAST(f.price AS DOUBLE) AS publisher_cpc, f.clk, CAST(f.rev AS DOUBLE) AS rev
   FROM feed_clicks f JOIN live c ON c.camp_id = f.camp_id
-  WHERE f.camp_id IN (SELECT camp_id FROM e1) AND f.zcpc = 0.11 AND c.cost_per_click > 0.18 AND f.rev > 0
-  UNION SELECT f.camp_id, CAST(f.zcpc AS DOUBLE), f.clk, CAST(f.rev AS DOUBLE)
+  WHERE f.camp_id IN (SELECT camp_id FROM e1) AND f.price = 0.11 AND c.cost_per_click > 0.18 AND f.rev > 0
+  UNION SELECT f.camp_id, CAST(f.price AS DOUBLE), f.clk, CAST(f.rev AS DOUBLE)
   FROM feed_clicks f JOIN live c ON c.camp_id = f.camp_id
-  WHERE f.camp_id IN (SELECT camp_id FROM e1) AND f.zcpc = 0.25 AND c.cost_per_click > 0.40 AND f.rev > 0""")
+  WHERE f.camp_id IN (SELECT camp_id FROM e1) AND f.price = 0.25 AND c.cost_per_click > 0.40 AND f.rev > 0""")
 def _u_price(inp, p):
-    frame = cand.campaign_frame(inp, p)
-    arms = []
-    for price in facts.FEED_PRICES:
-        t = facts.price_tag(price)
-        arms.append(frame.filter((F.col(f"rows_{t}") > 0) & (F.col(f"rev_{t}") > 0) & (cand.P() > MIN_CPC[price]))
-                    .select("camp_id", F.lit(float(price)).alias("publisher_cpc"),
-                            F.col(f"clk_{t}").cast("long").alias("clk"), dbl(F.col(f"rev_{t}")).alias("rev")))
-    return arms[0].unionByName(arms[1]).distinct()
+    smallest = F.when(F.col("publisher_cpc") == float(PRICE_011), dec(MIN_CPC[PRICE_011])).otherwise(dec(MIN_CPC[PRICE_025]))
+    rows = _feed_long(cand.campaign_frame(inp, p), "cost_per_click")
+    return (rows.filter((F.col("feed_rev") > 0) & (cand.P() > smallest))
+            .select("camp_id", "publisher_cpc", "clk", dbl(F.col("feed_rev")).alias("rev")).distinct())
 
 
-@query("union_exclusions", "SELECT CAST(camp_id AS BIGINT) AS camp_id, CAST(zcpc AS DOUBLE) AS publisher_cpc FROM excluded_keys")
+@query("union_exclusions", "SELECT CAST(camp_id AS BIGINT) AS camp_id, CAST(price AS DOUBLE) AS publisher_cpc FROM excluded_keys")
 def _u_excl(inp, p):
-    rows = pl.entries_to_rows(pl.run_phases(pl.scenario_frame(inp, p), upto="stage_16"), "entries", p)
-    camp_user = inp.campaigns.select("camp_id", "user_id")
-    pol = inp.client_policy.filter(F.col("policy") == "exclude")
-    by_user = (rows.join(camp_user, "camp_id").join(
-        pol.filter(F.col("entity") == "user"),
-        (F.col("user_id") == pol.id) & (rows.publisher_cpc == pol.publisher_cpc), "left_semi"))
-    by_camp = rows.join(pol.filter(F.col("entity") == "camp"),
-                        (rows.camp_id == pol.id) & (rows.publisher_cpc == pol.publisher_cpc), "left_semi")
-    return (by_user.select("camp_id", "publisher_cpc")
-            .unionByName(by_camp.select("camp_id", "publisher_cpc")).distinct())
-
-
-@query("union_inclusions", """SELECT c.camp_id, CAST(a.zcpc AS DOUBLE) AS publisher_cpc, CAST(a.spend AS DOUBLE) AS target_spend FROM (
-  SELECT c.camp_id, 0.11 AS zcpc, 5 AS spend FROM campaigns c JOIN users u ON c.user_id = u.id
-    WHERE c.cost_per_click > 0.18 AND u.id IN (SELECT id FROM client_policy WHERE policy = 'include' AND entity = 'user' AND publisher_cpc = 0.11)
-  UNION SELECT c.camp_id, 0.11, 5 FROM campaigns c
-    WHERE c.cost_per_click > 0.18 AND c.camp_id IN (SELECT id FROM client_policy WHERE policy = 'include' AND entity = 'camp' AND publisher_cpc = 0.11)
-  UNION SELECT c.camp_id, 0.25, 5 FROM campaigns c JOIN users u ON c.user_id = u.id
-    WHERE c.cost_per_click > 0.40 AND u.id IN (SELECT id FROM client_policy WHERE policy = 'include' AND entity = 'user' AND publisher_cpc = 0.25)
-  UNION SELECT c.camp_id, 0.25, 5 FROM campaigns c
-    WHERE c.cost_per_click > 0.40 AND c.camp_id IN (SELECT id FROM client_policy WHERE policy = 'include' AND entity = 'camp' AND publisher_cpc = 0.25)
-  UNION SELECT c.camp_id, 0.41, 41 FROM campaigns c
-    WHERE c.cost_per_click > 0.55 AND c.camp_id IN (SELECT id FROM client_policy WHERE policy = 'include' AND entity = 'camp' AND publisher_cpc = 0.41)
-  ) a JOIN campaigns c ON c.camp_id = a.camp_id WHERE c.camp_id IN (SELECT camp_id FROM e1)""")
+    return _excluded_keys(pl.entries_to_rows(pl.run_phases(pl.scenario_frame(inp, p), upto="stage_16"), "entries", p, "user_id"), inp)
+
+
+def _excluded_keys(rows, inp):
+    """Keys of ledger rows whose campaign or user is excluded at their price: each row meets
+    the policies under both names, in one join."""
+    names = F.array(*[F.struct(F.lit(entity).alias("entity"), F.col(key).alias("id")) for entity, key in (("user", "user_id"), ("camp", "camp_id"))])
+    named = rows.select("camp_id", "publisher_cpc", F.explode(names).alias("who")).select("camp_id", "publisher_cpc", "who.*")
+    excluded = inp.client_policy.filter(F.col("policy") == "exclude").select("entity", "id", "publisher_cpc")
+    return named.join(excluded, ["entity", "id", "publisher_cpc"], "left_semi").select("camp_id", "publisher_cpc").distinct()
+
+
+@query("union_exclusions_stored", "SELECT CAST(camp_id AS BIGINT) AS camp_id, CAST(price AS DOUBLE) AS publisher_cpc FROM excluded_keys", stored=True)
+def _u_excl_stored(inp, p, existing):
+    frame = pl.run_phases(pl.scenario_frame(inp, p, existing=existing), upto="stage_16")
+    return _excluded_keys(pl.entries_to_rows(frame, "entries", p, "user_id"), inp)
+
+
+@query("union_inclusions", "SELECT camp_id, CAST(price AS DOUBLE) AS publisher_cpc, CAST(include_spend AS DOUBLE) AS target_spend FROM included")
 def _u_incl(inp, p):
-    camps = inp.campaigns.join(elig.eligible_campaigns(inp, p), "camp_id", "left_semi")
-    pol = inp.client_policy.filter(F.col("policy") == POLICY_INCLUDE)
+    camps = (elig.eligible_campaign_rows(inp, p)
+             .join(facts.user_policy_flags(inp).withColumnRenamed("id", "user_id"), "user_id", "left")
+             .join(facts.campaign_policy_flags(inp).withColumnRenamed("id", "camp_id"), "camp_id", "left"))
     arms = []
-    for price in (PRICE_011, PRICE_025, PRICE_041):
-        at = pol.filter(F.col("publisher_cpc") == float(price))
-        base = camps.filter(cand.P() > MIN_CPC[price])
-        by_user = base.join(inp.users.select("id"), F.col("user_id") == F.col("id")).join(
-            at.filter(F.col("entity") == "user"), F.col("user_id") == at.id, "left_semi")
-        by_camp = base.join(at.filter(F.col("entity") == "camp"), F.col("camp_id") == at.id, "left_semi")
-        for arm in (by_user, by_camp):
-            arms.append(arm.select("camp_id", F.lit(float(price)).alias("publisher_cpc"),
-                                   F.lit(float(INCLUDE_SPEND[price])).alias("target_spend")))
-    out = arms[0]
-    for a in arms[1:]:
-        out = out.unionByName(a)
-    return out.distinct()
+    for price in facts.PRICES:
+        t = facts.price_tag(price)
+        listed = F.coalesce(F.col(f"user_include_{t}"), F.lit(False)) | F.coalesce(F.col(f"camp_include_{t}"), F.lit(False))
+        arms.append(F.when(listed & (cand.P() > MIN_CPC[price]), F.struct(
+            F.lit(float(price)).alias("publisher_cpc"), F.lit(float(INCLUDE_SPEND[price])).alias("target_spend"))))
+    return (camps.select("camp_id", F.explode_outer(F.array_compact(F.array(*arms))).alias("x")).filter(F.col("x").isNotNull())
+            .select("camp_id", "x.publisher_cpc", "x.target_spend"))
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -524,9 +559,7 @@ def _u_incl(inp, p):
   FROM live""")
 def _x_case(inp, p):
     live = inp.campaigns.filter(elig.live_campaign(p))
-    raw = (F.when(cand.P() > 0, ratio(cand.B() - cand.C(), cand.P()) * dec(PRICE_011))
-           .when(cand.P() == 0, dbl((cand.B() - cand.C()) * dec("0.40"))))
-    return live.select("camp_id", raw.alias("raw_spend"))
+    return live.select("camp_id", cand.untouched_spend().alias("raw_spend"))
 
 
 @query("fn_feed_price", "SELECT id, feed, CAST(CASE feed - 1 WHEN 1 THEN 0.11 WHEN 2 THEN 0.25 END AS DOUBLE) AS publisher_cpc "
@@ -549,22 +582,14 @@ def _x_if(inp, p):
 
 @query("fn_capped_spend", f"SELECT camp_id, {O.CAP('raw')} AS target_spend FROM s0")
 def _x_capped(inp, p):
-    frame = inp.campaigns.filter(elig.live_campaign(p))
-    frame = frame.join(inp.users.select("id"), F.col("user_id") == F.col("id"))
-    rows = frame.filter((cand.P() > MIN_CPC[PRICE_011]) & underspent(cand.B(), cand.C(), CAMPAIGN_MARGIN)
-                        & (cand.C() == 0))
-    raw = F.when(cand.P() > 0, ratio(cand.B() - cand.C(), cand.P()) * dec(PRICE_011)).when(
-        cand.P() == 0, dbl((cand.B() - cand.C()) * dec("0.40")))
-    return rows.select("camp_id", capped(raw, SPEND_CAP).alias("target_spend"))
+    frame = inp.campaigns.filter(elig.live_campaign(p)).join(inp.users.select("id"), F.col("user_id") == F.col("id"))
+    return frame.filter(cand.untouched()).select("camp_id", capped(cand.untouched_spend(), SPEND_CAP).alias("target_spend"))
 
 
 @query("fn_round_spend", f"SELECT camp_id, {O.R2('raw')} AS rounded FROM s3 WHERE camp_id IN (SELECT camp_id FROM e1)")
 def _x_round(inp, p):
-    frame = cand.campaign_frame(inp, p)
-    raw = ratio(cand.B() - cand.C(), ratio(F.col("paid_cost"), F.col("paid_n"))) * dec(PRICE_011) * dec("0.40")
-    rows = frame.filter(F.col("click_rows").isNotNull() & (cand.P() > MIN_CPC[PRICE_011])
-                        & underspent(cand.B(), cand.C(), CAMPAIGN_MARGIN) & (cand.C() > 0) & (F.col("rev") == 0))
-    return rows.select("camp_id", round2(raw).alias("rounded"))
+    rows = cand.campaign_frame(inp, p).filter(cand.no_revenue())
+    return rows.select("camp_id", round2(cand.no_revenue_spend()).alias("rounded"))
 
 
 @query("fn_floor_clicks", f"""SELECT camp_id,
@@ -572,7 +597,7 @@ def _x_round(inp, p):
   FROM campaigns WHERE system_daily_budget IS NOT NULL AND cost_per_click >= 0.55""")
 def _x_floor(inp, p):
     rows = inp.campaigns.filter(cand.B().isNotNull() & (cand.P() >= PREMIUM_MIN_CPC))
-    return rows.select("camp_id", F.floor((cand.B() - cand.C()) / cand.P()).cast("long").alias("clicks_left"))
+    return rows.select("camp_id", cand.whole_clicks_left().cast("long").alias("clicks_left"))
 
 
 @query("fn_next_day", "SELECT camp_id, CAST(camp_end + INTERVAL 1 DAY AS DATE) AS day_after_end FROM campaigns")
@@ -597,9 +622,9 @@ def _x_arith(inp, p):
                        dbl(left * dec("0.40")).alias("share"))
 
 
-@query("fn_composite_key", """SELECT DISTINCT CAST(pub AS BIGINT) AS publisher_id, CAST(zcpc AS DOUBLE) AS publisher_cpc,
+@query("fn_composite_key", """SELECT DISTINCT CAST(pub AS BIGINT) AS publisher_id, CAST(price AS DOUBLE) AS publisher_cpc,
   CAST(camp_id AS BIGINT) AS camp_id,
-  CAST(pub AS VARCHAR) || ':' || CAST(CAST(zcpc AS DECIMAL(4,2)) AS VARCHAR) || ':' || CAST(camp_id AS VARCHAR) AS ledger_key
+  CAST(pub AS VARCHAR) || ':' || CAST(CAST(price AS DECIMAL(4,2)) AS VARCHAR) || ':' || CAST(camp_id AS VARCHAR) AS ledger_key
   FROM lca""")
 def _x_key(inp, p):
     rows = pl.allocate(inp, p)
@@ -619,7 +644,7 @@ def _e1(inp, p):
     return elig.eligible_campaigns(inp, p)
 
 
-@query("existing_keys", "SELECT DISTINCT CAST(pub AS BIGINT) AS publisher_id, CAST(zcpc AS DOUBLE) AS publisher_cpc, "
+@query("existing_keys", "SELECT DISTINCT CAST(pub AS BIGINT) AS publisher_id, CAST(price AS DOUBLE) AS publisher_cpc, "
                         "CAST(camp_id AS BIGINT) AS camp_id FROM l0")
 def _keys(inp, p):
     return pl.scenario_ledger(inp, p).select("publisher_id", "publisher_cpc", "camp_id").distinct()
@@ -667,3 +692,25 @@ for _name in pl.PHASE_NAMES:
 @query("allocation", f"SELECT {O.LEDGER_COLS} FROM lca")
 def _allocation(inp, p):
     return pl.allocate(inp, p)
+
+
+# ---------------------------------------------------------------- runs over a stored ledger
+
+@query("allocation_stored", f"SELECT {O.LEDGER_COLS} FROM lca", stored=True)
+def _allocation_stored(inp, p, existing):
+    return pl.allocate(inp, p, existing)
+
+
+@query("stage_row_counts_stored", O.REPORT, stored=True)
+def _stage_row_counts_stored(inp, p, existing):
+    return pl.stage_row_counts(inp, p, existing)
+
+
+@query("stage_10_stored", f"SELECT {O.LEDGER_COLS} FROM l10 WHERE step = 10", stored=True)
+def _stage_10_stored(inp, p, existing):
+    return pl.phase_rows(inp, p, "stage_10", existing)
+
+
+@query("stage_11_stored", f"SELECT {O.LEDGER_COLS} FROM t11", stored=True)
+def _stage_11_stored(inp, p, existing):
+    return pl.phase_rows(inp, p, "stage_11", existing).filter(F.col("step_num") == 11)

@@ -8,6 +8,7 @@ as CTEs, so both engines start from identical inputs.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from adspend.params import (
     DEFAULT_PARAMS, MAIN_PUBLISHER, PARTNER_PUBLISHER, POLICY_EXCLUDE, POLICY_INCLUDE,
     POLICY_PREMIUM_BOOST, POLICY_PREMIUM_FEED, PRICE_011, PRICE_025, PRICE_041, AllocParams,
 )
-from adspend.schemas import CREDIT, MONEY, conform, INPUT_SCHEMAS
+from adspend.schemas import CREDIT, INPUT_SCHEMAS, LEDGER, MONEY, conform
 from adspend.sources.tables import AdInputs
 
 # Fixed values of the test mapping.
@@ -177,3 +178,34 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, params: AllocParams = DEFAU
     )
     return AdInputs(**{name: conform(getattr(inputs, name), schema, name)
                        for name, schema in INPUT_SCHEMAS.items()})
+
+
+def stored_inputs(inputs: AdInputs) -> AdInputs:
+    """The inputs of the runs over a stored ledger: more campaign-level excludes, and a
+    user-level include at 0.41."""
+    more_camps = (
+        (lambda k: k % 5 == 1, POLICY_EXCLUDE, PRICE_011),
+        (lambda k: k % 7 == 2, POLICY_EXCLUDE, PRICE_025),
+        (lambda k: k % 11 == 6, POLICY_EXCLUDE, PRICE_041),
+    )
+    more_users = ((lambda c: c % 13 == 6, POLICY_INCLUDE, PRICE_041),)
+    policy = (inputs.client_policy.unionByName(_policy_rows(inputs.campaigns, "camp_id", "camp", more_camps))
+              .unionByName(_policy_rows(inputs.users, "id", "user", more_users)))
+    return replace(inputs, client_policy=conform(policy, INPUT_SCHEMAS["client_policy"], "client_policy"))
+
+
+def stored_ledger(inputs: AdInputs, params: AllocParams) -> DataFrame:
+    """Ledger rows of the target date that another job left, for the same runs."""
+    k = F.col("camp_id")
+    rules = (
+        (k % 9 == 4, MAIN_PUBLISHER, PRICE_011, 7.5, 3, None, 0),
+        (k % 8 == 5, MAIN_PUBLISHER, PRICE_025, 12.0, 7, 3, 1),
+        (k % 25 == 7, MAIN_PUBLISHER, PRICE_041, 20.5, 12, 4, 1),
+        (k % 10 == 3, PARTNER_PUBLISHER, PRICE_025, 3.25, 601, None, 0),
+    )
+    rows = F.array(*[F.when(cond, F.struct(
+        F.lit(pub).cast("long").alias("publisher_id"), F.lit(float(price)).alias("publisher_cpc"), F.lit(spend).alias("target_spend"),
+        F.lit(step).alias("step_num"), F.lit(feed).cast("int").alias("job_export_feed_id"), F.lit(active).alias("active_flag")))
+        for cond, pub, price, spend, step, feed, active in rules])
+    return (inputs.campaigns.select("camp_id", F.explode(F.array_compact(rows)).alias("e"))
+            .select(F.lit(params.target_date).alias("date_date"), "camp_id", "e.*").select(*LEDGER.fieldNames()))

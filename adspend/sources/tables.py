@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adspend.params import AllocParams
-from adspend.schemas import INPUT_SCHEMAS, conform
+from adspend.schemas import INPUT_SCHEMAS, LEDGER, conform
 
 
 @dataclass(frozen=True)
@@ -34,15 +35,58 @@ class AdInputs:
 PARTITION_COLUMNS = {"ad_clicks": ["date_date"]}
 
 
+# Links are sorted by click id over all files, so the id range of one day's clicks
+# (``operators.facts.links_of``) skips the files and row groups of other days.
+SORTED_BY = {"click_batches": "click_id"}
+
+
 def write_parquet_inputs(inputs: AdInputs, base: str) -> None:
     """Store the inputs as ``<base>/<relation>`` Parquet datasets."""
     for f in fields(inputs):
-        writer = getattr(inputs, f.name).write.mode("overwrite")
+        frame = getattr(inputs, f.name)
+        if f.name in SORTED_BY:
+            frame = frame.repartitionByRange(SORTED_BY[f.name]).sortWithinPartitions(SORTED_BY[f.name])
+        writer = frame.write.mode("overwrite")
         if f.name in PARTITION_COLUMNS:
             writer = writer.partitionBy(*PARTITION_COLUMNS[f.name])
         writer.parquet(f"{base}/{f.name}")
 
 
+def read_ledger(spark: SparkSession, path: str, target_date: _dt.date) -> DataFrame:
+    """Stored ledger rows of one target date (schema ``LEDGER``); only its folder is read."""
+    stored = spark.read.schema(LEDGER).parquet(path).filter(F.col("date_date") == F.lit(target_date))
+    return stored.select(*LEDGER.fieldNames())
+
+
+# Keys that the joins take for unique.
+PRIMARY_KEYS = {"campaigns": "camp_id", "users": "id", "export_batches": "id"}
+
+
+def duplicate_keys(inputs: AdInputs) -> dict[str, int]:
+    """Number of repeated key values by relation, for relations that have any.
+
+    One aggregation per relation, and one number each to the driver.
+    """
+    found = {}
+    for name, key in PRIMARY_KEYS.items():
+        repeated = getattr(inputs, name).groupBy(key).count().filter(F.col("count") > 1)
+        if n := repeated.count():
+            found[name] = n
+    return found
+
+
+def check_inputs(inputs: AdInputs) -> None:
+    """Raise if a key repeats (every ledger row of it would be multiplied) or a policy row is
+    one that no rule reads. Meant for the load, before ``run_daily``."""
+    from adspend.operators.facts import unknown_policy_rows
+
+    problems = [f"{n} repeated keys in {name}" for name, n in duplicate_keys(inputs).items()]
+    if n := unknown_policy_rows(inputs).agg(F.sum("count")).first()[0]:
+        problems.append(f"{n} unknown rows in client_policy")
+    if problems:
+        raise ValueError("; ".join(problems))
+
+
 def read_parquet_inputs(spark: SparkSession, base: str) -> AdInputs:
     """Read ``<base>/<relation>`` Parquet datasets and check them against the schemas."""
     return AdInputs(**{name: conform(spark.read.parquet(f"{base}/{name}"), schema, name)

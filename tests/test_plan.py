@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
 
 from adspend.params import DEFAULT_PARAMS as P
 from adspend.plans import allocation as pl
+from adspend.plans.catalog import REGISTRY
 from adspend.sources.fixtures import fixture_inputs
 from adspend.sources.tables import read_parquet_inputs, write_parquet_inputs
 
@@ -39,25 +45,16 @@ def test_scenarios_need_no_window_exchange(spark):
     assert not re.search(r"Exchange hashpartitioning\(publisher_id", plan)
 
 
-def test_batch_history_is_prefiltered_by_todays_clicks(spark):
-    """With the size thresholds lowered to this data size, Spark injects a runtime
-    bloom filter from today's clicks into the click-to-batch scan, through the
-    per-click aggregation, so the batch history is cut before it is shuffled."""
-    from adspend.operators import eligibility as elig
-    from adspend.operators import facts
+LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
-    base = tempfile.mkdtemp(prefix="adspend-test-inputs-")
-    write_parquet_inputs(fixture_inputs(spark, SF_SMALL, P), base)
-    conf = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
-            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+@contextlib.contextmanager
+def _conf(spark, conf):
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        inputs = read_parquet_inputs(spark, base)
-        df = facts.click_facts(inputs, P, elig.eligible_campaign_rows(inputs, P))
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-        assert re.search(r"might_contain\(.*xxhash64\(click_id", plan)
+        yield
     finally:
         for k, v in old.items():
             if v is None:
@@ -66,6 +63,84 @@ def test_batch_history_is_prefiltered_by_todays_clicks(spark):
                 spark.conf.set(k, v)
 
 
+def _rows_read(spark, df, folder: str) -> int:
+    """Rows that the scans of a folder read, from the metrics of the plan that ran."""
+    df.write.format("noop").mode("overwrite").save()
+    jvm_plan = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name.startswith("Scan") and folder in node.simpleString(2000):
+            found.append(node.metrics().apply("numOutputRows").value())
+        for kind in (node.children(), node.subqueries()):
+            for i in range(kind.size()):
+                walk(kind.apply(i))
+
+    walk(jvm_plan)
+    return sum(found)
+
+
+def test_links_of_other_days_are_not_read(spark):
+    """Stored links are sorted by click id. The whole run, with broadcasts off and no bloom
+    filter (its creation side counts as too large), reads the row groups of the run date only."""
+    base = tempfile.mkdtemp(prefix="adspend-test-links-")
+    inputs = fixture_inputs(spark, SF_SMALL, P)
+    # years of history: ids below those of the run date, as ids are given in order of time
+    history = spark.range(1, 400_000).select((-F.col("id")).alias("click_id"), (F.col("id") % 10).alias("batch_id"))
+    links = inputs.click_batches.unionByName(history.select("click_id", "batch_id"))
+    write_parquet_inputs(replace(inputs, click_batches=links), base)
+    no_bloom = {"spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1",
+                "spark.sql.files.maxPartitionBytes": "1m"}
+    with _conf(spark, LARGE | no_bloom):
+        df = pl.allocate(read_parquet_inputs(spark, base), P)
+        assert "might_contain" not in df._jdf.queryExecution().optimizedPlan().toString()
+        read = _rows_read(spark, df, "/click_batches")
+    mine = inputs.click_batches.count()
+    assert mine <= read < mine + 200_000
+
+
+def test_entries_are_worked_out_once(spark):
+    """No test of the array's size is inferred below the final explode, and the claims of the
+    scenarios are generated code."""
+    df = pl.allocate(fixture_inputs(spark, SF_SMALL, P), P)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Filter .*size\(", plan)
+    assert plan.count("AS step_011") == 1 and plan.count("AS step_025") == 1
+    executed = _executed_plan(pl.scenario_ledger(fixture_inputs(spark, SF_SMALL, P), P))
+    claims = [line for line in executed.splitlines() if "AS step_011" in line]
+    assert claims and all(re.match(r"[\s:|+-]*\*\(\d+\) Project", line) for line in claims)
+
+
+@pytest.mark.parametrize("name", ["agg_paid_clicks", "agg_revenue", "agg_avg_click_cost", "agg_having", "agg_multi_key",
+                                  "agg_by_alias", "join_total_vs_feed"])
+def test_no_raw_clicks_are_shuffled_by_campaign(spark, name):
+    with _conf(spark, LARGE):
+        plan = _executed_plan(REGISTRY[name].run(spark, SF_SMALL))
+    lines = plan.split("Initial Plan")[0].splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if "FileScan parquet" in line and "/lineitem" in line and "l_discount" in line:
+            above, level = [], depth(line)
+            for up in reversed(lines[:i]):
+                if depth(up) < level:
+                    above.append(up)
+                    level = depth(up)
+            by_camp = next((k for k, up in enumerate(above) if "Exchange hashpartitioning(camp_id" in up), len(above))
+            assert any("HashAggregate" in up and "partial_" in up for up in above[:by_camp]), name
+
+
+@pytest.mark.parametrize("name, table, most", [
+    ("union_price_points", "lineitem", 4), ("union_inclusions", "orders", 6), ("anti_join_exported", "lineitem", 2)])
+def test_registry_plans_evaluate_their_inputs_once(spark, name, table, most):
+    plan = _executed_plan(REGISTRY[name].run(spark, SF_SMALL)).split("Initial Plan")[0]
+    assert sum("FileScan parquet" in line and f"/{table}.parquet" in line for line in plan.splitlines()) <= most
+
+
 def test_raw_clicks_are_pre_aggregated_before_any_campaign_shuffle(spark):
     """With broadcasts off (large sides), raw clicks move only by record_id; the only
     camp_id exchange on the click side carries partial aggregates, so a hot campaign
