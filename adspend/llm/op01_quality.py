@@ -159,9 +159,11 @@ parts as (
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
   from texts),
 placed as (
-  select row_id, unnest(range(1, len(words) - 1)) as i, words from parts where len(words) > 2),
+  select row_id, unnest(words) as a, unnest(range(1, len(words) + 1)) as i from parts),
+triples as (
+  select row_id, i, a, lead(a, 1) over w as b, lead(a, 2) over w as c from placed window w as (partition by row_id order by i)),
 windows as (
-  select row_id, i, count(*) over (partition by row_id, words[i], words[i + 1], words[i + 2]) as n from placed),
+  select row_id, i, count(*) over (partition by row_id, a, b, c) as n from triples where c is not null),
 again as (
   select row_id, count(distinct p) as n_repeat_words
   from (select row_id, unnest([i, i + 1, i + 2]) as p from windows where n > 1) group by row_id),

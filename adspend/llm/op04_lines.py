@@ -56,10 +56,12 @@ def dedup_lines(docs: DataFrame, name: str = "lines", window: int = WINDOW) -> D
 ORACLE = """
 with texts as (select row_number() over () as row_id, doc_id, text, string_split(text, chr(10)) as lines from documents),
 placed as (
-  select row_id, doc_id, text, lines, unnest(range(1, len(lines) - 1)) as i from texts where len(lines) >= 3),
+  select row_id, doc_id, unnest(lines) as a, unnest(range(1, len(lines) + 1)) as i from texts),
+triples as (
+  select *, lead(a, 1) over w as b, lead(a, 2) over w as c from placed window w as (partition by row_id order by i)),
 windows as (
-  select row_id, i, row_number() over (partition by lines[i], lines[i + 1], lines[i + 2] order by doc_id nulls last, text, i) as occurrence
-  from placed where regexp_matches(lines[i] || lines[i + 1] || lines[i + 2], '[^\\x20\\x09-\\x0D]')),
+  select row_id, i, row_number() over (partition by a, b, c order by doc_id nulls last, row_id, i) as occurrence
+  from triples where regexp_matches(a || b || c, '[^\\x20\\x09-\\x0D]')),
 covered as (
   select row_id, list(distinct p) as gone from (select row_id, unnest([i, i + 1, i + 2]) as p from windows where occurrence > 1) group by row_id),
 cleaned as (
