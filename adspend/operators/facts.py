@@ -42,9 +42,11 @@ def links_of(inputs: AdInputs, clicks: DataFrame) -> DataFrame:
     run: over links stored by click id (``write_parquet_inputs``) the files and row groups of
     other days are not read. The range is exact whatever the size of a day.
     """
-    ends = clicks.agg(F.min("record_id").alias("lo"), F.max("record_id").alias("hi"))
-    click_id = F.col("click_id")
-    return inputs.click_batches.filter((click_id >= ends.select("lo").scalar()) & (click_id <= ends.select("hi").scalar()))
+    # The two ends are asked for over different frames on purpose: Spark merges subqueries over
+    # equal ones into a struct, and a struct's fields are not pushed into the scan.
+    lo = clicks.agg(F.min("record_id").alias("lo")).scalar()
+    hi = clicks.filter(F.col("record_id").isNotNull()).agg(F.max("record_id").alias("hi")).scalar()
+    return inputs.click_batches.filter((F.col("click_id") >= lo) & (F.col("click_id") <= hi))
 
 
 def batch_feed_counts(inputs: AdInputs, clicks: DataFrame) -> DataFrame:
