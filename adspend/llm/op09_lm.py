@@ -47,6 +47,7 @@ FOLDS, HELD_OUT = 5, 1
 SHARD_TOKENS = 1_500_000
 LEAST_SHARDS = 12
 BLOCK_DOCS = 1 << 15
+SLICE_BYTES = 4 << 20
 START, END = np.uint64(0x5AFE5AFE5AFE5AFE), np.uint64(0xE17DE17DE17DE17D)
 HELD = np.uint16(1 << 15)
 
@@ -67,7 +68,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return found, np.bincount(inverse, np.concatenate([c for _, c in pending]), len(found)).astype(np.int64)
 
         for batch in batches:
-            for a, b in slices(batch, "text"):
+            for a, b in slices(batch, "text", SLICE_BYTES):
                 pending.append(np.unique(words.of(batch.column("text").slice(a, b - a).to_pylist())[0], return_counts=True))
                 if len(pending) >= 4:
                     pending = [merged()]
@@ -105,7 +106,7 @@ def _deal(shards: int, hot: np.ndarray):
         names = ["shard", "block", "kind", "n", "payload"]
         kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
-            for a, b in slices(batch, "text"):
+            for a, b in slices(batch, "text", SLICE_BYTES):
                 for a in range(a, b, BLOCK_DOCS):
                     part = batch.slice(a, min(BLOCK_DOCS, b - a))
                     tokens, sizes = words.of(part.column("text").to_pylist())
