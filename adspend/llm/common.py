@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +36,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key, make):
+    """``make()`` for the first task of a Python worker process; later tasks of the process that
+    ask for the same key get the same object. For word caches and vocabularies: what is kept
+    saves time and decides nothing."""
+    home = sys.modules.setdefault("adspend_llm_worker", types.ModuleType("adspend_llm_worker"))
+    kept = home.__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def id_remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.encode(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "UTF-8")) % modulus

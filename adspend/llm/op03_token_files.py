@@ -13,8 +13,8 @@ A frame holds one document's ids as little-endian unsigned integers of ``id_byte
 one document is read by its shard's index and one short decompression (``read_document``).
 
 Texts are encoded by the tokenizers library. Its vocabulary drops white space and never
-looks across it, so the distinct words of a task are encoded once and documents are put
-together from their words' ids.
+looks across it, so distinct words are encoded once and documents are put together from
+their words' ids.
 
 Results: a null or empty text has the end id alone; rows with a null doc_id come first;
 repeated rows are documents of their own, in the order of their texts; an empty table has a
@@ -25,19 +25,23 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adspend.llm.op08_bpe import ragged, slices, table
+from adspend.llm.common import per_worker
+from adspend.llm.op08_bpe import LATIN_END, WHITE, ragged, slices, table
 
 END_ID = 2
 SHARD_BYTES = 1 << 20
@@ -45,12 +49,30 @@ SHARD_DOCS = 8192
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 20_000
 LEVEL = 3
-CACHE_WORDS = 300_000
-TOGETHER = 256
+CACHE_WORDS = 1_000_000
+TOGETHER = 1024
+# The split inside words, for letters L, numbers N and white space S, and the
+# mark of a piece's last token.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[L]+|[N]|[^SLN]+"
+END_MARK = "</w>"
+
+
+def piece_pattern() -> re.Pattern:
+    """The vocabulary's own split of a word, spelt out for letters and numbers up to U+024F."""
+    chars = [chr(c) for c in range(LATIN_END + 1)]
+    classes = {k: re.escape("".join(c for c in chars if unicodedata.category(c)[0] == k)) for k in "LN"} | {"S": re.escape(WHITE)}
+    return re.compile(re.sub("[LNS]", lambda m: classes[m[0]], PIECES))
 
 
 class WordCoder:
-    """Ids of texts by a tokenizers vocabulary that works word by word."""
+    """Ids of texts by a tokenizers vocabulary that works word by word.
+
+    White space never survives its split, so each distinct run without ASCII white space
+    (a chunk) is worked out once, and so is each distinct piece of the vocabulary's own
+    split inside chunks. Pieces are encoded by the library, many in one call: the last token
+    of a piece carries the end mark. Chunks with a special token or characters beyond U+024F
+    are given to the library whole.
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,42 +81,66 @@ class WordCoder:
         self.library = Tokenizer.from_file(vocabulary)
         self.library.no_truncation()
         self.library.no_padding()
-        self.id_bytes = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
+        words = self.library.get_vocab()
+        self.id_bytes = 2 if len(words) <= 1 << 16 else 4
+        self.last = np.zeros(max(words.values()) + 1, bool)
+        self.last[[i for w, i in words.items() if w.endswith(END_MARK)]] = True
+        self.pieces = piece_pattern().findall
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or "(?!)")
+        self.marks = os.path.commonprefix([t.content for t in self.library.get_added_tokens_decoder().values()])
+        self.beyond = re.compile(f"[^\\x00-{chr(LATIN_END)}]")
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = defaultdict(count().__next__)
+        self.number: dict[str, int] = defaultdict(count().__next__)
         self.known: list[bytes] = []
-
-    def learn(self, words: list[bytes]) -> None:
-        """The ids of new words, many words in one call: their places tell them apart."""
-        texts = [w.decode() for w in words]
-        for a in range(0, len(texts), TOGETHER):
-            some = texts[a:a + TOGETHER]
-            starts = np.cumsum([0, *(len(w) + 1 for w in some)])
-            found = self.library.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            owner = np.searchsorted(starts, [x for x, _ in found.offsets], "right") - 1
-            edges = np.searchsorted(owner, np.arange(len(some) + 1))
-            self.known += [ids[x:y].tobytes() for x, y in zip(edges, edges[1:])]
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another, each closed by the end id, and their ends."""
+        self.piece: dict[str, bytes] = {}
+
+    def learn(self, chunks: list[str]) -> None:
+        """The ids of new chunks."""
+        parts: list[list[str]] = []
+        whole: dict[int, str] = {}
+        for k, text in enumerate(chunks):
+            lower = text.lower()
+            if not text.isascii() and self.beyond.search(lower) or self.marks in text and self.special.search(text):
+                whole[k] = text
+                parts.append([])
+            else:
+                parts.append(self.pieces(lower))
+        if len(self.piece) > CACHE_WORDS:
+            self.piece.clear()
+        new = list(set().union(*parts) - self.piece.keys())
+        for a in range(0, len(new), TOGETHER):
+            some = new[a:a + TOGETHER]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+            packed = ids.tobytes()
+            self.piece.update(zip(some, map(packed.__getitem__, map(slice, [0, *ends], ends))))
+        get, before = self.piece.__getitem__, len(self.known)
+        self.known += [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
+        if whole:
+            for k, found in zip(whole, self.library.encode_batch([*whole.values()], add_special_tokens=False)):
+                self.known[before + k] = np.array(found.ids, "<u4").tobytes()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, each closed by the end id, and their ends.
+
+        Arrow splits the texts and finds the distinct chunks, so Python sees each once a call.
+        """
         if len(self.number) > CACHE_WORDS:
             self.forget()
-        number, words, sizes = self.number.__getitem__, [], []
-        for text in texts:
-            n = len(words)
-            if text:
-                words += map(number, text.encode().split())
-            words.append(-1)
-            sizes.append(len(words) - n)
-        if len(self.number) > len(self.known):
-            self.learn(list(self.number)[len(self.known):])
-        codes = np.array(words, np.int64)
-        codes[codes < 0] = len(self.known)
+        chunks = pyarrow.compute.ascii_split_whitespace(texts.fill_null(""))
+        flat = chunks.flatten().dictionary_encode()
+        distinct = flat.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        if new := len(self.number) - len(self.known):
+            self.learn(list(islice(reversed(self.number), new))[::-1])
+        sizes = chunks.value_lengths().to_numpy()
+        codes = numbers[flat.indices.to_numpy()]
+        codes = np.insert(codes, np.cumsum(sizes), len(self.known))
         ids, ends = ragged(*table([*self.known, END_ID.to_bytes(4, "little")], "<u4"), codes)
-        return ids, ends[np.cumsum(sizes, dtype=np.int64) - 1] if len(texts) else ends
+        return ids, ends[np.cumsum(sizes + 1) - 1] if len(texts) else ends
 
 
 def train_dictionary(docs: DataFrame, vocabulary: str) -> tuple[bytes, int]:
@@ -104,9 +150,9 @@ def train_dictionary(docs: DataFrame, vocabulary: str) -> tuple[bytes, int]:
     chosen = docs.select("doc_id", "text").where((size > 0) & (size <= SAMPLE_CHARS)).orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordCoder(vocabulary)
+        coder = per_worker(("word coder", vocabulary), lambda: WordCoder(vocabulary))
         for batch in batches:
-            ids, ends = coder.encode(batch.column("text").to_pylist())
+            ids, ends = coder.encode(batch.column("text"))
             yield pa.record_batch([pa.array([x.astype(f"<u{coder.id_bytes}").tobytes() for x in np.split(ids, ends[:-1])], pa.binary())], names=["ids"])
 
     samples = [bytes(r.ids) for r in chosen.mapInArrow(run, "ids binary").collect()]
@@ -125,7 +171,7 @@ def write_files(docs: DataFrame, vocabulary: str, path: str) -> None:
     spark.createDataFrame([(name, id_bytes, bytearray(content))], "hash string, id_bytes int, content binary").coalesce(1).write.parquet(f"{path}/dictionary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordCoder(vocabulary)
+        coder = per_worker(("word coder", vocabulary), lambda: WordCoder(vocabulary))
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(content) if content else None).compress
         part, shard = TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
@@ -142,7 +188,7 @@ def write_files(docs: DataFrame, vocabulary: str, path: str) -> None:
         for batch in batches:
             for a, b in slices(batch, "text"):
                 rows = batch.slice(a, b - a)
-                ids, ends = coder.encode(rows.column("text").to_pylist())
+                ids, ends = coder.encode(rows.column("text"))
                 for doc_id, mine in zip(rows.column("doc_id").to_pylist(), np.split(ids, ends[:-1])):
                     doc_ids.append(doc_id)
                     frames.append(compress(mine.astype(f"<u{id_bytes}").tobytes()))
