@@ -6,13 +6,13 @@ Starting from an empty ledger that equals: keep the candidates whose stage rank
 is the minimum rank of their key. Ties within one stage all stay, so it is
 ``min``, not ``row_number``.
 
-Two forms:
+The run itself needs neither form below: a stage has at most one candidate per price, so
+``candidates.claimed_step`` picks the first stage by a CASE. For candidate sets built
+elsewhere:
 
 * ``arbitrate_entries``: per campaign row, over the campaign's candidate array.
-  Every key contains ``camp_id``, and ``camp_id`` is the primary key of the
-  campaign frame, so all rivals of a key sit in the same array. No shuffle.
-* ``arbitrate``: over a long candidate frame, a window ``min`` per key
-  (one exchange on the key, for candidate sets built elsewhere).
+  Every key contains ``camp_id``, so all rivals of a key sit in the same array. No shuffle.
+* ``arbitrate``: over a long candidate frame, a window ``min`` per key (one exchange).
 """
 
 from __future__ import annotations

@@ -43,7 +43,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="adspend-bench")
     params = DEFAULT_PARAMS
-    out_dir = tempfile.mkdtemp(prefix="adspend-bench-")
+    out_dir = os.environ.get("BENCH_OUT") or tempfile.mkdtemp(prefix="adspend-bench-")
 
     _noop(REGISTRY["eligible_advertisers"].run(spark, sf_dir))  # warm-up (JVM, file listing)
 

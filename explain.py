@@ -28,7 +28,7 @@ def main(argv: list[str]) -> None:
     if "--large" in argv:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    base = tempfile.mkdtemp(prefix="adspend-explain-")
+    base = os.environ.get("EXPLAIN_OUT") or tempfile.mkdtemp(prefix="adspend-explain-")
     write_parquet_inputs(fixture_inputs(spark, sf_dir, DEFAULT_PARAMS), base)
     allocate(read_parquet_inputs(spark, base), DEFAULT_PARAMS).explain("formatted")
     spark.stop()
