@@ -144,10 +144,12 @@ class WordCoder:
 
 
 def train_dictionary(docs: DataFrame, vocabulary: str) -> tuple[bytes, int]:
-    """The dictionary and the bytes of an id, from at most ``SAMPLE_DOCS`` documents of at most
-    ``SAMPLE_CHARS`` characters, chosen by hash."""
-    size = F.length("text")
-    chosen = docs.select("doc_id", "text").where((size > 0) & (size <= SAMPLE_CHARS)).orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_DOCS)
+    """The dictionary and the bytes of an id, from about ``SAMPLE_DOCS`` documents (twice as many
+    at most) of at most ``SAMPLE_CHARS`` characters, chosen by a hash of their id."""
+    million = 1 << 20
+    share = -(-SAMPLE_DOCS * million // max(docs.select("doc_id").count(), SAMPLE_DOCS))
+    picked = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < share)
+    chosen = picked.where(F.length("text").between(1, SAMPLE_CHARS)).limit(2 * SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = per_worker(("word coder", vocabulary), lambda: WordCoder(vocabulary))
