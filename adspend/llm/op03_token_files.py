@@ -133,13 +133,12 @@ class WordCoder:
         chunks = pyarrow.compute.ascii_split_whitespace(texts.fill_null(""))
         flat = chunks.flatten().dictionary_encode()
         distinct = flat.dictionary.to_pylist()
-        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        numbers = list(map(self.number.__getitem__, distinct))
         if new := len(self.number) - len(self.known):
             self.learn(list(islice(reversed(self.number), new))[::-1])
         sizes = chunks.value_lengths().to_numpy()
-        codes = numbers[flat.indices.to_numpy()]
-        codes = np.insert(codes, np.cumsum(sizes), len(self.known))
-        ids, ends = ragged(*table([*self.known, END_ID.to_bytes(4, "little")], "<u4"), codes)
+        codes = np.insert(flat.indices.to_numpy(), np.cumsum(sizes), len(numbers))
+        ids, ends = ragged(*table([*map(self.known.__getitem__, numbers), END_ID.to_bytes(4, "little")], "<u4"), codes)
         return ids, ends[np.cumsum(sizes + 1) - 1] if len(texts) else ends
 
 
