@@ -37,11 +37,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: one document of each group stays, the one with the least id; of rows with
     one id the first by text stays. Documents without an id stay."""
     groups = op05_minhash.near_duplicates(docs)
-    first = groups.where("doc_id is not null and kept").select(F.col("doc_id").alias("first_id")).distinct()
-    name = unused(docs, "place")
-    known = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("first_id"), "left_semi")
+    name, key = unused(docs, "place"), unused(docs, "first_id")
+    first = groups.where("doc_id is not null and kept").select(F.col("doc_id").alias(key)).distinct()
+    known = docs.where(docs["doc_id"].isNotNull()).join(first, docs["doc_id"] == first[key], "left_semi")
     known = known.withColumn(name, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(f"{name} = 1").drop(name)
-    return known.unionByName(docs.where("doc_id is null"))
+    return known.unionByName(docs.where(docs["doc_id"].isNull()))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
