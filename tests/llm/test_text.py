@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import HARD_ROWS, base_lm, base_pii, bpe_digests
+from plain import HARD_ROWS, base_lm, base_pii, bpe_digests, interpolated_lm
 from tokenizers import Tokenizer
 
 from adspend.llm import op03_token_files, op06_pii, op08_bpe, op09_lm, registry
@@ -169,6 +169,19 @@ def test_lm_does_not_depend_on_the_shards_for_its_base(spark, small_rows):
     assert np.mean([r.score - r.base_score for r in got if not r.held_out]) > 0
 
 
+def test_lm_score_is_that_of_the_whole_corpus_in_any_shards(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    docs = spark.read.parquet(path)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = interpolated_lm(rows)
+    for options in ({}, {"shard_tokens": 20_000}, {"shard_tokens": 4_000}):
+        got = op09_lm.score(docs, **options).collect()
+        assert len(got) == len(want)
+        # half a step of the grid a token, at most: 256 steps span no more than ten powers of ten
+        assert all(abs(r.score - want[r.doc_id]) <= 0.02 * r.n_tokens for r in got)
+        assert abs(sum(r.score for r in got) - sum(want.values())) <= 0.003 * sum(r.n_tokens for r in got)
+
+
 def test_lm_held_out_is_better_than_the_base(spark):
     got = [r for r in registry.QUERIES["op9_lm"](spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
