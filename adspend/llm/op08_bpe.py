@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # The pattern by which byte-level BPE vocabularies split text into words,
 # for letters L, numbers N and white space S.
@@ -250,12 +251,16 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, keep: list[str] | None = None) -> DataFrame:
     """Encode every whole text, decode the ids, and return digests of both.
 
     ``doc_id, n_tokens, ids_sha256`` (decimal ids joined by commas) ``, decoded_sha256``
-    (the decoded text in UTF-8). Both passes run in one task, so the ids never leave it.
+    (the decoded text in UTF-8), then the columns ``keep``. Both passes run in one task, so the
+    ids never leave it.
     """
+    keep = keep or []
+    kept = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+                         T.StructField("decoded_sha256", T.StringType()), *docs.select(*keep).schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(vocabulary)
@@ -269,6 +274,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                     pa.array([len(i) for i in ids], pa.int64()),
                     pa.array([hashlib.sha256(bpe.decimal(i)).hexdigest() for i in ids], pa.string()),
                     pa.array([hashlib.sha256(bpe.decode(i).encode()).hexdigest() for i in ids], pa.string()),
-                ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    *(part.column(k) for k in keep),
+                ], names=kept.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text", *keep).mapInArrow(run, kept)

@@ -2,7 +2,8 @@
 
 Each stage takes the documents that its predecessor kept, with all their columns, and returns
 a frame, which is written as Parquet to the shared folder and read again as the input of the
-next one. All stages but the last return the columns of documents.
+next one. All stages but the last return the columns of documents; the last one returns each
+document's place in the mixed order, which does not rest on the order in which files are read.
 """
 
 from __future__ import annotations
@@ -50,8 +51,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: every document is encoded, and decoded again."""
-    return op08_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Operator 8: every document is encoded, and decoded again; ``slot`` and ``start`` are its place
+    in the mixed order, which follows from the documents and not from the order of the rows."""
+    placed = op10_mix.mix(docs.select("doc_id", "source", "text")).select("doc_id", "text", "mix.slot", "mix.start")
+    return op08_bpe.round_trip(placed, public_tokenizers.path("byte_bpe_50k.json"), ["slot", "start"])
 
 
 STAGES = [
@@ -67,7 +70,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests of the last stage, in the mixed order."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
-    return docs
+    return docs.orderBy("slot", "start", "doc_id").drop("slot", "start")

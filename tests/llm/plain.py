@@ -160,6 +160,33 @@ def base_pii(text) -> list:
     return sorted(out)
 
 
+def mix_places(rows, units=1000, block_chars=65_536) -> dict:
+    """doc_id -> (slot, start) of (doc_id, source, text) rows, by running the schedule slot by slot."""
+    streams: dict = {}
+    for i, source, text in sorted(rows, key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest()):
+        streams.setdefault(source, []).append((i, len(text or "")))
+    sources = sorted(streams, key=lambda s: (s is not None, s or ""))
+    roots = [math.isqrt(sum(n for _, n in streams[s])) for s in sources]
+    share = [max(r * units // max(sum(roots), 1), 1) for r in roots]
+    blocks = [sum(n for _, n in streams[s]) // block_chars + 1 for s in sources]
+    period, done, slots = sum(share), [0] * len(sources), [[] for _ in sources]
+    slot = 0
+    while any(len(x) < n for x, n in zip(slots, blocks)):
+        ready = [(-(-(k + 1) * period // a), j) for j, (k, a) in enumerate(zip(done, share)) if k * period // a <= slot]
+        if ready:
+            j = min(ready)[1]
+            slots[j].append(slot)
+            done[j] += 1
+        slot += 1
+    out = {}
+    for j, s in enumerate(sources):
+        start = 0
+        for i, n in streams[s]:
+            out[i] = (slots[j][start // block_chars], start)
+            start += n
+    return out
+
+
 def bpe_digests(text, tokenizer) -> tuple:
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()

@@ -7,7 +7,7 @@ import math
 import numpy as np
 import public_tokenizers
 import pytest
-from plain import HARD_ROWS, Groups, bpe_digests, line_dedup, near_duplicates, shingles, words
+from plain import HARD_ROWS, Groups, bpe_digests, line_dedup, mix_places, near_duplicates, shingles, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -206,6 +206,18 @@ def test_pipeline_equals_its_plain_version(spark):
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, SMALL).collect()) == want
 
 
+def test_pipeline_rows_are_in_the_mixed_order(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, SMALL).cache()
+    places = mix_places([(r.doc_id, r.source, r.text) for r in docs.collect()])
+    assert len(set(docs.select("source").collect())) > 1
+    scattered = docs.repartition(7)  # files are read in any order
+    assert {r.doc_id: (r.slot, r.start) for r in corpus_pipeline.bpe(spark, scattered, SMALL).collect()} == places
+    order = [r.doc_id for r in corpus_pipeline.run(spark, SMALL).collect()]
+    assert order == sorted(places, key=lambda i: (*places[i], i)) != sorted(places)
+
+
 def test_pipeline_stages_on_hard_rows(spark, hard, empty):
     for frame, n in ((hard, len(HARD_ROWS)), (empty, 0)):
         docs = frame
