@@ -16,16 +16,18 @@ LOOKALIKES = {
 }
 ORDER = 4
 SMOOTHING = 2.0
-BEAM = 24
+BEAM = 24  # states of the first search, whose cost bounds the exact one
 # Costs in nats: reading a look-alike as a letter, leaving a look-alike out, leaving another
 # sign out, merging a letter into an equal one before it (from the third in a row on, and the
-# second), ending a word between letters that were set apart.
+# second), ending a word between letters that were set apart; a look-alike in a token without
+# letters that is no word (any of them is as likely); joining two pieces to a word.
 AS_LETTER, LEFT_OUT, SIGN, REPEAT, SECOND, BORDER = 1.0, 5.0, 0.5, 0.3, 4.0, 2.0
+ITSELF, JOIN = float(np.log(len(LOOKALIKES))), 2.0
 
 INDEX = {c: i for i, c in enumerate(LETTERS)}
 A = len(LETTERS)
 PLAIN = re.compile(f"[{LETTERS[1:]}]+")
-TRIPLE = re.compile(r"(.)\1\1")
+DOUBLE = re.compile(r"(.)\1")
 SIGNS = re.escape("".join(c for c in LOOKALIKES if not c.isdigit()))
 # Signs at the ends of a word are punctuation, but for one or two that may be letters.
 ENDS = re.compile(rf"^(?:[^\w{SIGNS}]|([{SIGNS}])\1\1+)+|(?:[^\w{SIGNS}]|!|([{SIGNS}])\2\2+)+$")
@@ -69,47 +71,90 @@ class Restorer:
         self.cost = model
 
     def words(self, token: str) -> list[str]:
-        """The words behind one lower-case token (none if it has no letters)."""
-        if PLAIN.fullmatch(token) and not TRIPLE.search(token):
+        """The words behind one lower-case token (none if it is no word)."""
+        if PLAIN.fullmatch(token) and not DOUBLE.search(token):
             return [token]
         core = ENDS.sub("", token)
         if not any(c in INDEX for c in core):
-            return []
-        if PLAIN.fullmatch(core) and not TRIPLE.search(core):
+            return self.signs(core)
+        if PLAIN.fullmatch(core) and not DOUBLE.search(core):
             return [core]
         return self.decode(core)
 
+    def signs(self, text: str, spaced: bool = False) -> list[str]:
+        """The words behind signs without a letter, if they cost less than the signs themselves."""
+        if not any(c in LOOKALIKES for c in text):
+            return []
+        return self._search(text, spaced, sum(ITSELF if c in LOOKALIKES else SIGN for c in text))[1].split()
+
     def decode(self, text: str, spaced: bool = False) -> list[str]:
-        """Viterbi search (a beam over the last three letters) through the lattice of ``text``.
+        """Viterbi search (over the last three letters) through the lattice of ``text``.
 
         ``spaced`` texts are single signs that stood apart; words may end between any two.
         """
+        return self._search(text, spaced, np.inf, BEAM)[1].split()
+
+    def _search(self, text: str, spaced: bool, limit: float, beam_size: int | None = None) -> tuple[float, str, bool]:
+        """The least cost under ``limit``, its words (none if there are no such), and whether states
+        beyond ``beam_size`` were left. No cost is negative, so that states which cannot end under the
+        limit go without a change of the result: a beam's cost is a limit for the exact search."""
         start = (0, 0, 0)
-        # history -> (cost, letters so far, last sign merged into the last letter)
-        beam = {(start, 0): (0.0, "")}
+        least = [0.0 if c in INDEX else min(AS_LETTER, LEFT_OUT) if c in LOOKALIKES else SIGN for c in text]
+        rest, cut = sum(least), False
+        # history -> (cost, letters so far)
+        beam = {start: (0.0, "")}
         run, before = 0, ""
-        for sign in text:
+        for sign, floor in zip(text, least):
             run = run + 1 if sign == before else 1
             before = sign
+            rest -= floor
+            most = limit - rest
             step: dict[tuple, tuple[float, str]] = {}
 
             def offer(key, cost, out):
-                if key not in step or cost < step[key][0]:
+                if cost < most and (key not in step or (cost, out) < step[key]):
                     step[key] = (cost, out)
 
             options = [(sign, 0.0)] if sign in INDEX else [(c, AS_LETTER) for c in LOOKALIKES.get(sign, "")]
-            for (h, _), (cost, out) in beam.items():
+            for h, (cost, out) in beam.items():
                 if sign not in INDEX:
-                    offer((h, 0), cost + (LEFT_OUT if sign in LOOKALIKES else SIGN), out)
+                    offer(h, cost + (LEFT_OUT if sign in LOOKALIKES else SIGN), out)
                 for c, extra in options:
                     i = INDEX[c]
-                    if run > 1 and out.endswith(c):
-                        offer((h, 1), cost + extra + (REPEAT if run > 2 else SECOND), out)
+                    if run > 1 and h[2] == i:
+                        offer(h, cost + extra + (REPEAT if run > 2 else SECOND), out)
                     here = self.cost[h]
-                    offer(((h[1], h[2], i), 0), cost + extra + float(here[i]), out + c)
+                    offer((h[1], h[2], i), cost + extra + float(here[i]), out + c)
                     if spaced and h != start:
                         ended = cost + extra + float(here[0]) + BORDER
-                        offer(((0, 0, i), 0), ended + float(self.cost[start][i]), out + " " + c)
-            beam = dict(sorted(step.items(), key=lambda x: x[1])[:BEAM])
-        best = min(((cost + float(self.cost[h][0]), out) for (h, _), (cost, out) in beam.items()), default=(0, ""))
-        return best[1].split()
+                        offer((0, 0, i), ended + float(self.cost[start][i]), out + " " + c)
+            beam = step
+            if beam_size and len(step) > beam_size:
+                beam, cut = dict(sorted(step.items(), key=lambda x: x[1])[:beam_size]), True
+        ends = ((cost + float(self.cost[h][0]), out) for h, (cost, out) in beam.items())
+        return (*min((x for x in ends if x[0] < limit), default=(limit, "")), cut)
+
+    def outline(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of words of letters: the last three letters, and the first three with the end of a shorter word
+        (-1 where there is no more); the cost of the end, and that of the beginning."""
+        letters = np.full((len(words), 6), -1, np.int64)
+        costs = np.zeros((len(words), 2), np.float32)
+        for k, w in enumerate(words):
+            codes = [INDEX[c] for c in w]
+            padded = [0, 0, 0, *codes, 0]
+            first = padded[3:6]
+            letters[k, :3] = padded[-4:-1]
+            letters[k, 3:3 + len(first)] = first
+            costs[k, 0] = self.cost[tuple(padded[-4:])]
+            costs[k, 1] = sum(float(self.cost[tuple(padded[j:j + 4])]) for j in range(len(first)))
+        return letters, costs
+
+    def joins(self, letters: np.ndarray, costs: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the words at ``a`` cost less when those at ``b`` go on with them, than apart."""
+        h = [letters[a, k] for k in range(3)]
+        joined = np.full(len(a), JOIN, np.float32)
+        for k in range(3, 6):
+            c = letters[b, k]
+            joined += np.where(c >= 0, self.cost[h[0], h[1], h[2], np.maximum(c, 0)], 0)
+            h = [h[1], h[2], np.maximum(c, 0)]
+        return joined < costs[a, 0] + costs[b, 1]

@@ -4,7 +4,8 @@
    documents. Its table has ``len(LETTERS) ** 4`` cells, whatever the corpus.
 2. Words with look-alikes, signs, repeated letters or spaced-out letters become a lattice
    of letters they may stand for; a Viterbi search under the character model restores them.
-   All other words are their own restoration.
+   Two or three single letters in a row, and neighbours of at most ``PIECE`` letters, are also
+   read as one word where that costs less. All other words are their own restoration.
 3. A logistic model over restored words and their beginnings is learned from labelled
    documents. ``sample`` bounds the labelled documents used (chosen by hash), ``features`` the
    words offered to it (those that go best with the label); an L1 penalty leaves few of them. Near copies in the sample
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adspend.llm.common import id_remainder, written
-from adspend.llm.lattice import Restorer, char_model, ngram_counts
+from adspend.llm.lattice import INDEX, PLAIN, Restorer, char_model, ngram_counts
 from adspend.llm.op08_bpe import slices
 from adspend.llm.shingles import Words, shingle_sets, superminhash
 
@@ -40,6 +41,7 @@ SAMPLE = 12_000
 FEATURES = 400
 THRESHOLD = 0.3
 SPACED = 4
+PIECE = 4
 CACHE_WORDS = 400_000
 L1 = 2e-4
 MARKS = 8
@@ -84,9 +86,19 @@ class Reader:
         self.number: dict[str, int] = defaultdict(count().__next__)
         self.restored: list[list[str]] = []
         self.single = np.empty(0, bool)
+        self.piece = np.empty(0, bool)
+        self.letters, self.costs = np.empty((0, 6), np.int64), np.empty((0, 2), np.float32)
+        self.short: dict[str, list[str]] = {}
+
+    def together(self, text: str) -> list[str]:
+        """The words behind two or three single signs that stood apart."""
+        if text not in self.short:
+            letters = any(c in INDEX for c in text)
+            self.short[text] = self.restorer.decode(text, spaced=True) if letters else self.restorer.signs(text, spaced=True)
+        return self.short[text]
 
     def read(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
-        """For each text the numbers of its words, and the words restored from spaced letters."""
+        """For each text the numbers of its words, and the words restored from spaced letters and pieces."""
         if len(self.number) > CACHE_WORDS:
             self.reset()
         number = self.number.__getitem__
@@ -94,15 +106,26 @@ class Reader:
         fresh = list(self.number)[len(self.restored):]
         self.restored += map(self.restorer.words, fresh)
         self.single = np.append(self.single, np.fromiter((len(w) == 1 for w in fresh), bool, len(fresh)))
-        names = None
+        self.piece = np.append(self.piece, np.fromiter((len(w) <= PIECE and PLAIN.fullmatch(w) is not None for w in fresh), bool, len(fresh)))
+        at = np.flatnonzero(self.piece[len(self.piece) - len(fresh):])
+        letters, costs = np.zeros((len(fresh), 6), np.int64), np.zeros((len(fresh), 2), np.float32)
+        letters[at], costs[at] = self.restorer.outline([fresh[i] for i in at])
+        self.letters, self.costs = np.concatenate([self.letters, letters]), np.concatenate([self.costs, costs])
+        names = list(self.number)
         for mine in codes:
             spaced: list[str] = []
-            if len(mine) >= SPACED and (alone := self.single[mine]).sum() >= SPACED:
+            alone = self.single[mine]
+            if alone.sum() >= 2:
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], alone.view(np.int8), [0]])))
                 for a, b in edges.reshape(-1, 2):
-                    if b - a >= SPACED:
-                        names = names or list(self.number)
-                        spaced += self.restorer.decode("".join(names[i] for i in mine[a:b]), spaced=True)
+                    if b - a >= 2:
+                        text = "".join(names[i] for i in mine[a:b])
+                        spaced += self.restorer.decode(text, spaced=True) if b - a >= SPACED else self.together(text)
+            piece = self.piece[mine]
+            left = np.flatnonzero(piece[:-1] & piece[1:] & ~(alone[:-1] & alone[1:]))
+            left = left[self.restorer.joins(self.letters, self.costs, mine[left], mine[left + 1])] if len(left) else left
+            for part in np.split(left, np.flatnonzero(np.diff(left) > 1) + 1) if len(left) else ():
+                spaced.append("".join(names[i] for i in mine[part[0]:part[-1] + 2]))
             yield mine, spaced
 
 

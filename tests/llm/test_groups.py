@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +15,8 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from adspend.llm import op02_toxicity, op05_minhash, op07_metric, registry
 from adspend.llm.components import components
-from adspend.llm.lattice import Restorer
+from adspend.llm import lattice
+from adspend.llm.lattice import Restorer, char_model, ngram_counts
 from adspend.llm.shingles import shingle_sets, superminhash
 
 SMALL = "/root/testdata/sf0.001"
@@ -145,6 +147,38 @@ def test_lattice_restores_disguises(characters):
     assert np.exp(-characters[1, 2, 3].astype(np.float64)).sum() == pytest.approx(1, rel=1e-4)
 
 
+def words_model(*frequent):
+    counts = ngram_counts(Counter({w: 300 for w in frequent}))
+    return char_model(np.array(list(counts), np.int64), np.array(list(counts.values()), float))
+
+
+def test_lattice_reads_doubled_letters_signs_and_pieces(characters):
+    assert [Restorer(characters).words(w) for w in ("iddiot", "mmoronn", "stuupid")] == [["idiot"], ["moron"], ["stupid"]]
+    reader = op02_toxicity.Reader(words_model("ass", "slob", "stupid", "letter", "the", "river", "of"))
+    restorer = reader.restorer
+    assert restorer.words("455") == ["ass"] and restorer.words("$|0b") == ["slob"] and restorer.words("$#1#0#8") == ["slob"]
+    assert restorer.words("letter") == ["letter"]
+    assert restorer.words("4785380592391140") == restorer.words("日本") == restorer.words("73") == []
+    texts = ["the a s s of", "the stu pid river", "the st up id river", "of the river", "the 4 5 5 river", None, "the"]
+    assert [spaced for _, spaced in reader.read(texts)] == [["ass"], ["stupid"], ["stupid"], [], ["ass"], [], []]
+
+
+def test_toxicity_finds_the_other_disguises(spark):
+    rng = np.random.default_rng(6)
+    plain = ["river", "stone", "garden", "window", "letter", "summer", "bridge", "market"]
+    rows, labels = [], []
+    for k in range(600):
+        text = [plain[i] for i in rng.integers(0, 8, 30)]
+        if k % 4 == 0:
+            text[7:7] = [("slob", "stupid")[k // 4 % 2]]
+        rows.append((k, " ".join(text)))
+        labels.append((k, int(k % 4 == 0)))
+    rows += [(1000 + k, f"river stone {w} garden") for k, w in enumerate(["window", "stuupid", "5108", "stu pid", "sl ob"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.predicted for r in op02_toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert [got[1000 + k] for k in range(5)] == [0, 1, 1, 1, 1]
+
+
 def test_toxicity_on_held_out_labels(spark):
     path = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{path}/labels.parquet").where("toxic is not null").select("doc_id", "toxic")
