@@ -92,7 +92,8 @@ class Restorer:
 
         ``spaced`` texts are single signs that stood apart; words may end between any two.
         """
-        return self._search(text, spaced, np.inf, BEAM)[1].split()
+        cost, out, cut = self._search(text, spaced, np.inf, BEAM)
+        return (self._search(text, spaced, cost + 1e-9)[1] if cut else out).split()
 
     def _search(self, text: str, spaced: bool, limit: float, beam_size: int | None = None) -> tuple[float, str, bool]:
         """The least cost under ``limit``, its words (none if there are no such), and whether states

@@ -179,6 +179,15 @@ def test_toxicity_finds_the_other_disguises(spark):
     assert [got[1000 + k] for k in range(5)] == [0, 1, 1, 1, 1]
 
 
+def test_lattice_search_is_exact(characters, monkeypatch):
+    rng = np.random.default_rng(7)
+    tokens = ["a" + "".join(rng.choice(list("1168|!@e"), 8)) for _ in range(60)]
+    exact = [Restorer(characters)._search(t, False, np.inf)[1].split() for t in tokens]
+    assert [Restorer(characters).decode(t) for t in tokens] == exact
+    monkeypatch.setattr(lattice, "BEAM", 2)
+    assert [Restorer(characters).decode(t) for t in tokens] == exact
+
+
 def test_toxicity_on_held_out_labels(spark):
     path = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{path}/labels.parquet").where("toxic is not null").select("doc_id", "toxic")
