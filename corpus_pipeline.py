@@ -35,14 +35,26 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: one document of each group stays, the one with the least id; of rows with
-    one id the first by text stays. Documents without an id stay."""
-    groups = op05_minhash.near_duplicates(docs)
-    name, key = unused(docs, "place"), unused(docs, "first_id")
-    first = groups.where("doc_id is not null and kept").select(F.col("doc_id").alias(key)).distinct()
-    known = docs.where(docs["doc_id"].isNotNull()).join(first, docs["doc_id"] == first[key], "left_semi")
-    known = known.withColumn(name, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(f"{name} = 1").drop(name)
-    return known.unionByName(docs.where(docs["doc_id"].isNull()))
+    """Operator 5: of each group of texts the row with the least id stays; of a group's rows with that
+    id the first by text. Each row goes by its own text, whatever other rows have its id. Documents
+    without an id stay."""
+    key, same, group = unused(docs, "row_key"), unused(docs, "same_key"), unused(docs, "row_group")
+    known = docs.where(docs["doc_id"].isNotNull()).withColumn(key, F.xxhash64(docs["doc_id"], docs["text"]))
+    found = op05_minhash.near_duplicates(known.select(F.col(key).alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias(same), F.col("component_id").alias(group)).distinct()
+    members = written(known.select(F.col(key).alias(same), "doc_id").distinct().join(groups, same), "members")
+    first = members.groupBy(group).agg(F.min("doc_id").alias("doc_id"))
+    stays = written(members.join(first, [group, "doc_id"]).select(same, group), "stays")
+    # several texts of one id in one group: the first stays; only these few texts are looked at again
+    several = stays.groupBy(group).agg(F.count("*").alias("n")).where("n > 1").select(group)
+    tied = written(stays.join(several, group), "tied")
+    texts = known.join(tied, F.col(key) == F.col(same)).select(same, group, "text")
+    best = texts.groupBy(group).agg(F.min_by(same, "text").alias(same))
+    stays = stays.join(written(tied.join(best, [group, same], "left_anti"), "later"), same, "left_anti")
+    kept = known.join(stays, F.col(key) == F.col(same), "left_semi")
+    place = unused(kept, "place")
+    kept = kept.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(f"{place} = 1")
+    return kept.drop(key, place).unionByName(docs.where(docs["doc_id"].isNull()))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -261,6 +261,13 @@ def test_pipeline_rows_are_in_the_mixed_order(spark):
     assert order == sorted(places, key=lambda i: (*places[i], i)) != sorted(places)
 
 
+def test_near_dedup_decides_by_the_text_of_each_row(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(0, a), (1, a + " end"), (1, b), (2, b), (2, b + " end"), (7, c), (7, d), (7, d + " end"), (7, c), (8, ""), (8, None)]
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(0, a), (1, b), (7, c), (7, d), (8, ""), (8, None)], key=str)
+
+
 def test_pipeline_stages_on_hard_rows(spark, hard, empty):
     for frame, n in ((hard, len(HARD_ROWS)), (empty, 0)):
         docs = frame
