@@ -1,6 +1,7 @@
-"""Operators of a training-data pipeline over the documents and embeddings tables.
+"""Operators of a training-data pipeline over the documents, embeddings and
+conversations tables.
 
-One module per operator (``op01_...`` to ``op10_...``), ``registry.py`` with the named
+One module per operator (``op01_...`` to ``op13_...``), ``registry.py`` with the named
 queries and their SQL, ``common.py`` with shared helpers. Nothing else in the library
 imports this subpackage.
 

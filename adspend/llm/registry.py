@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from adspend.llm import op01_quality, op02_toxicity, op03_token_files, op04_lines, op05_minhash, op06_pii, op07_metric, op08_bpe, op09_lm
 from adspend.llm import op10_mix as op10_mix_
+from adspend.llm import op11_sentencepiece as op11_sentencepiece_
+from adspend.llm import op13_conversations as op13_conversations_
 from adspend.llm.common import read, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +85,13 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_mix"] = op10_mix_.oracle()
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_sentencepiece_.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_conversations_.repair(read(spark, sf_dir, "conversations"))

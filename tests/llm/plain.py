@@ -191,3 +191,83 @@ def bpe_digests(text, tokenizer) -> tuple:
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     return len(ids), sha(",".join(map(str, ids))), sha(tokenizer.decode(ids, skip_special_tokens=False))
+
+
+def damaged(rows) -> dict:
+    """conv_id -> rows (turn, role, text) after damage in order, of (conv_id, turn, role, text) rows."""
+    out: dict = {}
+    blank = lambda v: " " if v is None else str(v)
+    for conv, turn, role, text in rows:
+        here = out.setdefault(conv, [])
+        kind = zlib.crc32(f"{blank(conv)}:{blank(turn)}".encode()) % 20
+        role, text = blank(role), blank(text)
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        here += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    for here in out.values():
+        here.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    return out
+
+
+GOOD = re.compile(r"(s?(ua)+)?")
+BEGUN = re.compile(r"(s|s?(ua)*u?)?")
+
+
+def repairs(rows, faults, every=True):
+    """Every sensible repair of (role, text) rows as (cost, audit, repaired lines), one row after another;
+    or, of repairs that made the same roles of the rows so far, the best only."""
+    found = {("", ""): (0, ())}  # (initials so far, audit so far) -> cost, lines
+
+    def step(found, ways):
+        out: dict = {}
+        for (initials, audit), (cost, lines) in found.items():
+            for more, letter, price, line in ways:
+                if BEGUN.fullmatch(initials + more):
+                    out[initials + more, audit + letter] = (cost + price, lines + line)
+        return out
+
+    def inserted(found):
+        once = step(found, [(n[0], "I", 2, (n + ":",)) for n in ("user", "assistant")])
+        return found | once | step(once, [(n[0], "I", 2, (n + ":",)) for n in ("user", "assistant")])
+
+    for (role, text), fault in zip(rows, faults):
+        ways = [("", "D", 3, ())]
+        if fault not in ("blank", "duplicate"):
+            cut = fault == "truncated"
+            ways += [(n[0], "R", 2 + cut, (f"{n}:{text}",)) for n in ("user", "assistant")]
+            if role[:1] in ("s", "u", "a"):
+                ways.append((role[:1], "K", cut, (f"{role}:{text}",)))
+        found = step(inserted(found), ways)
+        if not every:
+            best: dict = {}
+            for (initials, audit), (cost, lines) in found.items():
+                best[initials] = min(best.get(initials, (cost, audit, lines)), (cost, audit, lines))
+            found = {(initials, audit): (cost, lines) for initials, (cost, audit, lines) in best.items()}
+    return [(cost, audit, lines) for (initials, audit), (cost, lines) in (inserted(found) if rows else found).items() if GOOD.fullmatch(initials)]
+
+
+def faults(rows) -> list:
+    seen, out = set(), []
+    for role, text in rows:
+        end = text.rstrip(" \t\n\x0b\x0c\r")
+        out.append("blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def repaired(rows) -> dict:
+    """conv_id -> gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256."""
+    out = {}
+    for conv, found in damaged(rows).items():
+        pairs = [r[1:] for r in found]
+        kinds = faults(pairs)
+        turns = [r[0] for r in found if r[0] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        bad = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(pairs, pairs[1:]))
+        cost, audit, lines = min(repairs(pairs, kinds, every=False))
+        out[conv] = (gaps, *(kinds.count(k) for k in ("blank", "duplicate", "truncated")), bad, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
