@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from adspend.llm import op01_quality, op02_toxicity, op03_token_files, op04_lines, op05_minhash, op06_pii, op07_metric, op08_bpe, op09_lm
 from adspend.llm import op10_mix as op10_mix_
 from adspend.llm import op11_sentencepiece as op11_sentencepiece_
+from adspend.llm import op12_collocations as op12_collocations_
 from adspend.llm import op13_conversations as op13_conversations_
 from adspend.llm.common import read, scratch
 
@@ -92,6 +93,14 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_sentencepiece_.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_collocations_.collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = op12_collocations_.oracle()
+
+
 @query
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_conversations_.repair(read(spark, sf_dir, "conversations"))
