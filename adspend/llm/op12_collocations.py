@@ -1,9 +1,9 @@
 """Operator 12: collocations of two to five words, counted over a prefix-free parse.
 
-Every piece of text (what stands between two marks of punctuation) is cut into chunks: where the
-hash of ``OVERLAP`` following words falls on a fixed value a chunk ends behind them, and the next
-one begins with them. Where to cut follows from the words alone, so copied passages give the same
-chunks. The dictionary holds each distinct chunk of a language once with its parse frequency, the
+Every text is cut into chunks: where the hash of ``OVERLAP`` following words falls on a fixed value
+a chunk ends behind them, and the next one begins with them. Where to cut follows from the words
+alone, so copied passages give the same chunks. In a chunk the words of one piece (what stands
+between two marks of punctuation) have one blank between them, and pieces a line feed. The dictionary holds each distinct chunk of a language once with its parse frequency, the
 number of its occurrences; all counting works on the dictionary, weighted by that. A phrase counts
 in the chunk in which it begins before the closing overlap, thus once for each occurrence.
 
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from adspend.llm.common import written
 
 OVERLAP = 4  # one less than the words of the longest phrase
-CUT_EVERY = 16
+CUT_EVERY = 32
 FILTER_BITS = 26
 SALTS = 8
-CALL_BYTES = 16 << 20
+CALL_BYTES = 4 << 20
 GAP, END = 0x20, 0x0A
 # A-Z in lower case, the other blank and all marks as one
 CLEAN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
@@ -60,17 +60,22 @@ def chained(codes: list[np.ndarray]) -> np.ndarray:
 
 
 class Words:
-    """The words of a text buffer: dictionary, code of each word, and the place where it begins."""
+    """The words of a text buffer: dictionary, code, begin and size of each, and the number of its piece.
+
+    ``breaks`` are places where a word begins whatever stands before it.
+    """
 
     def __init__(self, data: np.ndarray, breaks: np.ndarray):
-        between = (data == GAP) | (data == END)
-        first = ~between & (np.append(True, between[:-1]) | breaks)
-        self.starts = np.flatnonzero(first)
-        # the length of a word without the blanks behind it
-        solid = np.append(0, np.cumsum(~between, dtype=np.int64))
-        self.offsets = np.append(solid[self.starts], solid[-1]).astype(np.int64)
-        self.letters = data[~between]
-        words = pa.Array.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(self.offsets), pa.py_buffer(self.letters)])
+        solid = (data != GAP) & (data != END)
+        opens = np.append(True, ~solid[:-1])
+        opens[breaks] = True
+        self.starts = np.flatnonzero(solid & opens)
+        ends = np.flatnonzero(solid & np.append(~solid[1:] | opens[1:], True))
+        self.sizes = ends + 1 - self.starts
+        borders = np.union1d(np.flatnonzero(data == END), breaks)
+        self.piece = np.searchsorted(borders, self.starts, side="right")
+        offsets = np.append(0, np.cumsum(self.sizes))
+        words = pa.Array.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])])
         found = words.dictionary_encode()
         self.codes, self.texts = found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary.cast(pa.large_string())
         self.hash = hashes(found.dictionary)
@@ -94,35 +99,35 @@ def summed(columns: list[np.ndarray], weights: np.ndarray) -> tuple[list[np.ndar
 
 
 def chunks_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Chunks of all texts, whether each is the last one of its piece, and the row of its text."""
+    """Chunks of all texts, whether each is the last one of its text, and the row of its text."""
     clean = [t.encode().translate(CLEAN) if t else b"" for t in texts.to_pylist()]
     sizes = np.fromiter(map(len, clean), np.int64, len(clean)) + 1
     data = np.frombuffer(b"\n".join([*clean, b""]), np.uint8)
-    words = Words(data, np.zeros(len(data), bool))
+    words = Words(data, np.zeros(0, np.int64))
     n = len(words.starts)
     if not n:
         return pa.array([], pa.string()), np.zeros(0, bool), np.zeros(0, np.int64)
-    piece = np.append(0, np.cumsum(data == END))[words.starts]
     row = np.searchsorted(np.cumsum(sizes), words.starts, side="right")
-    opens = np.append(True, piece[1:] != piece[:-1])
-    # a window of OVERLAP words that lies in one piece and falls on the value
+    opens = np.append(True, row[1:] != row[:-1])
+    # windows of OVERLAP words that lie in one text with a word behind them, and fall on the value
     code = words.hash[words.codes]
     cut = np.zeros(n, bool)
     if n > OVERLAP:
         window = chained([code[k:n - OVERLAP + k] for k in range(OVERLAP)])
-        cut[:n - OVERLAP] = (window % np.uint64(CUT_EVERY) == 0) & (piece[:n - OVERLAP] == piece[OVERLAP:])
+        cut[:n - OVERLAP] = (window % np.uint64(CUT_EVERY) == 0) & (row[:n - OVERLAP] == row[OVERLAP:])
     begin = np.flatnonzero(opens | cut)
     stop = np.append(begin[1:], n)
-    last = np.append(opens[begin[1:]], True)  # the next chunk is of another piece
+    last = np.append(opens[begin[1:]], True)  # the next chunk is of another text
     stop = np.where(last, stop, stop + OVERLAP)
-    # all words with a blank behind each; a chunk is a stretch of that
-    sizes = np.diff(words.offsets)
-    flat = np.full(len(words.letters) + n, GAP, np.uint8)
-    flat[np.arange(len(words.letters)) + np.repeat(np.arange(n), sizes)] = words.letters
-    at = np.append(0, np.cumsum(sizes + 1))
+    # all words with one sign behind each; a chunk is a stretch of that
+    blank = (data == GAP) | (data == END)
+    flat = data[~blank | np.append(False, ~blank[:-1])]
+    at = np.append(0, np.cumsum(words.sizes + 1))
+    flat[at[1:] - 1] = np.where(np.append(words.piece[1:] != words.piece[:-1], True), END, GAP)
     a, b = at[begin], at[stop] - 1
     ends = np.cumsum(b - a)
-    take = np.arange(ends[-1]) + np.repeat(a - (ends - (b - a)), b - a)
+    take = np.repeat(a - (ends - (b - a)), b - a)
+    take += np.arange(ends[-1])
     chunks = pa.Array.from_buffers(pa.large_binary(), len(a), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(flat[take])])
     return chunks.cast(pa.large_string()).cast(pa.string()), last, row[begin]
 
@@ -135,6 +140,8 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Tabl
         cut = (np.cumsum(bytes_) // CALL_BYTES).astype(int)
         edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
+            if a == b:
+                continue
             held.append(batch.slice(a, b - a))
             size += bytes_[a:b].sum()
             if size >= CALL_BYTES:
@@ -145,7 +152,7 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Tabl
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """The dictionary ``lang, chunk, last, times``: each chunk of a language, whether it ends its piece,
+    """The dictionary ``lang, chunk, last, times``: each chunk of a language, whether it ends its text,
     and how often it occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +166,12 @@ def parse(docs: DataFrame) -> DataFrame:
     return chunks.groupBy("lang", "chunk", "last").agg(F.count("*").alias("times"))
 
 
+def rest(group: np.ndarray) -> np.ndarray:
+    """For rows in order of groups: how many of its group are left, the row itself included."""
+    ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)) if len(group) else np.zeros(0, np.int64)
+    return np.repeat(ends, np.diff(np.append(0, ends))) - np.arange(len(group))
+
+
 class Dictionary:
     """Some chunks of the dictionary in memory."""
 
@@ -166,20 +179,17 @@ class Dictionary:
         chunks = table.column("chunk").combine_chunks().cast(pa.large_string())
         offsets = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
         data = np.frombuffer(chunks.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-        breaks = np.zeros(len(data), bool)
-        breaks[offsets[:-1] - offsets[0]] = True
-        self.words = Words(data, breaks)
+        edges = offsets - offsets[0]
+        self.words = Words(data, edges[:-1])
         self.codes = self.words.codes
-        n = len(self.codes)
-        chunk = np.searchsorted(offsets - offsets[0], self.words.starts, side="right") - 1
+        chunk = np.searchsorted(edges, self.words.starts, side="right") - 1
         lang = table.column("lang").combine_chunks().dictionary_encode()
         self.langs = lang.dictionary
         self.lang = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[chunk]
         self.times = table.column("times").to_numpy()[chunk]
-        stop = np.searchsorted(chunk, np.arange(len(chunks)), side="right")
-        #: words from each one to the end of its chunk, itself included
-        self.left = stop[chunk] - np.arange(n)
-        self.own = table.column("last").to_numpy(zero_copy_only=False)[chunk] | (self.left > OVERLAP)
+        #: words from each one to the end of its piece, itself included
+        self.left = rest(self.words.piece)
+        self.own = table.column("last").to_numpy(zero_copy_only=False)[chunk] | (rest(chunk) > OVERLAP)
         self.lang_hash = hashes(self.langs)
 
     def bits(self, n: int) -> np.ndarray:
