@@ -7,11 +7,12 @@ between two marks of punctuation) have one blank between them, and pieces a line
 number of its occurrences; all counting works on the dictionary, weighted by that. A phrase counts
 in the chunk in which it begins before the closing overlap, thus once for each occurrence.
 
-A phrase has no more occurrences than any part of it, so phrases are counted only where all words,
-then all pairs of words, may be frequent. That is read from a bitmap of hashes of ``FILTER_BITS``
-bits, whatever the size of the input; a bit set by another phrase lets too much through to the
-exact counts, never too little. Of three words and more the longest window (up to five) of frequent
-pairs is sent once for each place, and its beginnings are added up from the counted windows.
+A phrase has no more occurrences than any part of it, so pairs are looked at only where both words,
+and longer phrases only where all pairs may be frequent. Each of these three steps counts 64-bit
+hashes, short rows that need no strings; the hashes that are frequent enough set bits of a bitmap of
+``FILTER_BITS`` bits, whatever the size of the input. The phrases whose bits are set are then counted
+exactly, as strings. Two phrases of one hash or one bit let too much through to the exact counts,
+never too little.
 
 Results: as in the contract of ``collocations``. A null text counts as empty, a null lang as
 ``und``; rows need no id, and repeated rows count as often as they occur; other columns of the
@@ -98,15 +99,16 @@ def summed(columns: list[np.ndarray], weights: np.ndarray) -> tuple[list[np.ndar
     return [c[order[edges]] for c in columns], np.add.reduceat(weights[order], edges)
 
 
-def chunks_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Chunks of all texts, whether each is the last one of its text, and the row of its text."""
+def chunks_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks of all texts, whether each is the last one of its text, its words before the closing
+    overlap, and the row of its text."""
     clean = [t.encode().translate(CLEAN) if t else b"" for t in texts.to_pylist()]
     sizes = np.fromiter(map(len, clean), np.int64, len(clean)) + 1
     data = np.frombuffer(b"\n".join([*clean, b""]), np.uint8)
     words = Words(data, np.zeros(0, np.int64))
     n = len(words.starts)
     if not n:
-        return pa.array([], pa.string()), np.zeros(0, bool), np.zeros(0, np.int64)
+        return pa.array([], pa.string()), np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
     row = np.searchsorted(np.cumsum(sizes), words.starts, side="right")
     opens = np.append(True, row[1:] != row[:-1])
     # windows of OVERLAP words that lie in one text with a word behind them, and fall on the value
@@ -129,7 +131,7 @@ def chunks_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     take = np.repeat(a - (ends - (b - a)), b - a)
     take += np.arange(ends[-1])
     chunks = pa.Array.from_buffers(pa.large_binary(), len(a), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(flat[take])])
-    return chunks.cast(pa.large_string()).cast(pa.string()), last, row[begin]
+    return chunks.cast(pa.large_string()).cast(pa.string()), last, np.where(last, stop - begin, stop - begin - OVERLAP), row[begin]
 
 
 def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
@@ -152,18 +154,18 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Tabl
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """The dictionary ``lang, chunk, last, times``: each chunk of a language, whether it ends its text,
-    and how often it occurs."""
+    """The dictionary ``lang, chunk, last, own, times``: each chunk of a language, whether it ends its text,
+    its words before the closing overlap, and how often it occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "text"):
-            chunks, last, row = chunks_of(table.column("text").combine_chunks())
+            chunks, last, own, row = chunks_of(table.column("text").combine_chunks())
             lang = pc.take(table.column("lang").combine_chunks(), pa.array(row))
-            yield from pa.table({"lang": lang, "chunk": chunks, "last": last}).to_batches(65_536)
+            yield from pa.table({"lang": lang, "chunk": chunks, "last": last, "own": own}).to_batches(65_536)
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    chunks = texts.mapInArrow(run, "lang string, chunk string, last boolean")
-    return chunks.groupBy("lang", "chunk", "last").agg(F.count("*").alias("times"))
+    chunks = texts.mapInArrow(run, "lang string, chunk string, last boolean, own long")
+    return chunks.groupBy("lang", "chunk", "last", "own").agg(F.count("*").alias("times"))
 
 
 def rest(group: np.ndarray) -> np.ndarray:
@@ -192,91 +194,78 @@ class Dictionary:
         self.own = table.column("last").to_numpy(zero_copy_only=False)[chunk] | (rest(chunk) > OVERLAP)
         self.lang_hash = hashes(self.langs)
 
-    def bits(self, n: int) -> np.ndarray:
-        """The place in the filter of the phrase of n words that begins at each word (if it is there)."""
+    def code(self, n: int) -> np.ndarray:
+        """The hash of language and phrase of n words from each word on (if it is there)."""
         code = self.words.hash[self.codes]
-        shifted = [np.append(code[k:], code[:k]) for k in range(n)]
-        return place(self.lang_hash[self.lang], shifted)
+        return mixed(chained([self.lang_hash[self.lang], *(np.append(code[k:], code[:k]) for k in range(n))]))
 
-    def passes(self, n: int, filter_: np.ndarray) -> np.ndarray:
+    def passes(self, n: int, bitmap: bytes) -> np.ndarray:
         """Whether the phrase of n words from each word on is there and may be frequent."""
-        bits = self.bits(n)
-        return (self.left >= n) & (filter_[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)
-
-    def counts(self, at: np.ndarray, columns: list[np.ndarray]) -> pa.Table:
-        rows, times = summed([self.lang[at], *columns], self.times[at])
-        return pa.table({"lang": pc.take(self.langs, pa.array(rows[0])), "phrase": self.words.phrases(rows[1:]), "times": times})
-
-
-def place(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    return (mixed(chained([lang, *words])) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        bit = (self.code(n) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        return (self.left >= n) & (np.frombuffer(bitmap, np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+    def hashed(self, n: int, on: np.ndarray) -> pa.Table:
+        """The hashes of the phrases of n words that begin in this chunk where ``on`` is set."""
+        on = on & self.own & (self.left >= n)
+        (code,), times = summed([self.code(n)[on].view(np.int64)], self.times[on])
+        return pa.table({"code": code, "times": times})
+
+    def exact(self, n: int, on: np.ndarray) -> pa.Table:
+        """The phrases of n words that begin in this chunk where ``on`` is set."""
+        at = np.flatnonzero(on & self.own & (self.left >= n))
+        rows, times = summed([self.lang[at], *(self.codes[at + k] for k in range(n))], self.times[at])
+        return pa.table({"lang": pc.take(self.langs, pa.array(rows[0])), "phrase": self.words.phrases(rows[1:]),
+                         "size": pa.array(np.full(len(times), n, np.int32)), "times": times})
+
+
+def chains(linked: np.ndarray, n: int) -> np.ndarray:
+    """Whether n pairs follow each other from each word on."""
+    out = linked
+    for k in range(1, n):
+        out = out & np.append(linked[k:], np.zeros(min(k, len(linked)), bool))
+    return out
 
 
-def counted(dictionary: DataFrame, count) -> DataFrame:
-    """``lang, phrase, n`` for what ``count`` finds in parts of the dictionary."""
+def counted(dictionary: DataFrame, count, key: str) -> DataFrame:
+    """``n`` of each ``key`` in the tables that ``count`` makes of parts of the dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "chunk"):
-            yield from count(Dictionary(table)).to_batches(65_536)
+            for found in count(Dictionary(table)):
+                yield from found.to_batches(65_536)
 
-    found = dictionary.mapInArrow(run, "lang string, phrase string, times long")
-    return found.groupBy("lang", "phrase").agg(F.sum("times").alias("n"))
+    found = dictionary.select("lang", "chunk", "last", "times").mapInArrow(run, f"{key}, times long")
+    return found.groupBy(*found.columns[:-1]).agg(F.sum("times").alias("n"))
 
 
-def filter_of(phrases: DataFrame):
-    """A broadcast bitmap of ``2 ** FILTER_BITS`` bits in which the places of all phrases are set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            split = [p.split(" ") for p in batch.column("phrase").to_pylist()]
-            words = [hashes(pa.array(w)) for w in zip(*split)]
-            yield pa.record_batch([pa.array(np.unique(place(hashes(batch.column("lang")), words)))], names=["bit"])
-
-    bit = F.col("bit") + 1  # the functions count from 1
-    found = phrases.select("lang", "phrase").mapInArrow(run, "bit long").groupBy(F.bitmap_bucket_number(bit).alias("bucket")) \
+def bitmap_of(dictionary: DataFrame, count, least: int):
+    """A broadcast bitmap of ``2 ** FILTER_BITS`` bits: those of the hashes that occur ``least`` times or more."""
+    bit = F.shiftrightunsigned("code", 64 - FILTER_BITS) + 1  # the functions count from 1
+    found = counted(dictionary, count, "code long").where(F.col("n") >= least).groupBy(F.bitmap_bucket_number(bit).alias("bucket")) \
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
     bitmap = bytearray(1 << FILTER_BITS - 3)
     for r in found:
         bitmap[(r.bucket - 1) * len(r.bits):r.bucket * len(r.bits)] = r.bits
-    return phrases.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    return dictionary.sparkSession.sparkContext.broadcast(bytes(bitmap))
 
 
 def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, n`` of all phrases of one to five words that occur ``least`` times or more,
     and ``lang, total``: all words of each language."""
     dictionary = written(parse(docs), "chunks")
-    words = written(counted(dictionary, lambda d: d.counts(np.flatnonzero(d.own), [d.codes[d.own]])), "words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    single = words.where(F.col("n") >= least)
-    known = filter_of(single)
-
-    def pairs(d: Dictionary) -> pa.Table:
-        may = d.passes(1, np.frombuffer(known.value, np.uint8))
-        at = np.flatnonzero(d.own & (d.left > 1) & may & np.append(may[1:], False))
-        return d.counts(at, [d.codes[at], d.codes[at + 1]])
-
-    double = written(counted(dictionary, pairs).where(F.col("n") >= least), "pairs")
-    linked = filter_of(double)
-
-    def windows(d: Dictionary) -> pa.Table:
-        good = np.append(d.passes(2, np.frombuffer(linked.value, np.uint8)), np.zeros(4, bool))
-        n = len(d.codes)
-        at = np.flatnonzero(d.own & good[:n] & good[1:n + 1])
-        columns, on = [d.codes[at], d.codes[at + 1], d.codes[at + 2]], np.ones(len(at), bool)
-        for k in (2, 3):
-            on = on & good[at + k]
-            columns.append(np.where(on, d.codes[np.minimum(at + k + 1, n - 1)], -1))
-        return d.counts(at, columns)
-
-    size = F.size(F.split("phrase", " "))
-    longer = counted(dictionary, windows).select("lang", "phrase", "n", F.explode(F.sequence(F.lit(3), size)).alias("size"))
-    longer = longer.groupBy("lang", F.expr("substring_index(phrase, ' ', size)").alias("phrase"), "size").agg(F.sum("n").alias("n"))
-    longer = longer.where(F.col("n") >= least)
-    columns = ["lang", "phrase", "size", "n"]
-    return written(single.withColumn("size", F.lit(1)).select(columns).unionByName(double.withColumn("size", F.lit(2)).select(columns))
-                   .unionByName(longer.select(columns)), "frequent"), written(totals, "totals")
+    totals = dictionary.groupBy("lang").agg(F.sum(F.col("times") * F.col("own")).alias("total"))
+    every = lambda d: np.ones(len(d.codes), bool)
+    words = bitmap_of(dictionary, lambda d: [d.hashed(1, every(d))], least)
+    # at the end of a chunk the last word stands for no pair, whatever word of another chunk follows
+    pairs = bitmap_of(dictionary, lambda d: [d.hashed(2, chains(d.passes(1, words.value), 2))], least)
+    longer = bitmap_of(dictionary, lambda d: (d.hashed(n, chains(d.passes(2, pairs.value), n - 1)) for n in (3, 4, 5)), least)
+
+    def exact(d: Dictionary) -> Iterator[pa.Table]:
+        for n, bitmap in ((1, words), (2, pairs), (3, longer), (4, longer), (5, longer)):
+            yield d.exact(n, d.passes(n, bitmap.value))
+
+    known = counted(dictionary, exact, "lang string, phrase string, size int").where(F.col("n") >= least)
+    return written(known, "frequent"), written(totals, "totals")
 
 
 def part(words: Column, start: Column, size: Column) -> Column:

@@ -61,7 +61,7 @@ def test_a_full_filter_lets_all_through(spark, monkeypatch):
     rows = prose()
     want = by_sql(rows, least=2)
     full = spark.sparkContext.broadcast(b"\xff" * (1 << op12.FILTER_BITS - 3))
-    monkeypatch.setattr(op12, "filter_of", lambda phrases: full)
+    monkeypatch.setattr(op12, "bitmap_of", lambda *_: full)
     assert check(spark, rows, least=2) == want
 
 
@@ -86,12 +86,13 @@ def once(texts):
                     if k + n <= len(words):
                         phrase = " ".join(words[k:k + n])
                         plain[phrase] = plain.get(phrase, 0) + 1
-    chunks, last, row = op12.chunks_of(pa.array(texts, pa.string()))
+    chunks, last, own, row = op12.chunks_of(pa.array(texts, pa.string()))
     found: dict = {}
-    for chunk, end in zip(chunks.to_pylist(), last):
+    for chunk, end, n_own in zip(chunks.to_pylist(), last, own):
         pieces = [piece.split(" ") for piece in chunk.split("\n")]
         words = [(piece, k) for piece in pieces for k in range(len(piece))]
-        for piece, k in words[:len(words) if end else len(words) - op12.OVERLAP]:
+        assert n_own == len(words) - (0 if end else op12.OVERLAP)
+        for piece, k in words[:n_own]:
             for n in range(1, 6):
                 if k + n <= len(piece):
                     phrase = " ".join(piece[k:k + n])
