@@ -7,12 +7,11 @@ between two marks of punctuation) have one blank between them, and pieces a line
 number of its occurrences; all counting works on the dictionary, weighted by that. A phrase counts
 in the chunk in which it begins before the closing overlap, thus once for each occurrence.
 
-A phrase has no more occurrences than any part of it, so pairs are looked at only where both words,
-and longer phrases only where all pairs may be frequent. Each of these three steps counts 64-bit
-hashes, short rows that need no strings; the hashes that are frequent enough set bits of a bitmap of
-``FILTER_BITS`` bits, whatever the size of the input. The phrases whose bits are set are then counted
-exactly, as strings. Two phrases of one hash or one bit let too much through to the exact counts,
-never too little.
+A phrase has no more occurrences than any part of it, so pairs are counted only where both words,
+and longer phrases only where all pairs may be frequent. That is read from a bitmap of hashes of
+``FILTER_BITS`` bits, whatever the size of the input; a bit set by another phrase lets too much
+through to the exact counts, never too little. For words alone hashes are counted first, short rows
+that need no strings.
 
 Results: as in the contract of ``collocations``. A null text counts as empty, a null lang as
 ``und``; rows need no id, and repeated rows count as often as they occur; other columns of the
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 from adspend.llm.common import written
 
 OVERLAP = 4  # one less than the words of the longest phrase
-CUT_EVERY = 32
+CUT_EVERY = 64
 FILTER_BITS = 26
 SALTS = 8
 CALL_BYTES = 4 << 20
@@ -204,25 +203,23 @@ class Dictionary:
         bit = (self.code(n) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
         return (self.left >= n) & (np.frombuffer(bitmap, np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
-    def hashed(self, n: int, on: np.ndarray) -> pa.Table:
-        """The hashes of the phrases of n words that begin in this chunk where ``on`` is set."""
-        on = on & self.own & (self.left >= n)
-        (code,), times = summed([self.code(n)[on].view(np.int64)], self.times[on])
+    def hashed(self) -> pa.Table:
+        """The hashes of the words of this chunk."""
+        (code,), times = summed([self.code(1)[self.own].view(np.int64)], self.times[self.own])
         return pa.table({"code": code, "times": times})
 
     def exact(self, n: int, on: np.ndarray) -> pa.Table:
         """The phrases of n words that begin in this chunk where ``on`` is set."""
         at = np.flatnonzero(on & self.own & (self.left >= n))
         rows, times = summed([self.lang[at], *(self.codes[at + k] for k in range(n))], self.times[at])
-        return pa.table({"lang": pc.take(self.langs, pa.array(rows[0])), "phrase": self.words.phrases(rows[1:]),
-                         "size": pa.array(np.full(len(times), n, np.int32)), "times": times})
+        return pa.table({"lang": pc.take(self.langs, pa.array(rows[0])), "phrase": self.words.phrases(rows[1:]), "times": times})
 
 
-def chains(linked: np.ndarray, n: int) -> np.ndarray:
-    """Whether n pairs follow each other from each word on."""
-    out = linked
+def chains(on: np.ndarray, n: int) -> np.ndarray:
+    """Where n set places follow each other."""
+    out = on
     for k in range(1, n):
-        out = out & np.append(linked[k:], np.zeros(min(k, len(linked)), bool))
+        out = out & np.append(on[k:], np.zeros(min(k, len(on)), bool))
     return out
 
 
@@ -238,15 +235,27 @@ def counted(dictionary: DataFrame, count, key: str) -> DataFrame:
     return found.groupBy(*found.columns[:-1]).agg(F.sum("times").alias("n"))
 
 
-def bitmap_of(dictionary: DataFrame, count, least: int):
-    """A broadcast bitmap of ``2 ** FILTER_BITS`` bits: those of the hashes that occur ``least`` times or more."""
+def bitmap_of(codes: DataFrame):
+    """A broadcast bitmap of ``2 ** FILTER_BITS`` bits: the first bits of each ``code``."""
     bit = F.shiftrightunsigned("code", 64 - FILTER_BITS) + 1  # the functions count from 1
-    found = counted(dictionary, count, "code long").where(F.col("n") >= least).groupBy(F.bitmap_bucket_number(bit).alias("bucket")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
+    found = codes.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
     bitmap = bytearray(1 << FILTER_BITS - 3)
     for r in found:
         bitmap[(r.bucket - 1) * len(r.bits):r.bucket * len(r.bits)] = r.bits
-    return dictionary.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    return codes.sparkSession.sparkContext.broadcast(bytes(bitmap))
+
+
+def codes_of_pairs(pairs: DataFrame) -> DataFrame:
+    """``code``: the hashes of ``lang, phrase`` with phrases of two words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                words = zip(*(p.split(" ") for p in batch.column("phrase").to_pylist()))
+                code = mixed(chained([hashes(batch.column("lang")), *(hashes(pa.array(w)) for w in words)]))
+                yield pa.record_batch([pa.array(code.view(np.int64))], names=["code"])
+
+    return pairs.select("lang", "phrase").mapInArrow(run, "code long")
 
 
 def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -254,18 +263,23 @@ def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     and ``lang, total``: all words of each language."""
     dictionary = written(parse(docs), "chunks")
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("times") * F.col("own")).alias("total"))
-    every = lambda d: np.ones(len(d.codes), bool)
-    words = bitmap_of(dictionary, lambda d: [d.hashed(1, every(d))], least)
-    # at the end of a chunk the last word stands for no pair, whatever word of another chunk follows
-    pairs = bitmap_of(dictionary, lambda d: [d.hashed(2, chains(d.passes(1, words.value), 2))], least)
-    longer = bitmap_of(dictionary, lambda d: (d.hashed(n, chains(d.passes(2, pairs.value), n - 1)) for n in (3, 4, 5)), least)
-
-    def exact(d: Dictionary) -> Iterator[pa.Table]:
-        for n, bitmap in ((1, words), (2, pairs), (3, longer), (4, longer), (5, longer)):
-            yield d.exact(n, d.passes(n, bitmap.value))
-
-    known = counted(dictionary, exact, "lang string, phrase string, size int").where(F.col("n") >= least)
-    return written(known, "frequent"), written(totals, "totals")
+    enough = F.col("n") >= least
+    words = bitmap_of(counted(dictionary, lambda d: [d.hashed()], "code long").where(enough))
+
+    def short(d: Dictionary) -> Iterator[pa.Table]:
+        may = d.passes(1, words.value)
+        return (d.exact(n, chains(may, n)) for n in (1, 2))
+
+    size = F.size(F.split("phrase", " "))
+    few = written(counted(dictionary, short, "lang string, phrase string").where(enough).withColumn("size", size), "short")
+    pairs = bitmap_of(codes_of_pairs(few.where("size = 2")))
+
+    def longer(d: Dictionary) -> Iterator[pa.Table]:
+        may = d.passes(2, pairs.value)
+        return (d.exact(n, chains(may, n - 1)) for n in (3, 4, 5))
+
+    more = counted(dictionary, longer, "lang string, phrase string").where(enough).withColumn("size", size)
+    return written(few.unionByName(more), "frequent"), written(totals, "totals")
 
 
 def part(words: Column, start: Column, size: Column) -> Column:
