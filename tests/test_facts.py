@@ -7,7 +7,7 @@ from decimal import Decimal
 from adspend.operators import facts
 from adspend.params import DEFAULT_PARAMS as P
 
-from conftest import RUN
+from support import RUN
 
 
 def _by_camp(df):

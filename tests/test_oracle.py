@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from conftest import SF_MID, SF_SMALL
+from support import SF_MID, SF_SMALL
 from oracle_compare import compare, duck_connection
 
 import __spark_entry__ as contract

@@ -16,7 +16,7 @@ from adspend.plans.catalog import REGISTRY
 from adspend.sources.fixtures import fixture_inputs
 from adspend.sources.tables import read_parquet_inputs, write_parquet_inputs
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def _executed_plan(df) -> str:

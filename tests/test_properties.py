@@ -11,7 +11,7 @@ from adspend.params import SCENARIO_ORDER
 from adspend.plans import allocation as pl
 from adspend.sources.fixtures import fixture_inputs
 
-from conftest import SF_MID, SF_SMALL
+from support import SF_MID, SF_SMALL
 
 KEY = ["publisher_id", "publisher_cpc", "camp_id"]
 

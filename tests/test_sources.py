@@ -13,7 +13,7 @@ from adspend.params import DEFAULT_PARAMS as P
 from adspend.sources.fixtures import fixture_inputs
 from adspend.sources.tables import read_parquet_inputs, write_parquet_inputs
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def test_stored_inputs_round_trip_with_schemas(spark):
