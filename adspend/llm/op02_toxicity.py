@@ -21,17 +21,19 @@ other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adspend.llm.common import id_remainder, written
+from adspend.llm.common import id_remainder, per_worker, written
 from adspend.llm.lattice import INDEX, PLAIN, Restorer, char_model, ngram_counts
 from adspend.llm.op08_bpe import slices
 from adspend.llm.shingles import Words, shingle_sets, superminhash
@@ -129,15 +131,30 @@ class Reader:
             yield mine, spaced
 
 
+def reader_maker(spark: SparkSession, model: np.ndarray):
+    """A function by which tasks get the reader of their worker process; words it has restored for
+    one task it knows in the next, as long as the model is the same."""
+    shared, digest = spark.sparkContext.broadcast(model), hashlib.sha256(model.tobytes()).hexdigest()
+
+    def reader() -> Reader:
+        held = per_worker("toxicity reader", dict)
+        if digest not in held:
+            held.clear()
+            held[digest] = Reader(shared.value)
+        return held[digest]
+
+    return reader
+
+
 def restored_words(docs: DataFrame, model: np.ndarray, keep: list[str]) -> DataFrame:
     """The columns ``keep``, ``words`` (the distinct restored words of each text) and ``marks``
     (a short signature of its shingles, by which near copies know each other)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    reader_of = reader_maker(docs.sparkSession, model)
     schema = T.StructType([*docs.select(*keep).schema, T.StructField("words", T.ArrayType(T.StringType())),
                            T.StructField("marks", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, plain = Reader(shared.value), Words()
+        reader, plain = reader_of(), Words()
         for batch in batches:
             for a, b in slices(batch, "text"):
                 part = batch.slice(a, b - a)
@@ -227,7 +244,9 @@ def learn_words(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: i
     million = 1 << 20
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < -(-sample * million // max(total, sample)))
     # `chosen` has about `sample` rows of two numbers, at most
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # of several texts of one id always the same one
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     seen = written(restored_words(texts, model, ["doc_id", "toxic"]), "sample")
     apart = one_of_each(seen.select("doc_id", "marks").orderBy("doc_id").collect())
     if not apart:
@@ -257,10 +276,10 @@ def learn_words(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: i
 
 
 class Scorer:
-    """Scores of texts under a learned model; the words of a task are judged once."""
+    """Scores of texts under a learned model; the words that its reader knows are judged once."""
 
-    def __init__(self, model: np.ndarray, weights: dict[str, float], bias: float):
-        self.reader = Reader(model)
+    def __init__(self, reader: Reader, weights: dict[str, float], bias: float):
+        self.reader = reader
         names = list(weights)
         self.value, self.bias = np.array([weights[w] for w in names]), bias
         self.place = {w: i for i, w in enumerate(names)}
@@ -289,8 +308,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     """A maker of scorers that tasks call, with the learned model in it."""
     model = learn_characters(docs)
     weights, bias = learn_words(docs, labels, model, sample, features)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return lambda: Scorer(shared.value, weights, bias)
+    reader_of, fit = reader_maker(docs.sparkSession, model), uuid.uuid4().hex
+
+    def scorer() -> Scorer:
+        held, reader = per_worker("toxicity scorer", dict), reader_of()
+        if fit not in held:
+            held.clear()
+            held[fit] = Scorer(reader, weights, bias)
+        return held[fit]
+
+    return scorer
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> DataFrame:

@@ -8,8 +8,9 @@ just one ``t`` goes.
 
 The distinct words of a batch are visited in byte order. This is the depth-first traversal
 of their trie: ``last[0..n]`` holds the states on the path from the root to the current
-node and ``done[0..n]`` the encodings of those prefixes; the part shared with the previous
-word is kept, and only the nodes below it are computed.
+node and ``begin[0..n]`` where their tokens begin, so that an encoding is read by going back;
+the part shared with the previous word is kept, and only the nodes below it are computed. Time
+and memory are linear in the length of a word.
 
 Results: a null text counts as empty; an empty text has no ids; every input row gives one
 row, repeated rows included; a null doc_id is carried through; other columns of the input
@@ -40,6 +41,7 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0"
 # Unicode versions beyond it: such texts are split by the tokenizers library itself.
 LATIN_END = 0x24F
 CACHE_WORDS = 300_000
+CACHE_PAIRS = 2_000_000
 INF = 1 << 60
 
 
@@ -83,7 +85,7 @@ class Bpe:
         self.bytes_of = {i: t for t, i in self.id_of.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
-        self.longest = max(map(len, self.id_of))
+        self.tails = {t[k:] for t in self.id_of for k in range(len(t))}
         size = 1 + max(self.bytes_of)
         self.size = size
         self.rank: dict[int, int] = {}
@@ -109,10 +111,10 @@ class Bpe:
         self.forget()
 
     def forget(self) -> None:
-        """Empty the caches: numbers of known words, their ids, and which token follows which."""
+        """Empty the caches: numbers of known words, their ids, and which token may follow which."""
         self.number: dict[str, int] = defaultdict(count().__next__)
         self.known: list[bytes] = []
-        self.after: list[dict[bytes, int] | None] = [None] * (self.size + 1)
+        self.pairs: dict[int, bool] = {}
 
     def goes(self, a: int, b: int, until: int = INF) -> bool:
         """Whether no merge earlier than ``until`` crosses the border between tokens a and b.
@@ -142,11 +144,9 @@ class Bpe:
 
     def learn(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words as bytes, by one traversal of their trie."""
-        find, longest, packed, after, root = self.id_of.get, self.longest, self.packed, self.after, self.size
+        find, tails, packed, whole, size, pairs = self.id_of.get, self.tails, self.packed, self.whole, self.size, self.pairs
         out = [b""] * len(words)
-        if after[root] is None:
-            after[root] = {}
-        path, done, last = [after[root]], [b""], [root]
+        begin, last = [0], [-1]
         before = b""
         for word, place in sorted((w.encode("utf-8", "surrogatepass"), i) for i, w in enumerate(words)):
             shared = 0
@@ -154,23 +154,28 @@ class Bpe:
                 if x != y:
                     break
                 shared += 1
-            del path[shared + 1:], done[shared + 1:], last[shared + 1:]
+            del begin[shared + 1:], last[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(end - 1, max(end - longest, 0) - 1, -1):
-                    t = path[start].get(tail := word[start:end])
-                    if t is None:
-                        t = find(tail, -1)
-                        if t >= 0 and not (self.whole[t] and (not start or self.goes(last[start], t))):
-                            t = -1
-                        path[start][tail] = t
+                start = end - 1
+                while (tail := word[start:end]) in tails:
+                    t = find(tail, -1)
                     if t >= 0:
-                        if after[t] is None:
-                            after[t] = {}
-                        path.append(after[t])
-                        last.append(t)
-                        done.append(done[start] + packed[t])
-                        break
-            out[place] = done[-1]
+                        if not start:
+                            fits = whole[t]
+                        elif (fits := pairs.get(key := last[start] * size + t)) is None:
+                            if len(pairs) > CACHE_PAIRS:
+                                pairs.clear()
+                            fits = pairs[key] = whole[t] and self.goes(last[start], t)
+                        if fits:
+                            break
+                    start -= 1
+                last.append(t)
+                begin.append(start)
+            ids, end = [], len(word)
+            while end:
+                ids.append(packed[last[end]])
+                end = begin[end]
+            out[place] = b"".join(reversed(ids))
             before = word
         return out
 

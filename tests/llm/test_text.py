@@ -54,6 +54,25 @@ def test_word_coder_equals_the_library(word_bpe, texts, special):
         assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_bpe_of_long_words(byte_bpe):
+    import random
+    import tracemalloc
+
+    mine, library = byte_bpe
+    letters = "".join(random.Random(7).choices("abcdefghijklmnopqrstuvwxyz", k=200_000))
+    for text in (letters, "x" * 100_000, "ab" * 50_000, "é" * 30_000, " " * 50_000 + "end"):
+        ids, _ = mine.encode([text])
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    tracemalloc.start()
+    text = "".join(random.Random(8).choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    ids, _ = mine.encode([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    mine.forget()
+    assert mine.decode(ids) == text
+    assert peak < 600 << 20
+
+
 def test_bpe_query(spark, small_rows, byte_bpe, hard, empty):
     got = {r.doc_id: tuple(r)[1:] for r in registry.QUERIES["op8_bpe"](spark, SMALL).collect()}
     assert got == {i: bpe_digests(t, byte_bpe[1]) for i, t in small_rows}
