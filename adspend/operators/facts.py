@@ -34,14 +34,17 @@ def price_tag(price) -> str:
     return f"{int(round(float(price) * 100)):03d}"
 
 
-def links_of(inputs: AdInputs, clicks: DataFrame) -> DataFrame:
-    """Click-to-batch links that can belong to ``clicks``, by the range of their record ids.
+def links_of(inputs: AdInputs, clicks: DataFrame, params: AllocParams) -> DataFrame:
+    """Click-to-batch links that can belong to ``clicks``, which are of the run date.
 
-    Links have no day of their own. Nothing outside the least and the greatest record id
+    Stored links (``sources.tables.write_parquet_inputs``) have the day of their click, and only
+    the partition of the run date is read. Links from elsewhere have no day: of those the ones in
+    the range of the record ids are taken. Nothing outside the least and the greatest record id
     can match, and Spark pushes the two values into the Parquet scan once the subquery has
-    run: over links stored by click id (``write_parquet_inputs``) the files and row groups of
-    other days are not read. The range is exact whatever the size of a day.
+    run. The range is exact whatever the size of a day.
     """
+    if "click_date" in inputs.click_batches.columns:
+        return inputs.click_batches.filter(F.col("click_date") == F.lit(params.run_date)).drop("click_date")
     # The two ends are asked for over different frames on purpose: Spark merges subqueries over
     # equal ones into a struct, and a struct's fields are not pushed into the scan.
     lo = clicks.agg(F.min("record_id").alias("lo")).scalar()
@@ -49,12 +52,12 @@ def links_of(inputs: AdInputs, clicks: DataFrame) -> DataFrame:
     return inputs.click_batches.filter((F.col("click_id") >= lo) & (F.col("click_id") <= hi))
 
 
-def batch_feed_counts(inputs: AdInputs, clicks: DataFrame) -> DataFrame:
+def batch_feed_counts(inputs: AdInputs, clicks: DataFrame, params: AllocParams) -> DataFrame:
     """Per ``click_id`` of the range of ``clicks``: number of its export batches on each priced feed."""
     batches = (inputs.export_batches
                .select(F.col("id").alias("batch_id"), feed_price(F.col("feed")).alias("price"))
                .filter(F.col("price").isNotNull()))
-    linked = links_of(inputs, clicks).join(batches, "batch_id")
+    linked = links_of(inputs, clicks, params).join(batches, "batch_id")
     return linked.groupBy("click_id").agg(*[
         F.sum(if_(F.col("price") == dec(p), 1, 0)).alias(f"n_{price_tag(p)}") for p in FEED_PRICES])
 
@@ -79,7 +82,7 @@ def click_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
     """
     clicks = inputs.clicks_of(params).select(
         "record_id", "camp_id", "partner_source", "reason_code", "click_cost")
-    joined = clicks.join(batch_feed_counts(inputs, clicks), F.col("record_id") == F.col("click_id"), "left")
+    joined = clicks.join(batch_feed_counts(inputs, clicks, params), F.col("record_id") == F.col("click_id"), "left")
     # money is summed as exact BIGINT units and turned back into DECIMAL once per campaign
     cost_units = money_units(F.col("click_cost"))
     main_units = if_(is_main_billable(), cost_units, 0)
@@ -137,7 +140,10 @@ def exported_today(inputs: AdInputs, params: AllocParams) -> DataFrame:
     # both uses of this set (membership, and whether it holds a NULL) share its one aggregation
     batches = inputs.export_batches.filter(
         (F.to_date("date") == run_date(params)) & (F.col("publisher") == MAIN_PUBLISHER))
-    return (inputs.export_campaign_stats
+    stats = inputs.export_campaign_stats
+    if "batch_date" in stats.columns:  # stored by day: one partition is read
+        stats = stats.filter(F.col("batch_date") == F.lit(params.run_date))
+    return (stats
             .join(batches, F.col("batch_id") == F.col("id"), "left_semi")
             .select("camp_id").distinct())
 

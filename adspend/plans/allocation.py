@@ -234,22 +234,37 @@ def stage_row_counts(inputs: AdInputs, params: AllocParams, existing: DataFrame
 def write_ledger(ledger_rows: DataFrame, path: str, fmt: str = "parquet", target_date: _dt.date | None = None) -> None:
     """Replace the target date's folder; other dates stay.
 
-    With ``target_date`` the folder is overwritten as a whole, so a re-run of a day gives the
-    same rows, and a re-run with an empty result leaves none of the earlier ones. Without it
-    the dates that the rows have are replaced, and none if there are no rows.
+    The rows are staged beside the folders and take the place of a date's earlier rows when the
+    whole job has ended well (Spark's dynamic partition overwrite): a run that fails in a task
+    leaves the earlier rows as they are. With ``target_date`` all rows are of that date; if there
+    are none the date's folder is emptied, after the job. Without it the dates that the rows have
+    are replaced, and none if there are no rows.
     """
-    if target_date is None:
-        (ledger_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    from pyspark.sql import Observation
+
+    def replace_dates(rows: DataFrame) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("date_date").format(fmt).save(path))
-    else:
+
+    if target_date is None:
+        replace_dates(ledger_rows)
+        return
+    written = Observation()
+    rows = ledger_rows.withColumn("date_date", F.lit(target_date))
+    replace_dates(rows.observe(written, F.count(F.lit(1)).alias("n")))
+    if not written.get.get("n"):
         day = f"{path.rstrip('/')}/date_date={target_date.isoformat()}"
-        ledger_rows.drop("date_date").write.mode("overwrite").format(fmt).save(day)
+        nothing = ledger_rows.sparkSession.createDataFrame([], rows.schema)
+        nothing.drop("date_date").coalesce(1).write.mode("overwrite").format(fmt).save(day)
 
 
 def run_daily(spark, inputs: AdInputs, params: AllocParams, ledger_path: str,
-              checkpoint: bool = True, existing: DataFrame | None = None) -> dict[str, int]:
+              checkpoint: bool = True, existing: DataFrame | None = None, check: bool = True) -> dict[str, int]:
     """The production run: allocate, replace the target date's folder, report counts.
 
+    * Raises, and writes nothing, on repeated keys and on policy rows that no rule reads
+      (``sources.tables.check_inputs``, over the key columns only); ``check=False`` leaves that out
+      for inputs that were checked at the load.
     * Stops without writing when no advertiser has a usable vertical (the ledger
       of the day is left as it is), like the reference's guard.
     * With ``checkpoint``, the campaign frame (one row per eligible campaign, the
@@ -267,9 +282,12 @@ def run_daily(spark, inputs: AdInputs, params: AllocParams, ledger_path: str,
 
     from adspend.operators.eligibility import eligible_advertisers
     from adspend.session import ensure_checkpoint_dir
+    from adspend.sources.tables import check_inputs
 
     if existing is not None and not checkpoint:
         raise ValueError("a run over an existing ledger needs checkpoint=True")
+    if check:
+        check_inputs(inputs)
     if eligible_advertisers(inputs, params).isEmpty():
         return {}
     frame = campaign_frame(inputs, params)

@@ -326,8 +326,9 @@ def _j_cc(inp, p):
 
 @query("join_click_feed", "SELECT record_id, camp_id, batch_id, feed FROM feed_rows")
 def _j_cf(inp, p):
-    clicks = inp.clicks_of(p).join(inp.campaigns.select("camp_id"), "camp_id")
-    return (clicks.join(inp.click_batches, F.col("record_id") == F.col("click_id"))
+    today = inp.clicks_of(p)
+    clicks = today.join(inp.campaigns.select("camp_id"), "camp_id")
+    return (clicks.join(facts.links_of(inp, today, p), F.col("record_id") == F.col("click_id"))
             .join(inp.export_batches, F.col("batch_id") == F.col("id"))
             .select("record_id", "camp_id", "batch_id", "feed"))
 
@@ -394,7 +395,7 @@ def _anti_exported(inp, p):
 def _anti_exported_null(inp, p):
     """The same over exports of which some have no campaign: NOT IN is then never true."""
     lost = inp.export_batches.filter(F.col("id") % 2 == 0).select(F.lit(None).cast("long").alias("camp_id"), F.col("id").alias("batch_id"))
-    return _anti_exported(replace(inp, export_campaign_stats=inp.export_campaign_stats.unionByName(lost)), p)
+    return _anti_exported(replace(inp, export_campaign_stats=inp.export_campaign_stats.select("camp_id", "batch_id").unionByName(lost)), p)
 
 
 @query("join_ledger_campaign", """SELECT l.camp_id, CAST(l.price AS DOUBLE) AS publisher_cpc, CAST(l.spend AS DOUBLE) AS target_spend,
@@ -479,7 +480,7 @@ def _g_multi(inp, p):
 
 def _linked_clicks(inp, p):
     clicks = inp.clicks_of(p)
-    return (clicks.join(facts.links_of(inp, clicks), F.col("record_id") == F.col("click_id"))
+    return (clicks.join(facts.links_of(inp, clicks, p), F.col("record_id") == F.col("click_id"))
             .join(inp.export_batches, F.col("batch_id") == F.col("id")))
 
 

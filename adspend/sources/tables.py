@@ -7,6 +7,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adspend.params import AllocParams
 from adspend.schemas import INPUT_SCHEMAS, LEDGER, conform
@@ -30,26 +31,54 @@ class AdInputs:
         return self.ad_clicks.filter(F.col("date_date") == F.lit(params.run_date))
 
 
-# Stored layout: clicks are partitioned by day, so the run-date filter prunes
-# partitions instead of reading the click history.
-PARTITION_COLUMNS = {"ad_clicks": ["date_date"]}
+# Stored layout: clicks, their links and the exported campaigns are partitioned by day, so a
+# run reads its own day of each and not the history, whatever their ids are. Links and exports
+# have no day of their own: they get that of their click and of their batch when they are stored.
+DAY_COLUMNS = {"ad_clicks": "date_date", "click_batches": "click_date", "export_campaign_stats": "batch_date"}
 
 
-# Links are sorted by click id over all files, so the id range of one day's clicks
-# (``operators.facts.links_of``) skips the files and row groups of other days.
-SORTED_BY = {"click_batches": "click_id"}
+def links_by_day(links: DataFrame, clicks: DataFrame) -> DataFrame:
+    """``links`` with the ``click_date`` of their click: once for each day that has the id, with a
+    null day if no click has it (such a link joins nothing)."""
+    days = clicks.select(F.col("record_id").alias("click_id"), F.col("date_date").alias("click_date")).distinct()
+    return links.select("click_id", "batch_id").join(days, "click_id", "left")
+
+
+def exports_by_day(stats: DataFrame, batches: DataFrame) -> DataFrame:
+    """``stats`` with the ``batch_date`` of their export batch, null if there is no such batch."""
+    days = batches.select(F.col("id").alias("batch_id"), F.to_date("date").alias("batch_date")).distinct()
+    return stats.select("camp_id", "batch_id").join(days, "batch_id", "left")
+
+
+def _write_days(frame: DataFrame, path: str, day: str, key: str, mode: str) -> None:
+    """Ranges of (day, key): a large day is spread over many files, a small one lies in one."""
+    (frame.repartitionByRange(day, key).sortWithinPartitions(day, key)
+     .write.mode(mode).partitionBy(day).parquet(path))
 
 
 def write_parquet_inputs(inputs: AdInputs, base: str) -> None:
-    """Store the inputs as ``<base>/<relation>`` Parquet datasets."""
+    """Store the inputs as ``<base>/<relation>`` Parquet datasets, those of ``DAY_COLUMNS`` by day."""
     for f in fields(inputs):
         frame = getattr(inputs, f.name)
-        if f.name in SORTED_BY:
-            frame = frame.repartitionByRange(SORTED_BY[f.name]).sortWithinPartitions(SORTED_BY[f.name])
-        writer = frame.write.mode("overwrite")
-        if f.name in PARTITION_COLUMNS:
-            writer = writer.partitionBy(*PARTITION_COLUMNS[f.name])
-        writer.parquet(f"{base}/{f.name}")
+        if f.name == "click_batches":
+            _write_days(links_by_day(frame, inputs.ad_clicks), f"{base}/{f.name}", "click_date", "click_id", "overwrite")
+        elif f.name == "export_campaign_stats":
+            _write_days(exports_by_day(frame, inputs.export_batches), f"{base}/{f.name}", "batch_date", "batch_id", "overwrite")
+        elif f.name in DAY_COLUMNS:
+            frame.write.mode("overwrite").partitionBy(DAY_COLUMNS[f.name]).parquet(f"{base}/{f.name}")
+        else:
+            frame.write.mode("overwrite").parquet(f"{base}/{f.name}")
+
+
+def add_links(links: DataFrame, clicks: DataFrame, base: str) -> None:
+    """Append links that have arrived to the stored ones. ``clicks`` are those that they can belong
+    to, as a rule the clicks of the last days."""
+    _write_days(links_by_day(links, clicks), f"{base}/click_batches", "click_date", "click_id", "append")
+
+
+def add_exports(stats: DataFrame, batches: DataFrame, base: str) -> None:
+    """Append exported campaigns to the stored ones; ``batches`` are their export batches."""
+    _write_days(exports_by_day(stats, batches), f"{base}/export_campaign_stats", "batch_date", "batch_id", "append")
 
 
 def read_ledger(spark: SparkSession, path: str, target_date: _dt.date) -> DataFrame:
@@ -77,7 +106,7 @@ def duplicate_keys(inputs: AdInputs) -> dict[str, int]:
 
 def check_inputs(inputs: AdInputs) -> None:
     """Raise if a key repeats (every ledger row of it would be multiplied) or a policy row is
-    one that no rule reads. Meant for the load, before ``run_daily``."""
+    one that no rule reads. ``run_daily`` asks for it before anything else."""
     from adspend.operators.facts import unknown_policy_rows
 
     problems = [f"{n} repeated keys in {name}" for name, n in duplicate_keys(inputs).items()]
@@ -89,8 +118,13 @@ def check_inputs(inputs: AdInputs) -> None:
 
 def read_parquet_inputs(spark: SparkSession, base: str) -> AdInputs:
     """Read ``<base>/<relation>`` Parquet datasets and check them against the schemas."""
-    return AdInputs(**{name: conform(spark.read.parquet(f"{base}/{name}"), schema, name)
-                       for name, schema in INPUT_SCHEMAS.items()})
+    frames = {}
+    for name, schema in INPUT_SCHEMAS.items():
+        stored, day = spark.read.parquet(f"{base}/{name}"), DAY_COLUMNS.get(name)
+        if day in stored.columns and day not in schema.fieldNames():
+            schema = T.StructType([*schema, T.StructField(day, T.DateType())])
+        frames[name] = conform(stored, schema, name)
+    return AdInputs(**frames)
 
 
 def read_jdbc_inputs(spark: SparkSession, url: str, tables: dict[str, str],
