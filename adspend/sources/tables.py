@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,11 +117,21 @@ def check_inputs(inputs: AdInputs) -> None:
         raise ValueError("; ".join(problems))
 
 
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored dataset; one that is partitioned by day and has no rows has no files either."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_parquet_inputs(spark: SparkSession, base: str) -> AdInputs:
     """Read ``<base>/<relation>`` Parquet datasets and check them against the schemas."""
     frames = {}
     for name, schema in INPUT_SCHEMAS.items():
-        stored, day = spark.read.parquet(f"{base}/{name}"), DAY_COLUMNS.get(name)
+        stored, day = _stored(spark, f"{base}/{name}", schema), DAY_COLUMNS.get(name)
         if day in stored.columns and day not in schema.fieldNames():
             schema = T.StructType([*schema, T.StructField(day, T.DateType())])
         frames[name] = conform(stored, schema, name)

@@ -57,15 +57,15 @@ def stored(spark):
     """Inputs with ids that do not rise with time: years of links and exports around those of the run."""
     inputs = fixture_inputs(spark, SF_SMALL, P)
     mixed = lambda c: F.xxhash64(c)
-    old_clicks = spark.range(1, 20_000).select(mixed("id").alias("record_id"), (F.col("id") % 50).alias("camp_id"), F.expr("date_add(DATE'2021-01-01', cast(id % 700 as int))").alias("date_date"),
+    old_clicks = spark.range(1, 20_000).select(mixed("id").alias("record_id"), (F.col("id") % 50).alias("camp_id"), F.expr("date_add(DATE'2021-01-01', cast(id % 40 as int))").alias("date_date"),
                                                F.lit(30647).alias("partner_source"), F.lit(99).alias("reason_code"), F.lit(1).cast("decimal(12,4)").alias("click_cost"))
-    old_batches = spark.range(1, 700).select((-F.col("id")).alias("id"), F.lit(2).alias("feed"), F.expr("date_add(DATE'2021-01-01', cast(id as int))").alias("date"), F.lit(30647).alias("publisher"))
+    old_batches = spark.range(1, 41).select((-F.col("id")).alias("id"), F.lit(2).alias("feed"), F.expr("date_add(DATE'2021-01-01', cast(id as int))").alias("date"), F.lit(30647).alias("publisher"))
     mine = replace(
         inputs,
         ad_clicks=inputs.ad_clicks.withColumn("record_id", mixed("record_id")).unionByName(old_clicks),
         click_batches=inputs.click_batches.withColumn("click_id", mixed("click_id")).unionByName(old_clicks.select(F.col("record_id").alias("click_id"), F.lit(-5).cast("long").alias("batch_id"))),
         export_batches=inputs.export_batches.unionByName(old_batches),
-        export_campaign_stats=inputs.export_campaign_stats.unionByName(spark.range(1, 30_000).select((F.col("id") % 50).alias("camp_id"), (-(F.col("id") % 699) - 1).alias("batch_id"))))
+        export_campaign_stats=inputs.export_campaign_stats.unionByName(spark.range(1, 30_000).select((F.col("id") % 50).alias("camp_id"), (-(F.col("id") % 40) - 1).alias("batch_id"))))
     base = tempfile.mkdtemp(prefix="adspend-test-days-")
     write_parquet_inputs(mine, base)
     return inputs, mine, base
