@@ -50,6 +50,23 @@ def ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, dbl(num) / dbl(den))
 
 
+# 11 x 25 x 41: every price point in cents divides it, so spend / price is a whole number of its parts
+CLICK_PARTS = 11_275
+
+
+def exact_clicks(spend: Column, price: Column) -> Column:
+    """``sum(spend / price)`` for prices of the price list and spend of at most four decimals.
+
+    The terms are added as whole numbers over one denominator, so the sum does not depend on the
+    order of the rows; one division comes last. Another price fails the job.
+    """
+    cents = F.round(price * 100).cast("long")
+    refused = F.raise_error(F.concat(F.lit("not a price point: "), price.cast("string"))).cast("long")
+    parts = F.when(cents.isin([round(100 * p) for p in FEED_ID_BY_PRICE]), F.expr(str(CLICK_PARTS)) / cents).when(price.isNotNull(), refused)
+    units = F.round(spend * 10 ** MONEY_SCALE).cast("long")
+    return dbl(F.sum(units * parts.cast("long"))) / (CLICK_PARTS * 10 ** (MONEY_SCALE - 2))
+
+
 def capped(x: Column, cap: int) -> Column:
     """``case when x > cap then cap else round(x, 2) end`` as DOUBLE."""
     return dbl(F.when(x > cap, F.lit(cap)).otherwise(F.round(x, 2)))

@@ -47,7 +47,7 @@ def funded_user(params: AllocParams) -> F.Column:
             & (F.col("total_credits") - F.col("total_debits") > 0))
 
 
-def salted_user_join(rows: DataFrame, users: DataFrame, inputs: AdInputs, params: AllocParams) -> DataFrame:
+def salted_user_join(rows: DataFrame, users: DataFrame, inputs: AdInputs, params: AllocParams, how: str = "inner") -> DataFrame:
     """Campaign rows joined to one row per user (``id``), with hot accounts salted.
 
     An account with more than ``params.hot_account_campaigns`` campaigns is hot and gets one
@@ -55,7 +55,7 @@ def salted_user_join(rows: DataFrame, users: DataFrame, inputs: AdInputs, params
     campaigns are dealt by ``camp_id`` over the salts, its user row is repeated once per salt,
     and the join runs on (user_id, salt). Other accounts have salt 0 and are not repeated.
     The hot accounts come from one count of campaigns by user; Spark decides by their size how
-    they are joined.
+    they are joined. ``how`` is ``inner`` or ``left``.
     """
     threshold, least = params.hot_account_campaigns, params.account_salt_buckets
     hot = (inputs.campaigns.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
@@ -67,7 +67,7 @@ def salted_user_join(rows: DataFrame, users: DataFrame, inputs: AdInputs, params
     salted_users = (users.join(hot, users.id == F.col("_hot_id"), "left")
                     .withColumn("_user_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
                     .drop("_hot_id", "_salts"))
-    joined = salted_rows.join(salted_users, (F.col("user_id") == F.col("id")) & (F.col("_salt") == F.col("_user_salt")))
+    joined = salted_rows.join(salted_users, (F.col("user_id") == F.col("id")) & (F.col("_salt") == F.col("_user_salt")), how)
     return joined.drop("id", "_salt", "_user_salt")
 
 

@@ -54,10 +54,15 @@ def links_of(inputs: AdInputs, clicks: DataFrame, params: AllocParams) -> DataFr
 
 def batch_feed_counts(inputs: AdInputs, clicks: DataFrame, params: AllocParams) -> DataFrame:
     """Per ``click_id`` of the range of ``clicks``: number of its export batches on each priced feed."""
-    batches = (inputs.export_batches
+    return feed_counts(links_of(inputs, clicks, params), inputs.export_batches)
+
+
+def feed_counts(links: DataFrame, export_batches: DataFrame) -> DataFrame:
+    """Per ``click_id`` of ``links``: number of its export batches on each priced feed."""
+    batches = (export_batches
                .select(F.col("id").alias("batch_id"), feed_price(F.col("feed")).alias("price"))
                .filter(F.col("price").isNotNull()))
-    linked = links_of(inputs, clicks, params).join(batches, "batch_id")
+    linked = links.join(batches, "batch_id")
     return linked.groupBy("click_id").agg(*[
         F.sum(if_(F.col("price") == dec(p), 1, 0)).alias(f"n_{price_tag(p)}") for p in FEED_PRICES])
 
@@ -79,30 +84,46 @@ def click_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
     ``paid_cost`` / ``paid_n`` (billable cost and count over all publishers) and,
     per feed price ``p``, ``rows_p`` (joined click x batch rows), ``clk_p`` and ``rev_p``.
     Restrict the campaigns after this aggregation: raw clicks are never shuffled by campaign.
+    With ``inputs.click_rollups`` the sums of the stored loads are added up and no click is read.
     """
+    if inputs.click_rollups is not None:
+        loads = inputs.click_rollups.filter(F.col("date_date") == F.lit(params.run_date))
+        return _with_money(loads.groupBy("camp_id").agg(*[F.sum(c).alias(c) for c in CLICK_SUMS]))
     clicks = inputs.clicks_of(params).select(
         "record_id", "camp_id", "partner_source", "reason_code", "click_cost")
     joined = clicks.join(batch_feed_counts(inputs, clicks, params), F.col("record_id") == F.col("click_id"), "left")
+    return _with_money(click_sums(joined, ["camp_id"], F.lit(1)))
+
+
+# What a day's clicks of a campaign add up to; the columns of ``_MONEY`` in units of ``money_units``.
+CLICK_SUMS = ["click_rows", "rev", "paid_cost", "paid_n",
+              *[f"{c}_{price_tag(p)}" for p in FEED_PRICES for c in ("rows", "clk", "rev")]]
+_MONEY = ["rev", "paid_cost", *[f"rev_{price_tag(p)}" for p in FEED_PRICES]]
+
+
+def _with_money(sums: DataFrame) -> DataFrame:
+    return sums.select(*[from_units(F.col(c)).alias(c) if c in _MONEY else c for c in sums.columns])
+
+
+def click_sums(joined: DataFrame, by: list[str], counted: F.Column) -> DataFrame:
+    """``CLICK_SUMS`` of clicks with their ``feed_counts``; a click's own figures count ``counted`` times."""
     # money is summed as exact BIGINT units and turned back into DECIMAL once per campaign
     cost_units = money_units(F.col("click_cost"))
     main_units = if_(is_main_billable(), cost_units, 0)
     main_clk = if_(is_main_billable(), 1, 0)
     aggs = [
-        F.count(F.lit(1)).alias("click_rows"),
-        F.sum(main_units).alias("rev"),
-        F.sum(if_(is_billable(), cost_units, 0)).alias("paid_cost"),
-        F.sum(if_(is_billable(), 1, 0)).alias("paid_n"),
+        F.sum(counted).alias("click_rows"),
+        F.sum(main_units * counted).alias("rev"),
+        F.sum(if_(is_billable(), cost_units, 0) * counted).alias("paid_cost"),
+        F.sum(if_(is_billable(), 1, 0) * counted).alias("paid_n"),
     ]
-    units = ["rev", "paid_cost"]
     for p in FEED_PRICES:
         t = price_tag(p)
         n = F.coalesce(F.col(f"n_{t}"), F.lit(0))
         aggs += [F.sum(n).alias(f"rows_{t}"),
                  F.sum(main_clk * n).alias(f"clk_{t}"),
                  F.sum(main_units * n).alias(f"rev_{t}")]
-        units.append(f"rev_{t}")
-    rolled = joined.groupBy("camp_id").agg(*aggs)
-    return rolled.select(*[from_units(F.col(c)).alias(c) if c in units else c for c in rolled.columns])
+    return joined.groupBy(*by).agg(*aggs)
 
 
 def account_rollups(inputs: AdInputs, params: AllocParams) -> DataFrame:

@@ -25,6 +25,7 @@ from adspend.operators import feeds, ledger
 from adspend.operators.candidates import (
     campaign_frame, candidate_array, claimed_spend, claimed_step, ledger_entry,
 )
+from adspend.operators.eligibility import salted_user_join
 from adspend.operators.facts import FEED_PRICES, campaign_policy_flags, price_tag, user_policy_flags
 from adspend.params import FEED_ID_BY_PRICE, MAIN_PUBLISHER, PARTNER_PUBLISHER, SCENARIO_ORDER, AllocParams
 from adspend.schemas import LEDGER
@@ -96,9 +97,8 @@ def _with_stored(inputs: AdInputs, params: AllocParams, frame: DataFrame, existi
     inside = frame.join(stored, "camp_id", "left")
     flags = (campaign_policy_flags(inputs).withColumnRenamed("id", "camp_id"))
     outside = (stored.join(frame.select("camp_id"), "camp_id", "left_anti")
-               .join(inputs.campaigns.select("camp_id", "user_id", "system_daily_budget", "cost_today", "cost_per_click"), "camp_id", "left")
-               .join(user_policy_flags(inputs).withColumnRenamed("id", "user_id"), "user_id", "left")
-               .join(flags, "camp_id", "left"))
+               .join(inputs.campaigns.select("camp_id", "user_id", "system_daily_budget", "cost_today", "cost_per_click"), "camp_id", "left"))
+    outside = salted_user_join(outside, user_policy_flags(inputs), inputs, params, "left").join(flags, "camp_id", "left")
     outside = outside.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c.startswith(_FLAG_PREFIXES) else c for c in outside.columns])
     return inside.unionByName(outside.withColumn("eligible", F.lit(False)), allowMissingColumns=True)
 

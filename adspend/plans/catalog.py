@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adspend.functions.spend import (
-    capped, dbl, dec, feed_id_of_price, feed_price, from_units, if_, is_main_billable, ledger_key_text, money_units,
+    capped, dbl, dec, exact_clicks, feed_id_of_price, feed_price, from_units, if_, is_main_billable, ledger_key_text, money_units,
     near_exhausted, next_day, ratio, round2, underspent,
 )
 from adspend.operators import candidates as cand
 from adspend.operators import eligibility as elig
 from adspend.operators import facts
 from adspend.operators import ledger as ledger_ops
+from adspend.operators import rollups
 from adspend.operators.arbitration import arbitrate
 from adspend.params import (
     ACCOUNT_MARGIN_NEAR, ACCOUNT_MARGIN_WIDE, CAMPAIGN_MARGIN, DEFAULT_PARAMS, FEED_ID_BY_PRICE,
@@ -35,6 +36,7 @@ from adspend.plans import oracle as O
 from adspend.plans import allocation as pl
 from adspend.session import ensure_checkpoint_dir
 from adspend.sources.fixtures import fixture_inputs, stored_inputs, stored_ledger
+from adspend.sources.ledger_store import store_ledger, update_stored
 from adspend.sources.tables import AdInputs, read_ledger
 
 Builder = Callable[[AdInputs, AllocParams], DataFrame]
@@ -154,7 +156,7 @@ def _update_ledger(inp, p):
     return ledger_ops.update_rows(rows, priced, job_export_feed_id=feed_id_of_price(F.col("publisher_cpc")))
 
 
-@query("keyed_update", f"""SELECT {O.LEDGER_COLS} FROM (
+KEYED_UPDATE = f"""SELECT {O.LEDGER_COLS} FROM (
   SELECT camp_id, pub, price, CASE WHEN hit THEN 0.0 ELSE spend END AS spend,
          CASE WHEN hit THEN 10 ELSE step END AS step, feed_id, active
   FROM (SELECT l.*, EXISTS (
@@ -162,11 +164,30 @@ def _update_ledger(inp, p):
           JOIN client_policy cp ON cp.entity = 'user' AND cp.policy = 'exclude' AND cp.id = c.user_id
                AND cp.publisher_cpc = CAST(k.price AS DOUBLE)
           WHERE k.camp_id = l.camp_id AND k.price = l.price) AS hit
-        FROM l0 l))""")
+        FROM l0 l))"""
+
+
+@query("keyed_update", KEYED_UPDATE)
 def _keyed_update(inp, p):
-    excluded = inp.client_policy.filter((F.col("entity") == "user") & (F.col("policy") == "exclude"))
-    keys = inp.campaigns.join(excluded, F.col("user_id") == excluded.id).select("camp_id", "publisher_cpc")
-    return ledger_ops.keyed_update(pl.scenario_ledger(inp, p), keys, ["camp_id", "publisher_cpc"], target_spend=0.0, step_num=10)
+    return ledger_ops.keyed_update(pl.scenario_ledger(inp, p), _keys_of_excluded_users(inp, p), ["camp_id", "publisher_cpc"], target_spend=0.0, step_num=10)
+
+
+def _keys_of_excluded_users(inp, p):
+    """Keys (campaign, price) that a policy of the campaign's user excludes; hot users are salted."""
+    camps = elig.salted_user_join(inp.campaigns.select("camp_id", "user_id"), facts.user_policy_flags(inp), inp, p)
+    arms = [F.when(F.col(f"user_exclude_{facts.price_tag(x)}"), F.lit(float(x))) for x in facts.PRICES]
+    return (camps.select("camp_id", F.explode_outer(F.array_compact(F.array(*arms))).alias("publisher_cpc"))
+            .filter(F.col("publisher_cpc").isNotNull()))
+
+
+@query("keyed_update_stored", KEYED_UPDATE)
+def _keyed_update_stored(inp, p):
+    """The same update on a stored ledger: only the buckets that hold a key are written again."""
+    spark = inp.campaigns.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    store_ledger(pl.scenario_ledger(inp, p), path, p.target_date, first=True)
+    update_stored(spark, path, p.target_date, _keys_of_excluded_users(inp, p), ["camp_id", "publisher_cpc"], target_spend=0.0, step_num=10)
+    return read_ledger(spark, path, p.target_date)
 
 
 @query("stage_row_counts", O.REPORT)
@@ -462,10 +483,34 @@ def _g_budgets(inp, p):
                     F.col("nn_run").cast("long").alias("uncapped_campaigns"))
 
 
-@query("agg_ledger_clicks", "SELECT camp_id, SUM(spend / CAST(price AS DOUBLE)) AS clicks FROM l0 GROUP BY camp_id")
+@query("agg_ledger_clicks", """SELECT camp_id,
+  CAST(SUM(CAST(ROUND(spend * 10000) AS BIGINT) * (11275 // CAST(ROUND(price * 100) AS BIGINT))) AS DOUBLE) / 1127500 AS clicks
+  FROM l0 GROUP BY camp_id""")
 def _g_ledger_clicks(inp, p):
-    return (pl.scenario_ledger(inp, p).groupBy("camp_id")
-            .agg(F.sum(F.col("target_spend") / F.col("publisher_cpc")).alias("clicks")))
+    return pl.scenario_ledger(inp, p).groupBy("camp_id").agg(
+        exact_clicks(F.col("target_spend"), F.col("publisher_cpc")).alias("clicks"))
+
+
+@query("agg_click_loads", """SELECT cc.camp_id, CAST(cc.rev AS DOUBLE) AS rev, cc.avg_cost AS avg_click_cost,
+  COALESCE(a.n_rows, 0) AS rows_011, COALESCE(a.clk, 0) AS clk_011, CAST(COALESCE(a.rev, 0) AS DOUBLE) AS rev_011,
+  COALESCE(b.n_rows, 0) AS rows_025, COALESCE(b.clk, 0) AS clk_025, CAST(COALESCE(b.rev, 0) AS DOUBLE) AS rev_025
+  FROM camp_clicks cc LEFT JOIN feed_clicks a ON a.camp_id = cc.camp_id AND a.price = 0.11
+  LEFT JOIN feed_clicks b ON b.camp_id = cc.camp_id AND b.price = 0.25""")
+def _g_loads(inp, p):
+    """Click rollups of three loads, stored as they arrive and added up. A click arrives in the load of its
+    id's hash, a link in that of its own: before its click, with it, or after it."""
+    spark = inp.campaigns.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/rollups-{uuid.uuid4().hex}"
+    clicks = inp.clicks_of(p).withColumn("at", F.pmod(F.xxhash64("record_id"), F.lit(3)))
+    links = facts.links_of(inp, inp.clicks_of(p), p).withColumn("at", F.pmod(F.xxhash64("click_id", "batch_id"), F.lit(3)))
+    for load in range(3):
+        sums = rollups.load_sums(clicks.filter(F.col("at") == load), links.filter(F.col("at") == load), inp.export_batches,
+                                 clicks.filter(F.col("at") < load), links.filter(F.col("at") < load))
+        rollups.store_load(sums, f"load-{load}", path)
+    merged = facts.click_facts(replace(inp, click_rollups=rollups.read_rollups(spark, path)), p)
+    return _known(merged, inp).select(
+        "camp_id", dbl(F.col("rev")).alias("rev"), ratio(F.col("paid_cost"), F.col("paid_n")).alias("avg_click_cost"),
+        *[c for t in ("011", "025") for c in (f"rows_{t}", f"clk_{t}", dbl(F.col(f"rev_{t}")).alias(f"rev_{t}"))])
 
 
 @query("agg_multi_key", """SELECT camp_id, feed, CAST(COUNT(*) AS BIGINT) AS rows,
@@ -539,8 +584,9 @@ def _u_excl_stored(inp, p, existing):
 
 @query("union_inclusions", "SELECT camp_id, CAST(price AS DOUBLE) AS publisher_cpc, CAST(include_spend AS DOUBLE) AS target_spend FROM included")
 def _u_incl(inp, p):
-    camps = (elig.eligible_campaign_rows(inp, p)
-             .join(facts.user_policy_flags(inp).withColumnRenamed("id", "user_id"), "user_id", "left")
+    users = elig.eligible_users(inp, p).join(facts.user_policy_flags(inp), "id", "left")
+    running = inp.campaigns.filter(elig.running_campaign(p)).select("camp_id", "user_id", "cost_per_click")
+    camps = (elig.salted_user_join(running, users, inp, p)
              .join(facts.campaign_policy_flags(inp).withColumnRenamed("id", "camp_id"), "camp_id", "left"))
     arms = []
     for price in facts.PRICES:

@@ -16,7 +16,8 @@ from adspend.schemas import INPUT_SCHEMAS, LEDGER, conform
 
 @dataclass(frozen=True)
 class AdInputs:
-    """The eight relations one allocation run reads."""
+    """The eight relations one allocation run reads. With ``click_rollups`` (``operators.rollups``) the
+    run adds up the day's loads of these and reads neither clicks nor links."""
 
     advertiser_vertical: DataFrame
     campaigns: DataFrame
@@ -26,6 +27,7 @@ class AdInputs:
     export_batches: DataFrame
     export_campaign_stats: DataFrame
     client_policy: DataFrame
+    click_rollups: DataFrame | None = None
 
     def clicks_of(self, params: AllocParams) -> DataFrame:
         """Click rows of the run date. On a date-partitioned table this prunes partitions."""
@@ -61,6 +63,8 @@ def write_parquet_inputs(inputs: AdInputs, base: str) -> None:
     """Store the inputs as ``<base>/<relation>`` Parquet datasets, those of ``DAY_COLUMNS`` by day."""
     for f in fields(inputs):
         frame = getattr(inputs, f.name)
+        if frame is None or f.name == "click_rollups":
+            continue  # rollups are stored load by load
         if f.name == "click_batches":
             _write_days(links_by_day(frame, inputs.ad_clicks), f"{base}/{f.name}", "click_date", "click_id", "overwrite")
         elif f.name == "export_campaign_stats":
