@@ -90,18 +90,21 @@ def _rows_read(spark, df, folder: str) -> int:
 
 
 def test_links_of_other_days_are_not_read(spark):
-    """Stored links are sorted by click id. The whole run, with broadcasts off and no bloom
-    filter (its creation side counts as too large), reads the row groups of the run date only."""
+    """Links from elsewhere, without a day, in files sorted by click id (stored ones have a day:
+    ``test_days.py``). The whole run, with broadcasts off and no bloom filter (its creation side
+    counts as too large), reads the row groups of the range of the run date's clicks only."""
     base = tempfile.mkdtemp(prefix="adspend-test-links-")
     inputs = fixture_inputs(spark, SF_SMALL, P)
     # years of history: ids below those of the run date, as ids are given in order of time
     history = spark.range(1, 400_000).select((-F.col("id")).alias("click_id"), (F.col("id") % 10).alias("batch_id"))
     links = inputs.click_batches.unionByName(history.select("click_id", "batch_id"))
-    write_parquet_inputs(replace(inputs, click_batches=links), base)
+    write_parquet_inputs(replace(inputs, click_batches=links.limit(0)), base)
+    elsewhere = f"{base}/elsewhere/click_batches"
+    links.repartitionByRange(8, "click_id").sortWithinPartitions("click_id").write.parquet(elsewhere)
     no_bloom = {"spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1",
                 "spark.sql.files.maxPartitionBytes": "1m"}
     with _conf(spark, LARGE | no_bloom):
-        df = pl.allocate(read_parquet_inputs(spark, base), P)
+        df = pl.allocate(replace(read_parquet_inputs(spark, base), click_batches=spark.read.parquet(elsewhere)), P)
         assert "might_contain" not in df._jdf.queryExecution().optimizedPlan().toString()
         read = _rows_read(spark, df, "/click_batches")
     mine = inputs.click_batches.count()
