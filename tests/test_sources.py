@@ -7,11 +7,12 @@ import tempfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adspend import schemas
 from adspend.params import DEFAULT_PARAMS as P
 from adspend.sources.fixtures import fixture_inputs
-from adspend.sources.tables import read_parquet_inputs, write_parquet_inputs
+from adspend.sources.tables import DAY_COLUMNS, read_parquet_inputs, write_parquet_inputs
 
 from support import SF_SMALL
 
@@ -23,7 +24,10 @@ def test_stored_inputs_round_trip_with_schemas(spark):
     stored = read_parquet_inputs(spark, base)
     for name, schema in schemas.INPUT_SCHEMAS.items():
         df = getattr(stored, name)
-        assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]
+        want = [(f.name, f.dataType) for f in schema.fields]
+        if name in DAY_COLUMNS and DAY_COLUMNS[name] not in schema.fieldNames():
+            want.append((DAY_COLUMNS[name], T.DateType()))  # links and exports get their day when they are stored
+        assert [(f.name, f.dataType) for f in df.schema.fields] == want
         assert df.count() == getattr(derived, name).count(), name
     # clicks are stored one folder per day
     days = sorted(d for d in os.listdir(f"{base}/ad_clicks") if d.startswith("date_date="))
