@@ -15,8 +15,14 @@ Loopy sum-product message passing gives the marginals; tokens that are likely of
 touch no base span become spans of that kind. So a number written once in full marks the
 same number written otherwise. Base spans always stay.
 
-The weights are learned by pseudo-likelihood from the base spans of at most ``sample``
-documents, chosen by hash among those with a digit or an ``@``.
+The weights are learned by pseudo-likelihood from about ``sample`` windows of text: as many for
+each kind as for the others, each around a base span of that kind, and as many from documents with
+a digit or an ``@`` but no base span. A rare kind, or one that occurs in long documents only, so has
+its share. Windows are chosen by hash and have at most ``WINDOW`` characters on each side of the
+span's start.
+
+Memory for a document grows with its tokens by some hundred bytes each: features are numbers in
+one array, and messages are worked out block by block.
 
 Results: a null text counts as empty and has no spans; every input row gives one row,
 repeated rows included; a null doc_id is carried through; other columns are not read.
@@ -26,8 +32,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +55,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ANY = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 EDGES = re.compile(r"^[^\w+(@]+|[^\w)@]+$")
+NO_DIGITS, DIGIT, LETTERS, NINES, WORDS = (re.compile(p) for p in (r"[^0-9]+", r"[0-9]", r"[^\W\d_]+", r"9{5,}", r"\w+"))
 SAMPLE = 4000
+WINDOW = 2000
+BLOCK = 1 << 16
 SPACE = 1 << 12
 ROUNDS = 30
 CERTAIN = 0.9
@@ -97,65 +108,72 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _shape(word: str) -> str:
-    shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]", "9", word))
-    return re.sub(r"9{5,}", lambda m: f"9x{min(len(m[0]), 20)}", shape)
+    shape = LETTERS.sub("a", DIGIT.sub("9", word))
+    return NINES.sub(lambda m: f"9x{min(len(m[0]), 20)}", shape)
+
+
+def _features(w: str, digits: str, shape: str, left: str, right: str, before: str, after: str) -> list[int]:
+    """The numbers of the features of a token between its neighbours' shapes and the text around it."""
+    out = ["bias", "shape " + shape, f"digits {min(len(digits), 24)}", "signs " + "".join(sorted(set(WORDS.sub("", w)))),
+           f"letters {any(c.isalpha() for c in w)}", f"at {'@' in w}", f"dots {min(w.count('.'), 5)}"]
+    if 14 <= len(digits) <= 19:
+        out.append(f"luhn {luhn(digits)}")
+    if w.count(".") == 3 and shape.replace(".", "").strip("9") == "":
+        out.append(f"byte parts {all(len(p) <= 3 and int(p or 999) <= 255 for p in w.split('.'))}")
+    word = (WORDS.findall(before) or ["-"])[-1]
+    out.append("before " + _shape(word.lower() if word.isalpha() and len(word) < 12 else "-"))
+    out += ["left " + left, "right " + right, f"ends {WORDS.search(after) is None}"]
+    return sorted({zlib.crc32(f.encode()) % SPACE for f in out})
 
 
 class Document:
-    """The tokens of a text that the field labels, with features and edges."""
+    """The tokens of a text that the field labels, with features and edges. The features of token i
+    are ``columns[first[i]:first[i + 1]]``."""
 
     def __init__(self, text: str, base: list[tuple[int, int, int]]):
-        tokens = list(TOKEN.finditer(text))
-        self.spans: list[tuple[int, int]] = []
-        names: list[str] = []
-        for m in tokens:
+        starts, ends, shapes, names = array("q"), array("q"), [], []
+        close = array("b")
+        last = 0
+        for m in TOKEN.finditer(text):
             core = EDGES.sub("", m[0])
             start = m.start() + (m[0].find(core) if core else 0)
-            self.spans.append((start, start + len(core)) if core else m.span())
-            names.append(text[slice(*self.spans[-1])])
-        n = len(tokens)
-        starts = np.array([a for a, _ in self.spans], np.int64)
-        ends = np.array([b for _, b in self.spans], np.int64)
+            name = core or m[0]
+            gap = text[last:last + 3] if m.start() - last > 2 else text[last:m.start()]
+            close.append(len(gap) <= 2 and not gap.strip(" "))
+            last = m.end()
+            starts.append(start)
+            ends.append(start + len(name))
+            names.append(name)
+            shapes.append(_shape(name))
+        n = len(names)
+        self.starts, self.ends = np.array(starts, np.int64), np.array(ends, np.int64)
         self.labels = np.zeros(n, np.int64)
         self.covered = np.zeros(n, bool)
         for a, kind, b in reversed(base):
             # the spans are sorted, so are the tokens: those that overlap are neighbours
-            lo, hi = np.searchsorted(ends, a, "right"), np.searchsorted(starts, b, "left")
+            lo, hi = np.searchsorted(self.ends, a, "right"), np.searchsorted(self.starts, b, "left")
             self.labels[lo:hi] = 1 + kind
             self.covered[lo:hi] = True
-        shapes = [_shape(w) for w in names]
-        gaps = [text[x.end():y.start()] for x, y in zip(tokens, tokens[1:])]
-        self.next = np.array([len(g) <= 2 and not g.strip(" ") for g in gaps], bool)
-        self.features = [self._features(text, names, shapes, i) for i in range(n)]
+        #: whether a token has the next one beside it
+        self.next = np.array(close, bool)[1:]
+        columns, first = array("i"), array("q", [0])
         seen: dict[tuple, int] = {}
         ties = set()
         for i, w in enumerate(names):
-            digits = re.sub(r"[^0-9]", "", w)
-            keys = [("same", w.lower())] * (len(w) >= 5) + [("digits", digits)] * (len(digits) >= 6)
-            keys += [("name", w.split("@")[0].lower())] * (len(w.split("@")[0]) >= 5)
+            digits = NO_DIGITS.sub("", w)
+            left = shapes[i - 1] if i and self.next[i - 1] else "-"
+            right = shapes[i + 1] if i + 1 < n and self.next[i] else "-"
+            columns.extend(_features(w, digits, shapes[i], left, right, text[max(0, starts[i] - 24):starts[i]], text[ends[i]:ends[i] + 24]))
+            first.append(len(columns))
+            name = w.split("@")[0].lower()
+            keys = [("same", w.lower())] * (len(w) >= 5) + [("digits", digits)] * (len(digits) >= 6) + [("name", name)] * (len(name) >= 5)
             for key in keys:
                 if key in seen:
                     ties.add((seen[key], i))
                 seen[key] = i
+        self.columns, self.first = np.array(columns, np.int64), np.array(first, np.int64)
         self.ties = sorted(ties)
 
-    def _features(self, text: str, names: list[str], shapes: list[str], i: int) -> np.ndarray:
-        w, shape = names[i], shapes[i]
-        digits = re.sub(r"[^0-9]", "", w)
-        a, b = self.spans[i]
-        out = ["bias", "shape " + shape, f"digits {min(len(digits), 24)}", "signs " + "".join(sorted(set(re.sub(r"[\w]", "", w)))),
-               f"letters {any(c.isalpha() for c in w)}", f"at {'@' in w}", f"dots {min(w.count('.'), 5)}"]
-        if 14 <= len(digits) <= 19:
-            out.append(f"luhn {luhn(digits)}")
-        if w.count(".") == 3 and shape.replace(".", "").strip("9") == "":
-            out.append(f"byte parts {all(len(p) <= 3 and int(p or 999) <= 255 for p in w.split('.'))}")
-        before = re.search(r"(\w+)\W*$", text[max(0, a - 24):a])
-        after = re.match(r"\W*(\w+)", text[b:b + 24])
-        out.append("before " + _shape(before[1].lower() if before and before[1].isalpha() and len(before[1]) < 12 else "-"))
-        out += [f"left {shapes[i - 1]}" if i and self.next[i - 1] else "left -", f"right {shapes[i + 1]}" if i + 1 < len(names) and self.next[i] else "right -"]
-        out.append(f"ends {after is None}")
-        return np.unique(np.array([zlib.crc32(f.encode()) % SPACE for f in out], np.int64))
-
     def edges(self) -> tuple[np.ndarray, np.ndarray]:
         """Chain edges and skip edges as pairs of token numbers."""
         chain = np.flatnonzero(self.next)
@@ -172,8 +190,8 @@ def fit(documents: list[Document], steps: int = 150, rate: float = 0.5, decay: f
         unary[:, NONE] = 1
         return unary, chain, skip
     y = np.concatenate([d.labels for d in documents])
-    rows = np.repeat(np.arange(n), [len(f) for d in documents for f in d.features])
-    columns = np.concatenate([f for d in documents for f in d.features])
+    rows = np.repeat(np.arange(n), np.concatenate([np.diff(d.first) for d in documents]))
+    columns = np.concatenate([d.columns for d in documents])
     pairs = [d.edges() for d in documents]
     links = np.concatenate([c + b for (c, _), b in zip(pairs, base)])
     ties = np.concatenate([t + b for (_, t), b in zip(pairs, base)])
@@ -205,31 +223,46 @@ def marginals(document: Document, unary: np.ndarray, chain: np.ndarray, skip: np
     """Label probabilities by loopy sum-product with damped parallel messages; tokens inside
     base spans are clamped to their kind."""
     n = len(document.labels)
-    local = np.stack([unary[f].sum(0) for f in document.features])
-    clamp = np.full((n, LABELS), -50.0)
-    clamp[np.arange(n), document.labels] = 0
-    local = np.where(document.covered[:, None], clamp, local)
+    first = document.first
+    local = np.empty((n, LABELS))
+    for a in range(0, n, BLOCK):
+        b = min(a + BLOCK, n)
+        local[a:b] = np.add.reduceat(unary[document.columns[first[a]:first[b]]], first[a:b] - first[a])
+    clamped = np.flatnonzero(document.covered)
+    local[clamped] = -50.0
+    local[clamped, document.labels[clamped]] = 0
     links, ties = document.edges()
     alike = np.zeros((LABELS, LABELS)) + np.diag(skip)
-    source = np.concatenate([links[:, 0], links[:, 1], ties[:, 0], ties[:, 1]])
-    target = np.concatenate([links[:, 1], links[:, 0], ties[:, 1], ties[:, 0]])
-    m, k = len(links), len(ties)
-    kernel = np.concatenate([np.broadcast_to(x, (c, LABELS, LABELS)) for x, c in ((chain, m), (chain.T, m), (alike, k), (alike, k))])
-    back = np.concatenate([np.arange(m, 2 * m), np.arange(m), np.arange(2 * m + k, 2 * m + 2 * k), np.arange(2 * m, 2 * m + k)])
-    messages = np.zeros((len(source), LABELS))
-    for _ in range(rounds if len(source) else 0):
-        belief = local.copy()
-        np.add.at(belief, target, messages)
-        inward = (belief[source] - messages[back])[:, :, None] + kernel
-        top = inward.max(1, keepdims=True)
-        new = np.log(np.exp(inward - top).sum(1)) + top[:, 0]
-        new -= new.max(1, keepdims=True)
-        change = np.abs(new - messages).max()
-        messages = 0.5 * messages + 0.5 * new
+    # each way of each edge: its ends, its potential, and the way back
+    ways = [(links[:, 0], links[:, 1], chain, 1), (links[:, 1], links[:, 0], chain.T, 0),
+            (ties[:, 0], ties[:, 1], alike, 3), (ties[:, 1], ties[:, 0], alike, 2)]
+    ways = [(source, target, np.exp(kernel - kernel.max()), back) for source, target, kernel, back in ways]
+    messages = [np.zeros((len(source), LABELS)) for source, *_ in ways]
+
+    def beliefs() -> np.ndarray:
+        out = local.copy()
+        for (_, target, _, _), sent in zip(ways, messages):
+            np.add.at(out, target, sent)
+        return out
+
+    for _ in range(rounds if len(links) + len(ties) else 0):
+        belief = beliefs()
+        change, sent = 0.0, []
+        for (source, _, kernel, back), old in zip(ways, messages):
+            new = np.empty_like(old)
+            for a in range(0, len(old), BLOCK):
+                part = slice(a, a + BLOCK)
+                inward = belief[source[part]] - messages[back][part]
+                inward -= inward.max(1, keepdims=True)
+                outward = np.log(np.exp(inward) @ kernel)
+                outward -= outward.max(1, keepdims=True)
+                change = max(change, np.abs(outward - old[part]).max())
+                new[part] = 0.5 * old[part] + 0.5 * outward
+            sent.append(new)
+        messages = sent
         if change < 1e-3:
             break
-    belief = local.copy()
-    np.add.at(belief, target, messages)
+    belief = beliefs()
     p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
@@ -242,7 +275,7 @@ def added_spans(document: Document, weights: tuple[np.ndarray, np.ndarray, np.nd
     label = np.where((p.max(1) >= certain) & ~document.covered, p.argmax(1), NONE)
     out: list[tuple[int, int, int]] = []
     for i in np.flatnonzero(label):
-        a, b = document.spans[i]
+        a, b = int(document.starts[i]), int(document.ends[i])
         if out and i and label[i - 1] == label[i] and document.next[i - 1] and out[-1][1] == label[i] - 1:
             out[-1] = (out[-1][0], out[-1][1], b)
         else:
@@ -250,34 +283,73 @@ def added_spans(document: Document, weights: tuple[np.ndarray, np.ndarray, np.nd
     return out
 
 
+def window(text: str, a: int, b: int, width: int = WINDOW) -> tuple[int, int]:
+    """The range of ``text`` with at most ``width`` characters before ``a`` and after it, cut at spaces
+    between it and the span from ``a`` to ``b`` where there are some."""
+    lo, hi = max(0, a - width), min(len(text), a + width)
+    if lo:
+        lo = max(lo, text.find(" ", lo, a))
+    if hi < len(text):
+        hi = max(text.rfind(" ", b, hi), min(b, hi))
+    return lo, hi
+
+
+def windows(text: str, base: list[tuple[int, int, int]], draw: int, wanted: set[int]) -> Iterator[tuple[int, int, int]]:
+    """``kind, start, end`` of one window for each wanted kind of base span, or, in a text without such spans, one of
+    no kind (``len(KINDS)``) around a digit or an ``@``. ``draw`` says which of the spans of a kind it is."""
+    for kind in sorted(wanted):
+        mine = [(a, b) for a, k, b in base if k == kind]
+        if mine:
+            yield kind, *window(text, *mine[draw % len(mine)])
+    if not base and len(KINDS) in wanted:
+        n = sum(1 for _ in ANY.finditer(text))
+        if n:
+            yield len(KINDS), *window(text, *next(islice(ANY.finditer(text), draw % n, None)).span())
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights from the base spans of at most about ``sample`` documents of a bounded length.
+    """Weights from about ``sample`` windows, an equal share for each kind of base span and for none.
 
-    Longer documents are left out of the sample (not of the search), which bounds it in bytes.
+    The documents of each kind are counted first; those of a kind whose hash is below the share of
+    that kind give a window. Both steps read all documents. Repeated texts give one window.
     """
-    some = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]")).where(F.length("text") <= 20_000)
-    total = some.count()
-    million = 1 << 20
-    chosen = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < -(-sample * million // max(total, sample)))
+    share = -(-sample // LABELS)
+    some = docs.select("text").where(F.col("text").rlike("[0-9@]")).withColumn("draw", F.xxhash64("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"labels": [], "sizes": [], "features": [], "next": [], "ties": []}
+            seen: Counter = Counter()
             for text in batch.column("text").to_pylist():
-                d = Document(text, base_spans(text))
-                out["labels"].append(d.labels.tolist())
-                out["sizes"].append([len(f) for f in d.features])
-                out["features"].append([int(x) for f in d.features for x in f])
-                out["next"].append([int(x) for x in d.next])
-                out["ties"].append([int(x) for pair in d.ties for x in pair])
-            yield pa.record_batch([pa.array(v, pa.list_(pa.int32())) for v in out.values()], names=list(out))
-
-    rows = chosen.mapInArrow(run, ", ".join(f"{c} array<int>" for c in ("labels", "sizes", "features", "next", "ties")))
+                seen.update({k for _, k, _ in base_spans(text)} or {len(KINDS)})
+            yield pa.record_batch([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["kind", "n"])
+
+    totals = some.select("text").mapInArrow(count, "kind int, n long").groupBy("kind").agg(F.sum("n").alias("n"))
+    # of all hashes, those below this one
+    below = {r.kind: share * (1 << 64) // max(r.n, share) - (1 << 63) for r in totals.collect()}
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {"kind": [], "draw": [], "labels": [], "first": [], "columns": [], "next": [], "ties": []}
+            for text, code in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist()):
+                base = base_spans(text)
+                for kind, a, b in windows(text, base, code, {k for k, t in below.items() if code < t}):
+                    d = Document(text[a:b], [(max(x, a) - a, k, min(y, b) - a) for x, k, y in base if x < b and y > a])
+                    out["kind"].append(kind)
+                    out["draw"].append(code)
+                    for name in ("labels", "first", "columns", "next"):
+                        out[name].append(getattr(d, name).tolist())
+                    out["ties"].append([x for pair in d.ties for x in pair])
+            types = {"kind": pa.int32(), "draw": pa.int64(), "next": pa.list_(pa.bool_())}
+            yield pa.record_batch([pa.array(v, types.get(c, pa.list_(pa.int32()))) for c, v in out.items()], names=list(out))
+
+    most = max(below.values(), default=0)
+    lists = ", ".join(f"{c} array<int>" for c in ("labels", "first", "columns"))
+    drawn = some.where(F.col("draw") < most) if most < 1 << 63 else some
+    drawn = drawn.mapInArrow(draw, f"kind int, draw long, {lists}, next array<boolean>, ties array<int>").dropDuplicates(["kind", "draw"])
     known = []
-    for r in rows.orderBy(F.xxhash64("labels", "features")).limit(2 * sample).collect():
+    for r in drawn.orderBy("draw", "kind").limit(2 * sample).collect():
         d = Document("", [])
-        d.labels = np.array(r.labels, np.int64)
-        d.features = np.split(np.array(r.features, np.int64), np.cumsum(r.sizes)[:-1]) if r.sizes else []
+        d.labels, d.first, d.columns = (np.array(x, np.int64) for x in (r.labels, r.first, r.columns))
         d.next, d.ties = np.array(r.next, bool), np.array(r.ties, np.int64).reshape(-1, 2).tolist()
         known.append(d)
     return fit(known)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import duckdb
 import pytest
 from plain import HARD_ROWS, PASSAGE, hard_documents, line_dedup
@@ -58,12 +60,26 @@ def test_quality_rejects_junk_and_keeps_prose(spark):
 def test_line_dedup_on_hard_rows(spark, hard, empty):
     got = op04_lines.dedup_lines(hard, "counts_of_lines")
     assert got.columns == [*hard.columns, "counts_of_lines"]
-    rows = sorted(((r[0], r[1]) for r in HARD_ROWS), key=lambda r: (r[0] is None, r[0] or 0))
+    rows = sorted(((r[0], r[1]) for r in HARD_ROWS), key=lambda r: (r[0] is None, r[0] or 0, md5((r[1] or "").encode()).digest()))
     want = sorted(zip((i for i, _ in rows), line_dedup(rows)), key=str)
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
     assert op04_lines.dedup_lines(empty, "counts_of_lines").count() == 0
 
 
+def test_line_dedup_takes_repeats_in_the_order_of_its_sql(spark, hard):
+    compare(op04_lines.dedup_lines(hard, "counts").select("doc_id", "counts.*", F.md5("text").alias("clean_md5")), op04_lines.ORACLE, {"documents": hard.toArrow()})
+    rows = [(1, PASSAGE), (1, PASSAGE), *((2, f"{PASSAGE}\n{k}") for k in range(6)), (None, PASSAGE), (None, f"{PASSAGE}\n{PASSAGE}"), (3, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = op04_lines.dedup_lines(df).select("doc_id", "lines.*", F.md5("text").alias("clean_md5"))
+    assert [r.n_removed for r in got.where("doc_id = 1").collect()] == [0, 0]
+    compare(got, op04_lines.ORACLE, {"documents": df.toArrow()})
+    apart = [(7, f"{PASSAGE}\n{k}") for k in range(6)]
+    df = spark.createDataFrame(apart, "doc_id long, text string")
+    got = op04_lines.dedup_lines(df).select("doc_id", "lines.*", F.md5("text").alias("clean_md5"))
+    assert sum(r.n_removed == 0 for r in got.collect()) == 1
+    compare(got, op04_lines.ORACLE, {"documents": df.toArrow()})
+
+
 def test_line_dedup_merges_overlapping_windows(spark):
     block = "\n".join(f"line number {k}" for k in range(6))
     df = spark.createDataFrame([(1, f"a\n{block}\nb"), (2, f"c\n{block}\nd"), (3, f"{PASSAGE}\nx\ny")], "doc_id long, text string")

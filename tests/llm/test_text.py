@@ -143,6 +143,97 @@ def test_pii_on_hard_rows(hard, empty):
     assert op06_pii.personal_data(empty).count() == 0
 
 
+def test_pii_spans_on_hard_rows(hard):
+    first, again = (sorted(((r.doc_id, r.base, r.spans) for r in op06_pii.personal_data(hard).collect()), key=str) for _ in range(2))
+    assert first == again and len(first) == len(HARD_ROWS)
+    assert all(set(base.split(",")) <= set(spans.split(",")) | {""} for _, base, spans in first)
+    assert {(base, spans) for i, base, spans in first if not any(r[1] and op06_pii.ANY.search(r[1]) for r in HARD_ROWS if r[0] == i)} <= {("", "")}
+
+
+def field(n, links, ties, covered, rng):
+    """A document of n tokens with two features each, and random weights."""
+    d = op06_pii.Document("", [])
+    d.columns, d.first = rng.integers(0, 40, 2 * n), np.arange(0, 2 * n + 1, 2)
+    d.next, d.ties = np.isin(np.arange(n - 1), links), ties
+    d.covered = np.isin(np.arange(n), covered)
+    d.labels = np.where(d.covered, 2, 0)
+    return d, (rng.normal(size=(op06_pii.SPACE, op06_pii.LABELS)), rng.normal(size=(op06_pii.LABELS, op06_pii.LABELS)) * 0.5, rng.random(op06_pii.LABELS))
+
+
+def exact_marginals(d, unary, chain, skip):
+    """By the sum over all labellings."""
+    import itertools
+
+    n = len(d.labels)
+    out = np.zeros((n, op06_pii.LABELS))
+    for y in itertools.product(range(op06_pii.LABELS), repeat=n):
+        if any(c and a != b for a, b, c in zip(y, d.labels, d.covered)):
+            continue
+        energy = sum(unary[d.columns[d.first[i]:d.first[i + 1]], y[i]].sum() for i in range(n) if not d.covered[i])
+        energy += sum(chain[y[i], y[i + 1]] for i in np.flatnonzero(d.next))
+        energy += sum(skip[y[a]] for a, b in d.ties if y[a] == y[b])
+        out[np.arange(n), y] += np.exp(energy)
+    return out / out.sum(1, keepdims=True)
+
+
+@pytest.mark.parametrize("links, ties, covered, near", [
+    ([0, 1, 2], [], [], 2e-3), ([0, 2], [(1, 3)], [], 2e-3), ([0, 1, 2], [], [1], 2e-3), ([], [(0, 3), (1, 3)], [0], 2e-3), ([], [], [], 1e-9),
+    ([0, 1, 2], [(0, 3)], [], 0.08), ([0, 1, 2], [(0, 2), (1, 3)], [2], 0.08)])
+def test_marginals_equal_the_sum_over_all_labellings(links, ties, covered, near):
+    rng = np.random.default_rng(7)
+    for _ in range(5):
+        d, weights = field(4, links, ties, covered, rng)
+        assert np.abs(op06_pii.marginals(d, *weights) - exact_marginals(d, *weights)).max() < near
+
+
+def test_marginals_do_not_depend_on_blocks(monkeypatch):
+    text = " ".join(documents_with_numbers()[:40])
+    d = op06_pii.Document(text, op06_pii.base_spans(text)[::3])
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=(op06_pii.SPACE, 5)), rng.normal(size=(5, 5)), rng.random(5)
+    whole = op06_pii.marginals(d, *weights)
+    monkeypatch.setattr(op06_pii, "BLOCK", 7)
+    assert np.allclose(op06_pii.marginals(d, *weights), whole)
+
+
+def test_pii_of_a_long_number_table():
+    import time
+    import tracemalloc
+
+    text = "\n".join(" ".join(str((k * 7919 + c * 104729) % 1_000_003) for c in range(8)) for k in range(8_000)) + " +1 555 123 4567"
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=(op06_pii.SPACE, 5)) * 0.1, rng.normal(size=(5, 5)), rng.random(5)
+    start = time.process_time()
+    tracemalloc.start()
+    d = op06_pii.Document(text, op06_pii.base_spans(text))
+    op06_pii.added_spans(d, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print("tokens", len(d.labels), "chars", len(text), "peak MB", peak / 1e6, "s", time.process_time() - start)
+    assert peak < 1200 * len(d.labels)
+
+
+def test_windows_lie_around_their_spans():
+    text = "x " * 5000 + "mail a@b.example here " + "y " * 5000 + "10.0.0.7 " + "z" * 9000
+    base = op06_pii.base_spans(text)
+    found = {k: text[a:b] for k, a, b in op06_pii.windows(text, base, 12345, {0, 1, 4})}
+    assert set(found) == {0, 1}
+    assert "a@b.example" in found[0] and "10.0.0.7" in found[1] and all(len(t) <= 2 * op06_pii.WINDOW for t in found.values())
+    plain = "q " * 4000 + "77 " + "r" * 9000
+    [(kind, a, b)] = op06_pii.windows(plain, [], -3, {0, 4})
+    assert kind == 4 and "7" in plain[a:b]
+    assert op06_pii.window("1" * 9000, 100, 8000) == (0, 100 + op06_pii.WINDOW)
+
+
+def test_rare_kind_in_long_texts_is_learned(spark):
+    rows = [(k, f"released {1900 + k % 100} as version {k % 9}.1") for k in range(3000)]
+    rows += [(5000 + k, "word " * 6000 + t) for k, t in enumerate(documents_with_numbers()[:60])]
+    rows.append((9999, "reach me at (555) 123-4567 today"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in op06_pii.personal_data(df, sample=250).collect()}
+    assert spans[9999] == "phone:12:26" and not any(spans[k] for k in range(3000))
+
+
 def documents_with_numbers():
     rng = np.random.default_rng(0)
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
