@@ -52,8 +52,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     best = texts.groupBy(group).agg(F.min_by(same, "text").alias(same))
     stays = stays.join(written(tied.join(best, [group, same], "left_anti"), "later"), same, "left_anti")
     kept = known.join(stays, F.col(key) == F.col(same), "left_semi")
-    place = unused(kept, "place")
-    kept = kept.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(f"{place} = 1")
+    # repeated rows stay once; the second hash keeps apart documents that meet in the first
+    place, second = unused(kept, "place"), F.xxhash64(F.lit(1), docs["text"], docs["doc_id"])
+    kept = kept.withColumn(place, F.row_number().over(Window.partitionBy(key, second).orderBy(key))).where(f"{place} = 1")
     return kept.drop(key, place).unionByName(docs.where(docs["doc_id"].isNull()))
 
 
