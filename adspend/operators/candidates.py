@@ -89,7 +89,7 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
     over many tasks. Then come the click rollup, the export set and the campaign
     policies, keyed by ``camp_id``. The click rollup is joined after its aggregation: raw clicks are
     never shuffled by ``camp_id``, so a campaign with a third of all clicks is
-    pre-aggregated map-side. ``eligible`` optionally narrows the campaigns further.
+    pre-aggregated map-side. Clicks of campaigns that do not run are left out in the scan. ``eligible`` optionally narrows the campaigns further.
     """
     rows = inputs.campaigns.filter(elig.running_campaign(params)).select(
         "camp_id", "user_id", "camp_name", "system_daily_budget", "cost_today", "cost_per_click")
@@ -98,7 +98,7 @@ def campaign_frame(inputs: AdInputs, params: AllocParams,
     exported = exported_today(inputs, params)
     exported_ids = exported.select(F.col("camp_id").alias("exported_id"))
     frame = (elig.salted_user_join(rows, user_frame(inputs, params), inputs, params)
-             .join(click_facts(inputs, params), "camp_id", "left")
+             .join(click_facts(inputs, params, rows), "camp_id", "left")
              .join(exported_ids, F.col("camp_id").eqNullSafe(F.col("exported_id")), "left")
              .join(campaign_policy_flags(inputs).withColumnRenamed("id", "camp_id"), "camp_id", "left"))
     flag_cols = [c for c in frame.columns

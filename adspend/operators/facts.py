@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from adspend.functions.spend import (
     dec, feed_price, from_units, if_, is_billable, is_main_billable, money_units, ratio, run_date,
 )
+from adspend.operators.campaign_filter import may_be_of
 from adspend.operators.eligibility import running_campaign
 from adspend.params import (
     MAIN_PUBLISHER, POLICY_EXCLUDE, POLICY_INCLUDE, POLICY_PREMIUM_BOOST, POLICY_PREMIUM_FEED,
@@ -77,13 +78,15 @@ def campaign_click_totals(clicks: DataFrame) -> DataFrame:
               F.sum(if_(is_billable(), 1, 0))).alias("avg_click_cost"))
 
 
-def click_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
+def click_facts(inputs: AdInputs, params: AllocParams, campaigns: DataFrame | None = None) -> DataFrame:
     """One row per campaign with clicks on the run date.
 
     Columns: ``click_rows``, ``rev`` (main-publisher billable revenue),
     ``paid_cost`` / ``paid_n`` (billable cost and count over all publishers) and,
     per feed price ``p``, ``rows_p`` (joined click x batch rows), ``clk_p`` and ``rev_p``.
     Restrict the campaigns after this aggregation: raw clicks are never shuffled by campaign.
+    ``campaigns`` narrows the clicks before they meet their links, to those that may be of these
+    campaigns (``campaign_filter``); rows of other campaigns may be left.
     With ``inputs.click_rollups`` the sums of the stored loads are added up and no click is read.
     """
     if inputs.click_rollups is not None:
@@ -91,7 +94,8 @@ def click_facts(inputs: AdInputs, params: AllocParams) -> DataFrame:
         return _with_money(loads.groupBy("camp_id").agg(*[F.sum(c).alias(c) for c in CLICK_SUMS]))
     clicks = inputs.clicks_of(params).select(
         "record_id", "camp_id", "partner_source", "reason_code", "click_cost")
-    joined = clicks.join(batch_feed_counts(inputs, clicks, params), F.col("record_id") == F.col("click_id"), "left")
+    some = clicks if campaigns is None else may_be_of(clicks, campaigns, params.campaign_filter_bits)
+    joined = some.join(batch_feed_counts(inputs, clicks, params), F.col("record_id") == F.col("click_id"), "left")
     return _with_money(click_sums(joined, ["camp_id"], F.lit(1)))
 
 

@@ -95,6 +95,8 @@ class AllocParams:
     # ``account_salt_buckets`` join partitions (operators.eligibility.salted_user_join).
     hot_account_campaigns: int = 100_000
     account_salt_buckets: int = 64
+    # Bits of the filter of running campaigns, as a power of two: 23 is 1 MB (operators.campaign_filter).
+    campaign_filter_bits: int = 23
 
     @property
     def target_date(self) -> _dt.date:
