@@ -9,9 +9,10 @@ as all sources have blocks. The weights fill the time exactly, hence the schedul
 every L slots: one period is worked out, and each block's slot follows from its number.
 Sources that end earlier leave their slots empty; no document is dropped or repeated.
 
-Documents of a source are ordered by the md5 of their id. A document's place in its source's
+Documents of a source are ordered by the md5 of id and text. A document's place in its source's
 stream is the total of the hash buckets before its own and the running sum inside its
-bucket, so a source with a third of all rows is spread over all its buckets. The totals and
+bucket, so a source with a third of all rows, or different texts without an id or with one id, are
+spread over all its buckets. The totals and
 the plan of a source enter each bucket as a head row, and the texts are shuffled once.
 
 Target weights: ``weights`` maps source names to whole numbers; sources not named get
@@ -87,7 +88,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, other: int = 1,
     it starts in. The mixed order is the order of ``slot``, then ``start``.
     """
     whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
-    key = F.md5(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary"))
+    key = F.md5(F.concat_ws("\n", docs["doc_id"].cast("string"), docs["text"]).cast("binary"))
     chars = F.coalesce(F.length(docs["text"]), F.lit(0)).cast("long")
     rows = docs.select(docs["source"].alias("source"), F.substring(key, 1, bucket_digits).alias("bucket"),
                        chars.alias("chars"), key.alias("key"), whole.alias("row"))
@@ -128,10 +129,10 @@ def oracle(units: int = UNITS, block_chars: int = BLOCK_CHARS) -> str:
     and the schedule by a recursive query over the slots."""
     return f"""
 with recursive texts as (
-  select doc_id, source, coalesce(text, '') as t, cast(coalesce(length(text), 0) as bigint) as chars from documents),
+  select doc_id, source, text, coalesce(text, '') as t, cast(coalesce(length(text), 0) as bigint) as chars from documents),
 placed as (
   select doc_id, source, coalesce(sum(chars) over (
-    partition by source order by md5(coalesce(cast(doc_id as varchar), '')), doc_id, t
+    partition by source order by md5(concat_ws(chr(10), cast(doc_id as varchar), text)), doc_id, t
     rows between unbounded preceding and 1 preceding), 0) as start from texts),
 roots as (select source, cast(floor(sqrt(sum(chars))) as bigint) as root from texts group by source),
 weighted as (
