@@ -10,8 +10,9 @@ in the chunk in which it begins before the closing overlap, thus once for each o
 A phrase has no more occurrences than any part of it, so pairs are counted only where both words,
 and longer phrases only where all pairs may be frequent. That is read from a bitmap of hashes of
 ``FILTER_BITS`` bits, whatever the size of the input; a bit set by another phrase lets too much
-through to the exact counts, never too little. For words alone hashes are counted first, short rows
-that need no strings.
+through to the exact counts, never too little. Of words and then of pairs hashes are counted first,
+short rows that need no strings: most pairs of frequent words are rare, and their strings are never
+shuffled. One pass counts the phrases of all sizes that are left.
 
 Results: as in the contract of ``collocations``. A null text counts as empty, a null lang as
 ``und``; rows need no id, and repeated rows count as often as they occur; other columns of the
@@ -203,9 +204,10 @@ class Dictionary:
         bit = (self.code(n) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
         return (self.left >= n) & (np.frombuffer(bitmap, np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
-    def hashed(self) -> pa.Table:
-        """The hashes of the words of this chunk."""
-        (code,), times = summed([self.code(1)[self.own].view(np.int64)], self.times[self.own])
+    def hashed(self, n: int, on: np.ndarray) -> pa.Table:
+        """The hashes of the phrases of n words that begin in this chunk where ``on`` is set."""
+        at = on & self.own & (self.left >= n)
+        (code,), times = summed([self.code(n)[at].view(np.int64)], self.times[at])
         return pa.table({"code": code, "times": times})
 
     def exact(self, n: int, on: np.ndarray) -> pa.Table:
@@ -245,41 +247,32 @@ def bitmap_of(codes: DataFrame):
     return codes.sparkSession.sparkContext.broadcast(bytes(bitmap))
 
 
-def codes_of_pairs(pairs: DataFrame) -> DataFrame:
-    """``code``: the hashes of ``lang, phrase`` with phrases of two words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                words = zip(*(p.split(" ") for p in batch.column("phrase").to_pylist()))
-                code = mixed(chained([hashes(batch.column("lang")), *(hashes(pa.array(w)) for w in words)]))
-                yield pa.record_batch([pa.array(code.view(np.int64))], names=["code"])
-
-    return pairs.select("lang", "phrase").mapInArrow(run, "code long")
-
-
 def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, n`` of all phrases of one to five words that occur ``least`` times or more,
     and ``lang, total``: all words of each language."""
     dictionary = written(parse(docs), "chunks")
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("times") * F.col("own")).alias("total"))
     enough = F.col("n") >= least
-    words = bitmap_of(counted(dictionary, lambda d: [d.hashed()], "code long").where(enough))
 
-    def short(d: Dictionary) -> Iterator[pa.Table]:
-        may = d.passes(1, words.value)
-        return (d.exact(n, chains(may, n)) for n in (1, 2))
+    def single(d: Dictionary) -> Iterator[pa.Table]:
+        yield d.hashed(1, d.own)
+
+    words = bitmap_of(counted(dictionary, single, "code long").where(enough))
+
+    def double(d: Dictionary) -> Iterator[pa.Table]:
+        yield d.hashed(2, chains(d.passes(1, words.value), 2))
 
-    size = F.size(F.split("phrase", " "))
-    few = written(counted(dictionary, short, "lang string, phrase string").where(enough).withColumn("size", size), "short")
-    pairs = bitmap_of(codes_of_pairs(few.where("size = 2")))
+    pairs = bitmap_of(counted(dictionary, double, "code long").where(enough))
 
-    def longer(d: Dictionary) -> Iterator[pa.Table]:
+    def exact(d: Dictionary) -> Iterator[pa.Table]:
+        yield d.exact(1, d.passes(1, words.value))
         may = d.passes(2, pairs.value)
-        return (d.exact(n, chains(may, n - 1)) for n in (3, 4, 5))
+        for n in (2, 3, 4, 5):
+            yield d.exact(n, chains(may, n - 1))
 
-    more = counted(dictionary, longer, "lang string, phrase string").where(enough).withColumn("size", size)
-    return written(few.unionByName(more), "frequent"), written(totals, "totals")
+    found = counted(dictionary, exact, "lang string, phrase string").where(enough)
+    known = found.withColumn("size", F.size(F.split("phrase", " ")))
+    return written(known, "frequent"), written(totals, "totals")
 
 
 def part(words: Column, start: Column, size: Column) -> Column:

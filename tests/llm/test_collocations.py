@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -98,3 +99,17 @@ def once(texts):
                     phrase = " ".join(piece[k:k + n])
                     found[phrase] = found.get(phrase, 0) + 1
     assert found == plain
+
+
+def test_pairs_are_counted_by_hashes_before_their_strings():
+    texts = ["a b a b c. a b", "c a b"]
+    table = pa.table({"lang": ["en", "en"], "chunk": [op12.chunks_of(pa.array([t]))[0][0].as_py() for t in texts],
+                      "last": [True, True], "times": [1, 3]})
+    part = op12.Dictionary(table)
+    every = np.ones(len(part.codes), bool)
+    for n, most in ((1, 6), (2, 6)):
+        codes, strings = part.hashed(n, every), part.exact(n, every)
+        assert codes.column_names == ["code", "times"]
+        assert sorted(codes.column("times").to_pylist()) == sorted(strings.column("times").to_pylist())
+        assert max(codes.column("times").to_pylist()) == most
+    assert part.hashed(2, ~every).num_rows == 0
