@@ -27,6 +27,7 @@ ITSELF, JOIN = float(np.log(len(LOOKALIKES))), 2.0
 INDEX = {c: i for i, c in enumerate(LETTERS)}
 A = len(LETTERS)
 PLAIN = re.compile(f"[{LETTERS[1:]}]+")
+COMMON = re.compile(f"([{LETTERS[1:]}]+)[.,;:?]*")
 DOUBLE = re.compile(r"(.)\1")
 SIGNS = re.escape("".join(c for c in LOOKALIKES if not c.isdigit()))
 # Signs at the ends of a word are punctuation, but for one or two that may be letters.
@@ -69,11 +70,13 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.cost = model
+        self.flat = memoryview(np.ascontiguousarray(model).reshape(-1))  # gives numbers without arrays around them
 
     def words(self, token: str) -> list[str]:
         """The words behind one lower-case token (none if it is no word)."""
-        if PLAIN.fullmatch(token) and not DOUBLE.search(token):
-            return [token]
+        if common := COMMON.fullmatch(token):  # nearly all words
+            core = common[1]
+            return self.decode(core) if DOUBLE.search(core) else [core]
         core = ENDS.sub("", token)
         if not any(c in INDEX for c in core):
             return self.signs(core)
@@ -99,46 +102,66 @@ class Restorer:
         """The least cost under ``limit``, its words (none if there are no such), and whether states
         beyond ``beam_size`` were left. No cost is negative, so that states which cannot end under the
         limit go without a change of the result: a beam's cost is a limit for the exact search."""
-        start = (0, 0, 0)
+        flat, last, two = self.flat, A, A * A
+        h, before, start, n = 0, "", 0.0, 0
+        if limit == np.inf and not spaced:  # one way only, up to a sign that is no letter or comes again
+            for c in text:
+                i = INDEX.get(c, -1)
+                if i < 0 or c == before:
+                    break
+                start += flat[h * last + i]
+                h, before, n = h % two * last + i, c, n + 1
+        first, text = text[:n], text[n:]
         least = [0.0 if c in INDEX else min(AS_LETTER, LEFT_OUT) if c in LOOKALIKES else SIGN for c in text]
         rest, cut = sum(least), False
-        # history -> (cost, letters so far)
-        beam = {start: (0.0, "")}
-        run, before = 0, ""
+        # history (the last three letters as a number in base A, 0 at the start) -> (cost, letters so far)
+        beam = {h: (start, first)}
+        run = 1
+
+        def offer(key, cost, out):
+            if cost < most and (key not in step or (cost, out) < step[key]):
+                step[key] = (cost, out)
+
         for sign, floor in zip(text, least):
             run = run + 1 if sign == before else 1
             before = sign
             rest -= floor
             most = limit - rest
-            step: dict[tuple, tuple[float, str]] = {}
-
-            def offer(key, cost, out):
-                if cost < most and (key not in step or (cost, out) < step[key]):
-                    step[key] = (cost, out)
-
-            options = [(sign, 0.0)] if sign in INDEX else [(c, AS_LETTER) for c in LOOKALIKES.get(sign, "")]
-            for h, (cost, out) in beam.items():
-                if sign not in INDEX:
-                    offer(h, cost + (LEFT_OUT if sign in LOOKALIKES else SIGN), out)
-                for c, extra in options:
-                    i = INDEX[c]
-                    if run > 1 and h[2] == i:
-                        offer(h, cost + extra + (REPEAT if run > 2 else SECOND), out)
-                    here = self.cost[h]
-                    offer((h[1], h[2], i), cost + extra + float(here[i]), out + c)
-                    if spaced and h != start:
-                        ended = cost + extra + float(here[0]) + BORDER
-                        offer((0, 0, i), ended + float(self.cost[start][i]), out + " " + c)
+            step: dict[int, tuple[float, str]] = {}
+            again = REPEAT if run > 2 else SECOND
+            if sign in INDEX and not spaced:  # nearly all signs of nearly all words
+                i = INDEX[sign]
+                for h, (cost, out) in beam.items():
+                    if run > 1 and h % last == i:
+                        offer(h, cost + again, out)
+                    key, new = h % two * last + i, cost + flat[h * last + i]
+                    if key in step:
+                        offer(key, new, out + sign)
+                    elif new < most:
+                        step[key] = (new, out + sign)
+            else:
+                options = [(sign, 0.0)] if sign in INDEX else [(c, AS_LETTER) for c in LOOKALIKES.get(sign, "")]
+                for h, (cost, out) in beam.items():
+                    if sign not in INDEX:
+                        offer(h, cost + (LEFT_OUT if sign in LOOKALIKES else SIGN), out)
+                    for c, extra in options:
+                        i = INDEX[c]
+                        if run > 1 and h % last == i:
+                            offer(h, cost + extra + again, out)
+                        offer(h % two * last + i, cost + extra + flat[h * last + i], out + c)
+                        if spaced and h:
+                            ended = cost + extra + flat[h * last] + BORDER
+                            offer(i, ended + flat[i], out + " " + c)
             beam = step
             if beam_size and len(step) > beam_size:
                 beam, cut = dict(sorted(step.items(), key=lambda x: x[1])[:beam_size]), True
-        ends = ((cost + float(self.cost[h][0]), out) for h, (cost, out) in beam.items())
+        ends = ((cost + flat[h * last], out) for h, (cost, out) in beam.items())
         return (*min((x for x in ends if x[0] < limit), default=(limit, "")), cut)
 
     def outline(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Of words of letters: the last three letters, and the first three with the end of a shorter word
         (-1 where there is no more); the cost of the end, and that of the beginning."""
-        letters = np.full((len(words), 6), -1, np.int64)
+        letters = np.full((len(words), 6), -1, np.int8)
         costs = np.zeros((len(words), 2), np.float32)
         for k, w in enumerate(words):
             codes = [INDEX[c] for c in w]
@@ -152,10 +175,10 @@ class Restorer:
 
     def joins(self, letters: np.ndarray, costs: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the words at ``a`` cost less when those at ``b`` go on with them, than apart."""
-        h = [letters[a, k] for k in range(3)]
+        h = [letters[a, k].astype(np.int64) for k in range(3)]
         joined = np.full(len(a), JOIN, np.float32)
         for k in range(3, 6):
-            c = letters[b, k]
+            c = letters[b, k].astype(np.int64)
             joined += np.where(c >= 0, self.cost[h[0], h[1], h[2], np.maximum(c, 0)], 0)
             h = [h[1], h[2], np.maximum(c, 0)]
         return joined < costs[a, 0] + costs[b, 1]
