@@ -44,7 +44,8 @@ FEATURES = 400
 THRESHOLD = 0.3
 SPACED = 4
 PIECE = 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+CALL_BYTES = 2 << 20
 L1 = 2e-4
 MARKS = 8
 PREFIXES = range(3, 8)
@@ -76,22 +77,35 @@ def learn_characters(docs: DataFrame) -> np.ndarray:
 
 
 class Reader:
-    """Restored words of texts; the words of a task are numbered and restored once."""
+    """Restored words of texts; the words of a task are numbered and restored once.
+
+    With more than ``CACHE_WORDS`` words those that came again stay, at most half as many, and the
+    others go: most words of a corpus come once, and a few come all the time.
+    """
 
     def __init__(self, model: np.ndarray):
         self.restorer = Restorer(model)
         self.resets = 0
-        self.reset()
-
-    def reset(self) -> None:
-        self.resets += 1
         self.number: dict[str, int] = defaultdict(count().__next__)
         self.restored: list[list[str]] = []
+        self.times = np.empty(0, np.int64)
         self.single = np.empty(0, bool)
         self.piece = np.empty(0, bool)
-        self.letters, self.costs = np.empty((0, 6), np.int64), np.empty((0, 2), np.float32)
+        self.letters, self.costs = np.empty((0, 6), np.int8), np.empty((0, 2), np.float32)
         self.short: dict[str, list[str]] = {}
 
+    def reset(self) -> None:
+        """Number the words that stay anew; the next time only those that come again until then stay."""
+        self.resets += 1
+        often = np.argsort(-self.times, kind="stable")[:CACHE_WORDS // 2]
+        stays = np.sort(often[self.times[often] > 1])
+        names = list(self.number)
+        self.number = defaultdict(count(len(stays)).__next__, ((names[i], k) for k, i in enumerate(stays.tolist())))
+        self.restored = [self.restored[i] for i in stays.tolist()]
+        self.single, self.piece, self.letters, self.costs = (x[stays] for x in (self.single, self.piece, self.letters, self.costs))
+        self.times = np.zeros(len(stays), np.int64)
+        self.short = {}
+
     def together(self, text: str) -> list[str]:
         """The words behind two or three single signs that stood apart."""
         if text not in self.short:
@@ -109,8 +123,10 @@ class Reader:
         self.restored += map(self.restorer.words, fresh)
         self.single = np.append(self.single, np.fromiter((len(w) == 1 for w in fresh), bool, len(fresh)))
         self.piece = np.append(self.piece, np.fromiter((len(w) <= PIECE and PLAIN.fullmatch(w) is not None for w in fresh), bool, len(fresh)))
+        self.times = np.append(self.times, np.zeros(len(fresh), np.int64))
+        self.times += np.bincount(np.concatenate([np.empty(0, np.int64), *codes]), minlength=len(self.times))
         at = np.flatnonzero(self.piece[len(self.piece) - len(fresh):])
-        letters, costs = np.zeros((len(fresh), 6), np.int64), np.zeros((len(fresh), 2), np.float32)
+        letters, costs = np.zeros((len(fresh), 6), np.int8), np.zeros((len(fresh), 2), np.float32)
         letters[at], costs[at] = self.restorer.outline([fresh[i] for i in at])
         self.letters, self.costs = np.concatenate([self.letters, letters]), np.concatenate([self.costs, costs])
         names = list(self.number)
@@ -133,15 +149,16 @@ class Reader:
 
 def reader_maker(spark: SparkSession, model: np.ndarray):
     """A function by which tasks get the reader of their worker process; words it has restored for
-    one task it knows in the next, as long as the model is the same."""
+    one task it knows in the next, as long as the model is the same. A worker holds one model, one
+    reader and one scorer at most: with another model all of them go."""
     shared, digest = spark.sparkContext.broadcast(model), hashlib.sha256(model.tobytes()).hexdigest()
 
     def reader() -> Reader:
-        held = per_worker("toxicity reader", dict)
-        if digest not in held:
+        held = per_worker("toxicity", dict)
+        if held.get("model") != digest:
             held.clear()
-            held[digest] = Reader(shared.value)
-        return held[digest]
+            held.update(model=digest, reader=Reader(shared.value))
+        return held["reader"]
 
     return reader
 
@@ -156,7 +173,7 @@ def restored_words(docs: DataFrame, model: np.ndarray, keep: list[str]) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, plain = reader_of(), Words()
         for batch in batches:
-            for a, b in slices(batch, "text"):
+            for a, b in slices(batch, "text", CALL_BYTES):
                 part = batch.slice(a, b - a)
                 marks = superminhash(*shingle_sets(*plain.of(part.column("text").to_pylist())), MARKS).view(np.int64)
                 words = [sorted({w for i in set(mine.tolist()) for w in reader.restored[i]} | set(spaced))
@@ -285,18 +302,26 @@ class Scorer:
         self.place = {w: i for i, w in enumerate(names)}
         # restored words have letters only: digits at the end of a trait count words
         self.asked = {w.rstrip("0123456789") for w in names}
-        self.told: list[list[str]] = []
+        self.heads = {w[:PREFIXES[0]] for w in self.asked if w.endswith("*")}
+        self.told: list[tuple[str, ...]] = []
         self.tells = np.empty(0, bool)
         self.resets = self.reader.resets
 
+    def telling(self, words: list[str]) -> tuple[str, ...]:
+        """The words of which the model knows a trait."""
+        asked, heads = self.asked, self.heads
+        if len(words) == 1 and words[0] not in asked and words[0][:PREFIXES[0]] not in heads:  # nearly all words
+            return ()
+        return tuple([w for w in words if w in asked or w[:PREFIXES[0]] in heads and any(t in asked for t in traits(w))])
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
-        reader, place, asked = self.reader, self.place, self.asked
+        reader, place = self.reader, self.place
         for k, (mine, spaced) in enumerate(reader.read(texts)):
             if self.resets != reader.resets:
                 self.told, self.resets = [], reader.resets
             if len(self.told) < len(reader.restored):
-                self.told += [[w for w in words if any(t in asked for t in traits(w))] for words in reader.restored[len(self.told):]]
+                self.told += map(self.telling, reader.restored[len(self.told):])
                 self.tells = np.fromiter(map(bool, self.told), bool, len(self.told))
             words = {w for i in np.unique(mine[self.tells[mine]]).tolist() for w in self.told[i]} if len(mine) else set()
             found = sorted(place[t] for t in doc_traits([*words.union(spaced)]) if t in place)
@@ -311,11 +336,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     reader_of, fit = reader_maker(docs.sparkSession, model), uuid.uuid4().hex
 
     def scorer() -> Scorer:
-        held, reader = per_worker("toxicity scorer", dict), reader_of()
-        if fit not in held:
-            held.clear()
-            held[fit] = Scorer(reader, weights, bias)
-        return held[fit]
+        reader, held = reader_of(), per_worker("toxicity", dict)
+        if held.get("fit") != fit:
+            held.update(fit=fit, scorer=Scorer(reader, weights, bias))
+        return held["scorer"]
 
     return scorer
 
@@ -327,7 +351,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = scorer()
         for batch in batches:
-            for a, b in slices(batch, "text"):
+            for a, b in slices(batch, "text", CALL_BYTES):
                 part = batch.slice(a, b - a)
                 scores = judge.scores(part.column("text").to_pylist())
                 yield pa.record_batch([part.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
@@ -344,7 +368,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, feat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = scorer()
         for batch in batches:
-            for a, b in slices(batch, "text"):
+            for a, b in slices(batch, "text", CALL_BYTES):
                 part = batch.slice(a, b - a)
                 yield part.filter(pa.array(judge.scores(part.column("text").to_pylist()) < THRESHOLD))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import math
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -163,6 +165,31 @@ def test_lattice_reads_doubled_letters_signs_and_pieces(characters):
     assert [spaced for _, spaced in reader.read(texts)] == [["ass"], ["stupid"], ["stupid"], [], ["ass"], [], []]
 
 
+def test_a_worker_holds_one_model_only(spark, monkeypatch):
+    models = iter([words_model("river"), words_model("stone")])
+    monkeypatch.setattr(op02_toxicity, "learn_characters", lambda docs: next(models))
+    monkeypatch.setattr(op02_toxicity, "learn_words", lambda *args: ({"river": 1.0}, 0.0))
+    docs = spark.createDataFrame([(1, "river")], "doc_id long, text string")
+    first = weakref.ref(op02_toxicity.learn(docs, docs)().reader)
+    op02_toxicity.reader_maker(spark, next(models))()  # the next model's first task, which makes no scorer
+    gc.collect()
+    assert first() is None
+
+
+def test_words_that_come_again_stay_known(monkeypatch):
+    model = words_model("ass", "slob", "stupid", "letter", "the", "river", "of")
+    texts = ["the river of the river", "one 1etter two", "the stu pid river", "$|0b three four", "the river 455 stuupid five"]
+    want = [sorted(w for i in mine.tolist() for w in reader.restored[i]) + spaced
+            for t in texts for reader in [op02_toxicity.Reader(model)] for mine, spaced in reader.read([t])]
+    monkeypatch.setattr(op02_toxicity, "CACHE_WORDS", 5)
+    reader = op02_toxicity.Reader(model)
+    got = [sorted(w for i in mine.tolist() for w in reader.restored[i]) + spaced for t in texts for mine, spaced in reader.read([t])]
+    assert got == want and reader.resets
+    list(reader.read(["the river of the river"]))
+    reader.reset()
+    assert {"the", "river"} <= set(reader.number) and "of" not in reader.number
+
+
 def test_toxicity_finds_the_other_disguises(spark):
     rng = np.random.default_rng(6)
     plain = ["river", "stone", "garden", "window", "letter", "summer", "bridge", "market"]
