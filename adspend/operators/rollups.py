@@ -47,7 +47,7 @@ def merge(loads: DataFrame) -> DataFrame:
 def store_load(sums: DataFrame, load: str, path: str) -> None:
     """Store the result of ``load_sums``. A load that is stored again takes the place of its earlier
     rows on the days it has rows for; other loads stay, and a job that fails changes nothing."""
-    (sums.withColumn(LOAD, F.lit(load)).select(*ROLLUP.fieldNames()).repartition("date_date")
+    (sums.withColumn(LOAD, F.lit(load)).select(*ROLLUP.fieldNames()).repartition("date_date", "camp_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_date", LOAD).parquet(path))
 
 

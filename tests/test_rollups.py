@@ -104,3 +104,17 @@ def test_exact_clicks_do_not_depend_on_the_order(spark):
     assert got == {whole * 100 / 1127500}
     with pytest.raises(Exception, match="not a price point"):
         spark.createDataFrame([(1.0, 0.5)], "s double, p double").agg(exact_clicks(F.col("s"), F.col("p"))).collect()
+
+
+def test_a_large_day_of_a_load_is_written_by_several_tasks(spark):
+    sums = spark.range(2000).select(F.lit(RUN).alias("date_date"), F.col("id").alias("camp_id"), *[F.lit(1).cast("long").alias(c) for c in facts.CLICK_SUMS])
+    path = tempfile.mkdtemp(prefix="adspend-test-wide-")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "false")  # as with a load that is too large for one task
+    try:
+        rollups.store_load(sums, "h0", path)
+    finally:
+        spark.conf.set(key, held)
+    read = rollups.read_rollups(spark, path)
+    assert read.count() == 2000 and len(read.inputFiles()) > 1
