@@ -10,9 +10,11 @@ in the chunk in which it begins before the closing overlap, thus once for each o
 A phrase has no more occurrences than any part of it, so pairs are counted only where both words,
 and longer phrases only where all pairs may be frequent. That is read from a bitmap of hashes of
 ``FILTER_BITS`` bits, whatever the size of the input; a bit set by another phrase lets too much
-through to the exact counts, never too little. Of words and then of pairs hashes are counted first,
-short rows that need no strings: most pairs of frequent words are rare, and their strings are never
-shuffled. One pass counts the phrases of all sizes that are left.
+through to the exact counts, never too little. Of words and then of pairs hashes of 32 bits are
+counted first, short rows that need no strings: most pairs of frequent words are rare, and their
+strings are never shuffled. One pass counts the phrases of all sizes that are left: a task sums the
+phrases of all its chunks, and sends the sums of each of ``BUCKETS`` buckets as lists in one row.
+The files of a step's shuffles go when the step ends.
 
 Results: as in the contract of ``collocations``. A null text counts as empty, a null lang as
 ``und``; rows need no id, and repeated rows count as often as they occur; other columns of the
@@ -21,7 +23,7 @@ input are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +32,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adspend.llm.common import written
+from adspend.llm.common import shuffles_removed, written
 
 OVERLAP = 4  # one less than the words of the longest phrase
 CUT_EVERY = 64
 FILTER_BITS = 26
 SALTS = 8
+BUCKETS = 1024
+HELD_ROWS = 1 << 20
 CALL_BYTES = 4 << 20
 GAP, END = 0x20, 0x0A
 # A-Z in lower case, the other blank and all marks as one
@@ -207,14 +211,15 @@ class Dictionary:
     def hashed(self, n: int, on: np.ndarray) -> pa.Table:
         """The hashes of the phrases of n words that begin in this chunk where ``on`` is set."""
         at = on & self.own & (self.left >= n)
-        (code,), times = summed([self.code(n)[at].view(np.int64)], self.times[at])
-        return pa.table({"code": code, "times": times})
+        (code,), times = summed([(self.code(n)[at] >> np.uint64(32)).astype(np.int64)], self.times[at])
+        return pa.table({"code": code.astype(np.uint32).view(np.int32), "times": times})
 
     def exact(self, n: int, on: np.ndarray) -> pa.Table:
         """The phrases of n words that begin in this chunk where ``on`` is set."""
         at = np.flatnonzero(on & self.own & (self.left >= n))
         rows, times = summed([self.lang[at], *(self.codes[at + k] for k in range(n))], self.times[at])
-        return pa.table({"lang": pc.take(self.langs, pa.array(rows[0])), "phrase": self.words.phrases(rows[1:]), "times": times})
+        bucket = mixed(chained([self.lang_hash[rows[0]], *(self.words.hash[c] for c in rows[1:])])) % np.uint64(BUCKETS)
+        return pa.table({"bucket": bucket.astype(np.int32), "lang": pc.take(self.langs, pa.array(rows[0])), "phrase": self.words.phrases(rows[1:]), "times": times})
 
 
 def chains(on: np.ndarray, n: int) -> np.ndarray:
@@ -225,21 +230,76 @@ def chains(on: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def counted(dictionary: DataFrame, count, key: str) -> DataFrame:
-    """``n`` of each ``key`` in the tables that ``count`` makes of parts of the dictionary."""
+def counted(dictionary: DataFrame, count) -> DataFrame:
+    """``n`` of each ``code`` in the tables that ``count`` makes of parts of the dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "chunk"):
             for found in count(Dictionary(table)):
                 yield from found.to_batches(65_536)
 
-    found = dictionary.select("lang", "chunk", "last", "times").mapInArrow(run, f"{key}, times long")
-    return found.groupBy(*found.columns[:-1]).agg(F.sum("times").alias("n"))
+    found = dictionary.select("lang", "chunk", "last", "times").mapInArrow(run, "code int, times long")
+    return found.groupBy("code").agg(F.sum("times").alias("n"))
+
+
+def totalled(tables: list[pa.Table]) -> pa.Table:
+    """Tables put together, with one row for each distinct row of all columns but ``times``, which is summed."""
+    keys = [c for c in tables[0].column_names if c != "times"]
+    return pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("times", "sum")]).rename_columns([*keys, "times"])
+
+
+def summed_up(tables: Iterable[pa.Table]) -> Iterator[pa.Table]:
+    """The sums over all tables, in one table unless it has more than ``HELD_ROWS`` rows."""
+    held, rows = [], 0
+    for table in tables:
+        held.append(table)
+        rows += table.num_rows
+        if rows > 2 * HELD_ROWS:
+            held = [totalled(held)]
+            rows = held[0].num_rows
+            if rows > HELD_ROWS:
+                yield held[0]
+                held, rows = [], 0
+    if rows:
+        yield totalled(held)
+
+
+def packed(table: pa.Table) -> pa.Table:
+    """``bucket, lang, phrases, counts``: the phrases of one bucket and language, and their times, as lists."""
+    lang = table.column("lang").combine_chunks().dictionary_encode()
+    bucket, code = table.column("bucket").to_numpy(), lang.indices.to_numpy(zero_copy_only=False)
+    order = np.lexsort((code, bucket))
+    bucket, code = bucket[order], code[order]
+    edges = np.flatnonzero(np.append(True, (np.diff(bucket) != 0) | (np.diff(code) != 0)))
+    table, offsets = table.take(pa.array(order)).combine_chunks(), pa.array(np.append(edges, len(order)), pa.int32())
+    lists = {to: pa.ListArray.from_arrays(offsets, table.column(c).combine_chunks()) for to, c in (("phrases", "phrase"), ("counts", "times"))}
+    return pa.table({"bucket": bucket[edges], "lang": pc.take(lang.dictionary, pa.array(code[edges])), **lists})
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    phrases, counts = (table.column(c).combine_chunks() for c in ("phrases", "counts"))
+    lang = pc.take(table.column("lang").combine_chunks(), pc.list_parent_indices(phrases))
+    return pa.table({"lang": lang, "phrase": phrases.flatten(), "times": counts.flatten()})
+
+
+def exactly(dictionary: DataFrame, count, least: int) -> DataFrame:
+    """``lang, phrase, n`` of the phrases that occur ``least`` times or more in the tables that ``count`` makes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in summed_up(found for part in gathered(batches, "chunk") for found in count(Dictionary(part))):
+            yield from packed(table).to_batches(BUCKETS)
+
+    def merge(table: pa.Table) -> pa.Table:
+        found = totalled([unpacked(table)])
+        return found.filter(pc.greater_equal(found.column("times"), least)).rename_columns(["lang", "phrase", "n"])
+
+    found = dictionary.select("lang", "chunk", "last", "times").mapInArrow(run, "bucket int, lang string, phrases array<string>, counts array<long>")
+    return found.groupBy("bucket").applyInArrow(merge, "lang string, phrase string, n long")
 
 
 def bitmap_of(codes: DataFrame):
     """A broadcast bitmap of ``2 ** FILTER_BITS`` bits: the first bits of each ``code``."""
-    bit = F.shiftrightunsigned("code", 64 - FILTER_BITS) + 1  # the functions count from 1
+    bit = F.shiftrightunsigned("code", 32 - FILTER_BITS).cast("long") + 1  # the functions count from 1
     found = codes.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
     bitmap = bytearray(1 << FILTER_BITS - 3)
     for r in found:
@@ -250,29 +310,29 @@ def bitmap_of(codes: DataFrame):
 def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, n`` of all phrases of one to five words that occur ``least`` times or more,
     and ``lang, total``: all words of each language."""
-    dictionary = written(parse(docs), "chunks")
-    totals = dictionary.groupBy("lang").agg(F.sum(F.col("times") * F.col("own")).alias("total"))
     enough = F.col("n") >= least
+    with shuffles_removed(docs.sparkSession):
+        dictionary = written(parse(docs), "chunks")
+        totals = written(dictionary.groupBy("lang").agg(F.sum(F.col("times") * F.col("own")).alias("total")), "totals")
 
-    def single(d: Dictionary) -> Iterator[pa.Table]:
-        yield d.hashed(1, d.own)
+        def single(d: Dictionary) -> Iterator[pa.Table]:
+            yield d.hashed(1, d.own)
 
-    words = bitmap_of(counted(dictionary, single, "code long").where(enough))
+        words = bitmap_of(counted(dictionary, single).where(enough))
 
-    def double(d: Dictionary) -> Iterator[pa.Table]:
-        yield d.hashed(2, chains(d.passes(1, words.value), 2))
+        def double(d: Dictionary) -> Iterator[pa.Table]:
+            yield d.hashed(2, chains(d.passes(1, words.value), 2))
 
-    pairs = bitmap_of(counted(dictionary, double, "code long").where(enough))
+        pairs = bitmap_of(counted(dictionary, double).where(enough))
 
-    def exact(d: Dictionary) -> Iterator[pa.Table]:
-        yield d.exact(1, d.passes(1, words.value))
-        may = d.passes(2, pairs.value)
-        for n in (2, 3, 4, 5):
-            yield d.exact(n, chains(may, n - 1))
+        def exact(d: Dictionary) -> Iterator[pa.Table]:
+            yield d.exact(1, d.passes(1, words.value))
+            may = d.passes(2, pairs.value)
+            for n in (2, 3, 4, 5):
+                yield d.exact(n, chains(may, n - 1))
 
-    found = counted(dictionary, exact, "lang string, phrase string").where(enough)
-    known = found.withColumn("size", F.size(F.split("phrase", " ")))
-    return written(known, "frequent"), written(totals, "totals")
+        found = exactly(dictionary, exact, least)
+        return written(found.withColumn("size", F.size(F.split("phrase", " "))), "frequent"), totals
 
 
 def part(words: Column, start: Column, size: Column) -> Column:

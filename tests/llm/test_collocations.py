@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import glob
 import random
+import time
 
 import duckdb
 import numpy as np
@@ -113,3 +115,44 @@ def test_pairs_are_counted_by_hashes_before_their_strings():
         assert sorted(codes.column("times").to_pylist()) == sorted(strings.column("times").to_pylist())
         assert max(codes.column("times").to_pylist()) == most
     assert part.hashed(2, ~every).num_rows == 0
+
+
+def shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in glob.glob(f"{d.getPath()}/**/shuffle_*", recursive=True)}
+
+
+def test_no_step_leaves_its_shuffle_files(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name), shuffle_files(spark)
+    docs = spark.createDataFrame([(r[1], r[2]) for r in prose()], "text string, lang string").repartition(3)
+    known, totals = op12.frequent(docs, 3)
+    ends = time.time() + 20  # they are removed in the background
+    while shuffle_files(spark) - before and time.time() < ends:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(name) == setting
+    assert known.count() and totals.count()
+
+
+@pytest.mark.parametrize("held", [1 << 20, 40, 1])
+def test_a_task_sends_its_sums_as_lists(monkeypatch, held):
+    monkeypatch.setattr(op12, "HELD_ROWS", held)
+    rng = random.Random(7)
+    rows = [[(rng.randrange(5), rng.choice(["en", "de"]), rng.choice("abcdefgh") * 2, rng.randrange(1, 9)) for _ in range(60)] for _ in range(30)]
+    tables = [pa.table([pa.array(c) for c in zip(*part)], ["bucket", "lang", "phrase", "times"]) for part in rows]
+    sent = [op12.packed(t) for t in op12.summed_up(tables)]
+    want: dict = {}
+    for bucket, lang, phrase, times in (r for part in rows for r in part):
+        want[bucket, lang, phrase] = want.get((bucket, lang, phrase), 0) + times
+    got: dict = {}
+    for table in sent:
+        keys = list(zip(table.column("bucket").to_pylist(), table.column("lang").to_pylist()))
+        assert len(set(keys)) == len(keys) == len(set((b, x) for b, x, _ in want))
+        for k in range(table.num_rows):
+            for r in op12.unpacked(table.slice(k, 1)).to_pylist():
+                key = (keys[k][0], r["lang"], r["phrase"])
+                got[key] = got.get(key, 0) + r["times"]
+    assert got == want
+    assert held < 1000 or len(sent) == 1
+    assert list(op12.summed_up([])) == []
